@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.quantiles import exact_quantiles, finite_values, group_sketch
-from millrace.session import staged
 
 QUARTILES = [0.25, 0.5, 0.75]
 # How far a whisker may reach, in quartile ranges, and the number
@@ -23,7 +22,7 @@ def _fences(df: DataFrame, group: str, value: str) -> DataFrame:
     sketch = group_sketch(rows, QUARTILES)
     quartiles = exact_quantiles(rows, sketch, QUARTILES).withColumnRenamed("grp", "g")
     reach = WHISKER_REACH * (F.col("q2") - F.col("q0"))
-    fences = sketch.join(quartiles, F.col("grp").eqNullSafe(F.col("g"))).select(
+    return sketch.join(quartiles, F.col("grp").eqNullSafe(F.col("g"))).select(
         "grp",
         "n",
         F.col("q0").alias("q1"),
@@ -32,7 +31,6 @@ def _fences(df: DataFrame, group: str, value: str) -> DataFrame:
         (F.col("q0") - reach).alias("low_fence"),
         (F.col("q2") + reach).alias("high_fence"),
     )
-    return staged(fences, "fences")
 
 
 def boxplot_stats(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -83,7 +81,8 @@ def grouped_density(
 
     The bandwidth is ``0.9 * min(sd, IQR / 1.34) * n^-0.2``. Each value is shared
     linearly between its two grid points by one partial aggregate; what is left is
-    at most ``points`` weights per group, which each grid point sums up.
+    at most ``points`` weights per group. Each grid point adds them up inside its
+    row, with the kernel looked up by distance.
     """
     rows = finite_values(df, group, value)
     sketch = group_sketch(rows, QUARTILES, [F.stddev_samp("v").alias("sd")])
@@ -99,18 +98,22 @@ def grouped_density(
         ).alias("grid")
     ).scalar()
     weights = _grid_weights(rows, grid, points)
-    curve = weights.join(groups, F.col("g").eqNullSafe(F.col("grp"))).select(
-        "grp",
-        "n",
-        "bandwidth",
-        "weights",
-        grid.alias("grid"),
-        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
+
+    numbers = F.sequence(F.lit(0), F.lit(points - 1))
+
+    def kernel_at(distance: Column) -> Column:
+        scaled = distance * F.col("grid.step") / F.col("bandwidth")
+        return F.exp(-0.5 * scaled * scaled)
+
+    curve = (
+        weights.join(groups, F.col("g").eqNullSafe(F.col("grp")))
+        .select("grp", "n", "bandwidth", "weights", grid.alias("grid"))
+        .withColumn("kernel", F.transform(numbers, kernel_at))
+        .withColumn("point", F.explode(numbers))
     )
 
     def add(total: Column, w: Column) -> Column:
-        distance = (F.col("point") - w["bin"]) * F.col("grid.step") / F.col("bandwidth")
-        return total + w["weight"] * F.exp(-0.5 * distance * distance)
+        return total + w["weight"] * F.get("kernel", F.abs(F.col("point") - w["bin"]))
 
     mass = F.aggregate("weights", F.lit(0.0), add)
     scale = F.col("n") * F.col("bandwidth") * math.sqrt(2 * math.pi)

@@ -26,7 +26,6 @@ from millrace.session import staged
 
 SKETCH_ACCURACY = 2000
 CELLS = 64
-_INF = float("inf")
 
 
 def finite_values(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -47,15 +46,14 @@ def group_sketch(rows: DataFrame, probs: list[float], extra: list[Column] | None
         *(extra or []),
     )
     # In a group this small a bracket could miss the neighbour of its rank.
-    is_small = F.col("n") < 4 * SKETCH_ACCURACY
-    ends_or_all = F.when(is_small, _whole_range(len(ends))).otherwise(F.col("ends"))
+    small = 4 * SKETCH_ACCURACY
+    ends_or_all = F.expr(f"if(n < {small}, {_whole_range(len(ends))}, ends)")
     return staged(sketch.withColumn("ends", ends_or_all), "sketch")
 
 
-def _whole_range(n_ends: int) -> Column:
+def _whole_range(n_ends: int) -> str:
     """Bracket ends that make the whole range of a group one bracket."""
-    unused = [F.lit(_INF)] * (n_ends - 2)
-    return F.array(F.col("lo"), F.col("hi"), *unused)
+    return f"concat(array(lo, hi), array_repeat(double('inf'), {n_ends - 2}))"
 
 
 def exact_quantiles(
@@ -67,68 +65,59 @@ def exact_quantiles(
     """
     probs = sorted(probs)
     picked = staged(_pick_ranks(rows, sketch, probs, cells), "ranks")
-    missed = picked.where(" or ".join(f"lo{i} is null or hi{i} is null" for i in range(len(probs))))
+    missed = picked.where(" OR ".join(f"lo{i} IS NULL OR hi{i} IS NULL" for i in range(len(probs))))
     if not missed.isEmpty():
         again = sketch.join(missed.select("grp"), _same_group(sketch, missed), "left_semi")
-        again = staged(again.withColumn("ends", _whole_range(2 * len(probs))), "sketch")
-        found = staged(_pick_ranks(rows, again, probs, 64 * cells), "ranks")
+        again = again.withColumn("ends", F.expr(_whole_range(2 * len(probs))))
+        found = staged(_pick_ranks(rows, staged(again, "sketch"), probs, 64 * cells), "ranks")
         picked = picked.join(found, _same_group(picked, found), "left_anti").unionByName(found)
-    return picked.select("grp", *[_interpolate(i, p).alias(f"q{i}") for i, p in enumerate(probs)])
+    between = [
+        f"lo{i} + ({_rank(p)} - floor({_rank(p)})) * (hi{i} - lo{i}) AS q{i}"
+        for i, p in enumerate(probs)
+    ]
+    return picked.selectExpr("grp", *between)
 
 
 def _same_group(left: DataFrame, right: DataFrame) -> Column:
     return left["grp"].eqNullSafe(right["grp"])
 
 
-def _rank(p: float) -> Column:
+def _rank(p: float) -> str:
     """Zero-based fractional position of the quantile in its sorted group."""
-    return (F.col("n") - 1) * F.lit(p)
-
-
-def _interpolate(i: int, p: float) -> Column:
-    low, high = F.col(f"lo{i}"), F.col(f"hi{i}")
-    return low + (_rank(p) - F.floor(_rank(p))) * (high - low)
+    return f"((n - 1) * double({p!r}))"
 
 
 def _pick_ranks(rows: DataFrame, sketch: DataFrame, probs: list[float], cells: int) -> DataFrame:
     """(grp, n, lo0, hi0, lo1, ...): values at the two ranks around each quantile."""
     counted = staged(_count_cells(rows, sketch, len(probs), cells), "cells")
 
-    by_cell = counted.groupBy("grp", "part", "cell").agg(F.sum("n_rows").alias("n_cell"))
     up_to_cell = F.sum("n_cell").over(Window.partitionBy("grp").orderBy("part", "cell"))
-    offsets = by_cell.select(
-        F.col("grp").alias("g"),
-        F.col("part").alias("p"),
-        F.col("cell").alias("c"),
-        (up_to_cell - F.col("n_cell")).alias("before"),
-    )
-    within = Window.partitionBy("grp", "part", "cell").orderBy("v")
-    running = counted.where(F.col("v").isNotNull()).withColumn("upto", F.sum("n_rows").over(within))
-    same_cell = (
-        F.col("grp").eqNullSafe(F.col("g"))
-        & (F.col("part") == F.col("p"))
-        & (F.col("cell") == F.col("c"))
+    offsets = (
+        counted.groupBy("grp", "part", "cell")
+        .agg(F.sum("n_rows").alias("n_cell"))
+        .withColumn("up_to_cell", up_to_cell)
+        .selectExpr("grp AS g", "part AS p", "cell AS c", "up_to_cell - n_cell AS before")
     )
-    ranked = running.join(offsets, same_cell).select(
-        "grp",
-        "v",
-        (F.col("before") + F.col("upto") - F.col("n_rows")).alias("first"),
-        (F.col("before") + F.col("upto") - 1).alias("last"),
+    up_to_value = F.sum("n_rows").over(Window.partitionBy("grp", "part", "cell").orderBy("v"))
+    ranked = (
+        counted.where("v IS NOT NULL")
+        .withColumn("up_to_value", up_to_value)
+        .join(offsets, F.expr("grp <=> g AND part = p AND cell = c"))
+        .selectExpr(
+            "grp", "v", "before + up_to_value - n_rows AS first", "before + up_to_value - 1 AS last"
+        )
     )
-    sizes = sketch.select(F.col("grp").alias("g"), "n")
-    picks = []
-    for i, p in enumerate(probs):
-        for name, position in ((f"lo{i}", F.floor(_rank(p))), (f"hi{i}", F.ceil(_rank(p)))):
-            at_rank = position.between(F.col("first"), F.col("last"))
-            picks.append(F.max(F.when(at_rank, F.col("v"))).alias(name))
-    found = (
-        ranked.join(sizes, F.col("grp").eqNullSafe(F.col("g")))
+    picks = [
+        F.expr(f"max(if({side}({_rank(p)}) BETWEEN first AND last, v, NULL)) AS {name}{i}")
+        for i, p in enumerate(probs)
+        for name, side in (("lo", "floor"), ("hi", "ceil"))
+    ]
+    # Bracket ends are values of the group, so no group is without a counted value.
+    return (
+        ranked.join(sketch.selectExpr("grp AS g", "n"), F.expr("grp <=> g"))
         .groupBy("grp")
-        .agg(*picks)
-        .withColumnRenamed("grp", "found")
+        .agg(F.max("n").alias("n"), *picks)
     )
-    groups = sketch.select("grp", "n")
-    return groups.join(found, F.col("grp").eqNullSafe(F.col("found")), "left").drop("found")
 
 
 def _count_cells(rows: DataFrame, sketch: DataFrame, brackets: int, cells: int) -> DataFrame:
@@ -137,23 +126,20 @@ def _count_cells(rows: DataFrame, sketch: DataFrame, brackets: int, cells: int)
     Odd parts are brackets and keep their values; even parts are the gaps, which
     only need a count (``v`` is NULL there).
     """
-    ends = sketch.select(F.col("grp").alias("g"), "ends")
-    part = F.lit(0)
-    for b in range(brackets):
-        part = part + (F.col("v") >= F.col("ends")[2 * b]).cast("int")
-        part = part + (F.col("v") > F.col("ends")[2 * b + 1]).cast("int")
-    low = F.get("ends", F.col("part") - 1)
-    width = F.get("ends", F.col("part")) / 2 - low / 2
-    cell = F.floor(F.try_divide(F.col("v") / 2 - low / 2, width) * cells).cast("int")
-    in_bracket = F.col("part") % 2 == 1
+    part = " + ".join(
+        f"int(v >= get(ends, {2 * b})) + int(v > get(ends, {2 * b + 1}))" for b in range(brackets)
+    )
+    # Halves keep the width of an extreme range finite.
+    low, high = "get(ends, part - 1) / 2", "get(ends, part) / 2"
+    place = f"try_divide(v / 2 - {low}, {high} - {low})"
     return (
-        rows.join(ends, F.col("grp").eqNullSafe(F.col("g")))
-        .withColumn("part", part)
-        .select(
+        rows.join(sketch.selectExpr("grp AS g", "ends"), F.expr("grp <=> g"))
+        .selectExpr("grp", "v", "ends", f"{part} AS part")
+        .selectExpr(
             "grp",
             "part",
-            F.when(in_bracket, F.coalesce(cell, F.lit(0))).otherwise(0).alias("cell"),
-            F.when(in_bracket, F.col("v")).alias("v"),
+            f"if(part % 2 = 1, coalesce(int(floor({place} * {cells})), 0), 0) AS cell",
+            "if(part % 2 = 1, v, NULL) AS v",
         )
         .groupBy("grp", "part", "cell", "v")
         .agg(F.count(F.lit(1)).alias("n_rows"))
