@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as words
 from millrace.operators.ranking import top_k_per_group
-from millrace.operators.terms import frequency, tokenize
-from millrace.session import spread, staged
+from millrace.operators.terms import frequency, tokenize, without_terms
+from millrace.session import staged
 
 SCORE_DIGITS = 10
 
@@ -32,7 +32,8 @@ def chi_square_scores(
     Terms are counted once per pair. A term's total is the sum over its pairs, so
     the documents are read once for terms; a second scan reads the category
     column only. The category table is written out first, which lets the planner
-    see how small it is.
+    see how small it is. Stop words leave after the count, so even a long list
+    never makes single tokens travel.
     """
     label = words.category_or_unknown(F.col(category))
     if normalize:
@@ -42,8 +43,10 @@ def chi_square_scores(
     in_category = staged(frequency(labelled, "category", name="docs_category"), "categories")
     documents = in_category.agg(F.sum("docs_category").alias("n")).scalar()
 
-    terms = tokenize(spread(labelled), "text", delimiters, stop_words, keep=["category"])
+    terms = tokenize(labelled, "text", delimiters, keep=["category"])
     pairs = frequency(terms, "category", "term", name="docs_pair")
+    if stop_words is not None:
+        pairs = without_terms(pairs, stop_words)
     docs_term = F.sum("docs_pair").over(Window.partitionBy("term"))
     counts = (
         pairs.withColumn("docs_term", docs_term)

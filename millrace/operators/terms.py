@@ -26,10 +26,13 @@ def tokenize(
     split = words.distinct_tokens if distinct else words.tokens
     columns = df.columns if keep is None else keep
     exploded = df.select(*columns, F.explode(split(F.col(text), delimiters)).alias(term))
-    if stop_words is None:
-        return exploded
+    return exploded if stop_words is None else without_terms(exploded, stop_words, term)
+
+
+def without_terms(df: DataFrame, stop_words: DataFrame, term: str = "term") -> DataFrame:
+    """Rows whose term is not listed. A list of known, small size is broadcast."""
     listed = stop_words.select(F.col(stop_words.columns[0]).alias(term))
-    return exploded.join(listed, term, "left_anti").select(*columns, term)
+    return df.join(listed, term, "left_anti").select(*df.columns)
 
 
 def frequency(terms: DataFrame, *keys: str, name: str = "n") -> DataFrame:
