@@ -1,8 +1,9 @@
-"""Exact quantiles per group without gathering a group in one task.
+"""Exact quantiles per group without gathering a large group in one task.
 
-``percentile`` holds every distinct value of a group in one aggregation buffer.
-Here a quantile sketch only says roughly where the wanted ranks lie; the exact
-answer comes from counting:
+``percentile`` holds every distinct value of a group in one aggregation buffer,
+which suits groups of a known, moderate size only. For larger groups a quantile
+sketch says roughly where the wanted ranks lie and the exact answer comes from
+counting:
 
 1. One partial aggregate gives each group's size and sketch, from which each
    wanted quantile gets a narrow bracket of values.
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from millrace.functions.values import is_finite
 from millrace.session import staged
 
+# Groups up to this size are sorted in one aggregation buffer.
+BUFFERED_GROUP = 50_000
 SKETCH_ACCURACY = 2000
 CELLS = 64
 
@@ -45,10 +48,7 @@ def group_sketch(rows: DataFrame, probs: list[float], extra: list[Column] | None
         F.percentile_approx("v", ends, SKETCH_ACCURACY).alias("ends"),
         *(extra or []),
     )
-    # In a group this small a bracket could miss the neighbour of its rank.
-    small = 4 * SKETCH_ACCURACY
-    ends_or_all = F.expr(f"if(n < {small}, {_whole_range(len(ends))}, ends)")
-    return staged(sketch.withColumn("ends", ends_or_all), "sketch")
+    return staged(sketch, "sketch")
 
 
 def _whole_range(n_ends: int) -> str:
@@ -56,21 +56,38 @@ def _whole_range(n_ends: int) -> str:
     return f"concat(array(lo, hi), array_repeat(double('inf'), {n_ends - 2}))"
 
 
-def exact_quantiles(
-    rows: DataFrame, sketch: DataFrame, probs: list[float], cells: int = CELLS
-) -> DataFrame:
+def exact_quantiles(rows: DataFrame, sketch: DataFrame, probs: list[float]) -> DataFrame:
     """(grp, q0, q1, ...): linearly interpolated quantiles, in ascending order of ``probs``.
 
     ``rows`` comes from :func:`finite_values`, ``sketch`` from :func:`group_sketch`.
     """
     probs = sorted(probs)
-    picked = staged(_pick_ranks(rows, sketch, probs, cells), "ranks")
-    missed = picked.where(" OR ".join(f"lo{i} IS NULL OR hi{i} IS NULL" for i in range(len(probs))))
+    large = sketch.where(F.col("n") > BUFFERED_GROUP)
+    sizes = sketch.agg(
+        F.count_if(F.col("n") > BUFFERED_GROUP).alias("large"), F.count(F.lit(1)).alias("all")
+    ).first()
+    if sizes["large"] == 0:
+        return staged(_buffered(rows, probs), "quantiles")
+    counted = _counted(rows, large, probs)
+    if sizes["large"] == sizes["all"]:
+        return counted
+    small = rows.join(large, _same_group(rows, large), "left_anti")
+    return counted.unionByName(staged(_buffered(small, probs), "quantiles"))
+
+
+def _buffered(rows: DataFrame, probs: list[float]) -> DataFrame:
+    quantiles = rows.groupBy("grp").agg(F.percentile("v", probs).alias("q"))
+    return quantiles.select("grp", *[F.col("q")[i].alias(f"q{i}") for i in range(len(probs))])
+
+
+def _counted(rows: DataFrame, sketch: DataFrame, probs: list[float]) -> DataFrame:
+    every_rank = " AND ".join(f"lo{i} IS NOT NULL AND hi{i} IS NOT NULL" for i in range(len(probs)))
+    picked = staged(_pick_ranks(rows, sketch, probs, CELLS), "ranks").where(every_rank)
+    missed = sketch.join(picked, _same_group(sketch, picked), "left_anti")
     if not missed.isEmpty():
-        again = sketch.join(missed.select("grp"), _same_group(sketch, missed), "left_semi")
-        again = again.withColumn("ends", F.expr(_whole_range(2 * len(probs))))
-        found = staged(_pick_ranks(rows, staged(again, "sketch"), probs, 64 * cells), "ranks")
-        picked = picked.join(found, _same_group(picked, found), "left_anti").unionByName(found)
+        again = missed.withColumn("ends", F.expr(_whole_range(2 * len(probs))))
+        found = staged(_pick_ranks(rows, staged(again, "sketch"), probs, 64 * CELLS), "ranks")
+        picked = picked.unionByName(found)
     between = [
         f"lo{i} + ({_rank(p)} - floor({_rank(p)})) * (hi{i} - lo{i}) AS q{i}"
         for i, p in enumerate(probs)
@@ -112,7 +129,6 @@ def _pick_ranks(rows: DataFrame, sketch: DataFrame, probs: list[float], cells: i
         for i, p in enumerate(probs)
         for name, side in (("lo", "floor"), ("hi", "ceil"))
     ]
-    # Bracket ends are values of the group, so no group is without a counted value.
     return (
         ranked.join(sketch.selectExpr("grp AS g", "n"), F.expr("grp <=> g"))
         .groupBy("grp")
@@ -126,15 +142,16 @@ def _count_cells(rows: DataFrame, sketch: DataFrame, brackets: int, cells: int)
     Odd parts are brackets and keep their values; even parts are the gaps, which
     only need a count (``v`` is NULL there).
     """
-    part = " + ".join(
-        f"int(v >= get(ends, {2 * b})) + int(v > get(ends, {2 * b + 1}))" for b in range(brackets)
+    part = "".join(
+        f"WHEN v < ends[{2 * b}] THEN {2 * b} WHEN v <= ends[{2 * b + 1}] THEN {2 * b + 1} "
+        for b in range(brackets)
     )
     # Halves keep the width of an extreme range finite.
     low, high = "get(ends, part - 1) / 2", "get(ends, part) / 2"
     place = f"try_divide(v / 2 - {low}, {high} - {low})"
     return (
         rows.join(sketch.selectExpr("grp AS g", "ends"), F.expr("grp <=> g"))
-        .selectExpr("grp", "v", "ends", f"{part} AS part")
+        .selectExpr("grp", "v", "ends", f"CASE {part} ELSE {2 * brackets} END AS part")
         .selectExpr(
             "grp",
             "part",

@@ -12,6 +12,13 @@ from millrace.operators import distribution, quantiles, regression, series
 PROBS = [0.25, 0.5, 0.75]
 
 
+@pytest.fixture(params=["buffered", "mixed", "counted"])
+def limit(request, monkeypatch):
+    """Which groups are sorted in a buffer: all, the smaller ones, none."""
+    size = {"buffered": 10**9, "mixed": 15000, "counted": 0}[request.param]
+    monkeypatch.setattr(quantiles, "BUFFERED_GROUP", size)
+
+
 def quantile_rows(df, probs=PROBS):
     values = quantiles.finite_values(df, "g", "v")
     sketch = quantiles.group_sketch(values, probs)
@@ -29,12 +36,12 @@ def assert_close(got, want):
         assert got[g] == pytest.approx(want[g], rel=1e-12, abs=1e-12), g
 
 
-def test_quartiles_of_four_values(spark):
+def test_quartiles_of_four_values(spark, limit):
     df = spark.createDataFrame([("g", v) for v in (1.0, 2.0, 3.0, 10.0)], "g string, v double")
     assert quantile_rows(df) == {"g": (1.75, 2.5, 4.75)}
 
 
-def test_quantiles_with_one_group_holding_most_rows(spark):
+def test_quantiles_with_one_group_holding_most_rows(spark, limit):
     rng = np.random.default_rng(3)
     frame = pd.DataFrame(
         {
@@ -57,24 +64,25 @@ def test_quantiles_with_one_group_holding_most_rows(spark):
     ],
     ids=["ties", "extremes", "constant", "not-finite", "single"],
 )
-def test_quantiles_of_odd_groups(spark, values):
+def test_quantiles_of_odd_groups(spark, limit, values):
     df = spark.createDataFrame([("g", None if v is None else float(v)) for v in values], "g string, v double")
     kept = [v for v in values if v is not None and math.isfinite(v)]
     assert_close(quantile_rows(df), {"g": tuple(np.quantile(kept, PROBS))})
 
 
-def test_quantiles_survive_a_useless_sketch(spark):
+def test_quantiles_survive_a_useless_sketch(spark, monkeypatch):
     """Brackets in the wrong place cost a second count, not the result."""
+    monkeypatch.setattr(quantiles, "BUFFERED_GROUP", 0)
     frame = pd.DataFrame({"g": ["x"] * 5000 + ["y"] * 10, "v": np.arange(5010.0)})
     values = quantiles.finite_values(spark.createDataFrame(frame), "g", "v")
     good = quantiles.group_sketch(values, PROBS)
-    wrong = F.when(F.col("g_ok"), F.col("ends")).otherwise(F.array(*[F.lit(float(i)) for i in range(6)]))
+    wrong = F.when(F.col("g_ok"), F.col("ends")).otherwise(F.array(*[F.lit(-float(i)) for i in range(9, 3, -1)]))
     bad = good.withColumn("g_ok", F.col("grp") == "y").withColumn("ends", wrong).drop("g_ok")
     got = {r[0]: tuple(r)[1:] for r in quantiles.exact_quantiles(values, bad, PROBS).collect()}
     assert_close(got, expected(frame))
 
 
-def test_null_group_is_a_group(spark):
+def test_null_group_is_a_group(spark, limit):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
     assert quantile_rows(df) == {None: (1.5, 2.0, 2.5), "a": (5.0, 5.0, 5.0)}
     got = {r["g"]: r["outliers"] for r in distribution.boxplot_stats(df, "g", "v").collect()}
