@@ -23,7 +23,7 @@ from millrace.workload.queries import queries
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     chosen = os.environ.get("BENCH_QUERIES")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")

@@ -81,40 +81,39 @@ def _record_bytes(df: DataFrame) -> Column:
     return reduce(lambda x, y: x + y, sizes).cast("long")
 
 
-def replication_rate(steps: list[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
+def replication_rate(steps: list[tuple[str, list[DataFrame], list[DataFrame]]]) -> DataFrame:
     """Records and bytes that go into and come out of the map side of each step.
 
-    ``steps`` lists (name, input, output). ``rate`` is output over input records;
-    ``communication`` is the bytes read plus the bytes handed to the shuffle.
-    Counts are aggregates and not accumulators, so a repeated task changes nothing.
+    ``steps`` lists (name, inputs, outputs); a map side may read and emit several
+    tables. ``rate`` is output over input records; ``communication`` is the bytes
+    read plus the bytes handed to the shuffle. Counts are aggregates and not
+    accumulators, so a repeated task changes nothing.
     """
-    sides = []
-    for number, (name, source, result) in enumerate(steps, start=1):
-        for side, df in (("in", source), ("out", result)):
-            sides.append(
-                df.agg(
-                    F.count(F.lit(1)).alias("records"),
-                    F.coalesce(F.sum(_record_bytes(df)), F.lit(0)).alias("bytes"),
-                ).select(
-                    F.lit(number).alias("step"),
-                    F.lit(name).alias("name"),
-                    F.lit(side).alias("side"),
-                    "records",
-                    "bytes",
-                )
-            )
-
-    def pick(side: str, column: str) -> Column:
-        return F.max(F.when(F.col("side") == side, F.col(column)))
-
+    sides = [
+        df.agg(
+            F.count(F.lit(1)).alias("records"),
+            F.coalesce(F.sum(_record_bytes(df)), F.lit(0)).alias("bytes"),
+        ).selectExpr(f"{number} AS step", f"'{side}' AS side", "records", "bytes")
+        for number, (_, inputs, outputs) in enumerate(steps, start=1)
+        for side, frames in (("in", inputs), ("out", outputs))
+        for df in frames
+    ]
     totals = (
         reduce(DataFrame.unionAll, sides)
-        .groupBy("step", "name")
+        .groupBy("step")
         .agg(
-            pick("in", "records").alias("records_in"),
-            pick("out", "records").alias("records_out"),
-            (pick("in", "bytes") + pick("out", "bytes")).alias("communication"),
+            F.sum(F.when(F.col("side") == "in", F.col("records"))).alias("records_in"),
+            F.sum(F.when(F.col("side") == "out", F.col("records"))).alias("records_out"),
+            F.sum("bytes").alias("communication"),
         )
     )
+    names = F.array(*[F.lit(name) for name, _, _ in steps])
     rate = F.try_divide(F.col("records_out"), F.col("records_in"))
-    return totals.select("step", "name", "records_in", "records_out", rate.alias("rate"), "communication")
+    return totals.select(
+        "step",
+        F.get(names, F.col("step") - 1).alias("name"),
+        "records_in",
+        "records_out",
+        rate.alias("rate"),
+        "communication",
+    )

@@ -49,6 +49,13 @@ def unpivot_values(df: DataFrame, group: str, fields: list[str]) -> DataFrame:
     return texts.unpivot([group], fields, "field", "value")
 
 
+def leading_values(long: DataFrame, group: str) -> DataFrame:
+    """The two most frequent values per group and field, with ``n`` and ``place``."""
+    counts = long.groupBy(group, "field", "value").agg(F.count(F.lit(1)).alias("n"))
+    order = [F.desc("n"), F.asc("value")]
+    return top_k_per_group(counts, [group, "field"], order, 2, rank="place")
+
+
 def modes_per_group(
     df: DataFrame,
     group: str,
@@ -67,10 +74,7 @@ def modes_per_group(
     long = unpivot_values(df, group, [product, section, department])
     if skip_blank:
         long = long.where(F.trim("value") != "")
-    counts = long.groupBy(group, "field", "value").agg(F.count(F.lit(1)).alias("n"))
-    leaders = top_k_per_group(
-        counts, [group, "field"], [F.desc("n"), F.asc("value")], 2, rank="place"
-    )
+    leaders = leading_values(long, group)
 
     def place(field: str, position: int) -> Column:
         hit = (F.col("field") == field) & (F.col("place") == position)

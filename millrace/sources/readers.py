@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,17 +67,38 @@ def read_csv_quoted(
     return spark.read.schema(_schema(schema)).csv(path, header=header, quote='"', escape='"')
 
 
+def sanitized_names(header: list[str]) -> list[str]:
+    """Header names as plain identifiers.
+
+    Other characters become dots, a leading digit gets an ``X`` in front and a
+    repeated name a number behind: ``Country Code`` is ``Country.Code`` and
+    ``2020`` is ``X2020``.
+    """
+    seen: dict[str, int] = {}
+    names = []
+    for raw in header:
+        name = re.sub(r"[^\w.]", ".", raw)
+        if not re.match(r"[^\W\d_]|\.(?!\d)", name):
+            name = f"X{name}"
+        count = seen.get(name, 0)
+        seen[name] = count + 1
+        names.append(f"{name}.{count}" if count else name)
+    return names
+
+
 def read_csv_header(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    """Comma CSV whose columns are found by header name.
+    """Comma CSV whose columns are found by their sanitized header names.
 
-    ``columns`` maps a header name to ``"new_name type"``; others are not read.
-    The header is read for its names only, no types are inferred.
+    ``columns`` maps such a name to ``"new_name type"``; others are not read. Only
+    the header line is looked at ahead of time, types are declared and not inferred.
     """
     raw = spark.read.csv(path, header=True, quote='"', escape='"')
+    position = {name: i for i, name in enumerate(sanitized_names(raw.columns))}
     out: list[Column] = []
     for source, target in columns.items():
         name, kind = target.split(None, 1)
-        out.append(F.col(f"`{source}`").try_cast(kind).alias(name))
+        found = raw.columns[position[source]]
+        out.append(F.col(f"`{found}`").try_cast(kind).alias(name))
     return raw.select(*out)
 
 

@@ -380,30 +380,56 @@ def oracle_sql() -> dict[str, str]:
               ON o_custkey = c_custkey
             WHERE c_acctbal IS NOT NULL AND c_nationkey IS NOT NULL""",
         "replication_rate": f"""
-            WITH fields AS (
-              SELECT p_type AS g, 'prod_name' AS f, p_name AS v FROM part
-              UNION ALL SELECT p_type, 'section_name', p_brand FROM part
-              UNION ALL SELECT p_type, 'department_name', p_size::VARCHAR FROM part),
+            WITH parts AS (
+              SELECT p_partkey::VARCHAR AS k, p_type AS g, p_name AS a, p_brand AS b,
+                     p_size::VARCHAR AS c, p_size FROM part),
+            fields AS (
+              SELECT g, 'prod_name' AS f, a AS v FROM parts
+              UNION ALL SELECT g, 'section_name', b FROM parts
+              UNION ALL SELECT g, 'department_name', c FROM parts),
             counted AS (SELECT g, f, v, count(*) AS n FROM fields GROUP BY ALL),
-            steps AS (
-              SELECT 1 AS step, 'modes: one row per field' AS name,
-                (SELECT count(*) FROM part) AS records_in,
-                (SELECT count(*) FROM fields) AS records_out,
-                (SELECT sum(strlen(p_type) + strlen(p_name) + strlen(p_brand)
-                            + strlen(p_size::VARCHAR)) FROM part)
-                + (SELECT sum(strlen(g) + strlen(f) + strlen(v)) FROM fields) AS communication
-              UNION ALL
-              SELECT 2, 'modes: rank values', (SELECT count(*) FROM counted),
-                (SELECT count(*) FROM counted),
-                2 * (SELECT sum(strlen(g) + strlen(f) + strlen(v) + strlen(n::VARCHAR)) FROM counted)
-              UNION ALL
-              SELECT 3, 'terms: one row per term', (SELECT count(*) FROM documents),
-                (SELECT count(*) FROM {_tokens('lang')}),
-                (SELECT sum(strlen(lang) + strlen(text)) FROM documents)
-                + (SELECT sum(strlen(lang) + strlen(term)) FROM {_tokens('lang')}))
-            SELECT step::INTEGER AS step, name, records_in, records_out,
-                   round(records_out / records_in, 8) AS rate, communication::BIGINT AS communication
-            FROM steps""",
+            placed AS (
+              SELECT *, row_number() OVER (PARTITION BY g, f ORDER BY n DESC, v) AS place
+              FROM counted),
+            sold AS (
+              SELECT o_custkey::VARCHAR AS u, l_partkey::VARCHAR AS k, p_size
+              FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+              JOIN part ON p_partkey = l_partkey),
+            people AS (SELECT c_custkey::VARCHAR AS u, c_nationkey::VARCHAR AS p,
+                              c_acctbal::VARCHAR AS age, c_acctbal FROM customer),
+            sides AS (
+              SELECT 1 AS step, 'in' AS side, count(*) AS r,
+                     sum(strlen(g) + strlen(a) + strlen(b) + strlen(c)) AS b FROM parts
+              UNION ALL SELECT 1, 'out', count(*), sum(strlen(g) + strlen(f) + strlen(v)) FROM fields
+              UNION ALL SELECT 2, unnest(['in', 'out']), count(*),
+                     sum(strlen(g) + strlen(f) + strlen(v) + strlen(n::VARCHAR)) FROM counted
+              UNION ALL SELECT 3, unnest(['in', 'out']), count(*),
+                     sum(strlen(g) + strlen(f) + strlen(v) + strlen(n::VARCHAR) + 1)
+                     FROM placed WHERE place <= 2
+              UNION ALL SELECT 4, 'in', count(*),
+                     sum(strlen(k) + strlen(g) + strlen(a) + strlen(b) + strlen(c)) FROM parts
+              UNION ALL SELECT 4, unnest(['in', 'out']), count(*), sum(strlen(u) + strlen(k)) FROM sold
+              UNION ALL SELECT 4, 'in', count(*), sum(strlen(u) + strlen(p) + strlen(age)) FROM people
+              UNION ALL SELECT 4, 'out', count(*), sum(strlen(k)) FROM parts
+                     WHERE p_size IN {_DEPARTMENTS}
+              UNION ALL SELECT unnest([4, 5, 5]), unnest(['out', 'in', 'out']), count(*),
+                     sum(strlen(u)) FROM people WHERE c_acctbal > {OLDER_THAN}
+              UNION ALL SELECT 5, unnest(['in', 'out']), count(*), sum(strlen(u)) FROM sold
+                     WHERE p_size IN {_DEPARTMENTS}
+              UNION ALL SELECT 6, 'in', count(*), sum(strlen(lang) + strlen(text)) FROM documents
+              UNION ALL SELECT 6, 'out', count(*), sum(strlen(lang) + strlen(term))
+                     FROM {_tokens('lang')}),
+            names(step, name) AS (VALUES
+              (1, 'modes: one row per field'), (2, 'modes: rank values'),
+              (3, 'modes: collect leaders'), (4, 'purchases: filter and tag'),
+              (5, 'purchases: count'), (6, 'terms: one row per term'))
+            SELECT step::INTEGER AS step, name,
+                   (sum(r) FILTER (WHERE side = 'in'))::BIGINT AS records_in,
+                   (sum(r) FILTER (WHERE side = 'out'))::BIGINT AS records_out,
+                   round(sum(r) FILTER (WHERE side = 'out') / sum(r) FILTER (WHERE side = 'in'), 8)
+                     AS rate,
+                   sum(b)::BIGINT AS communication
+            FROM sides JOIN names USING (step) GROUP BY step, name""",
         "json_field_count": """
             SELECT TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, count(*) AS n
             FROM events GROUP BY 1""",

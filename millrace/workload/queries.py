@@ -71,7 +71,7 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 @_query
 def scan_json_lines(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir, "doc_id", "lang", "text")
     good = docs.select(
         F.to_json(
             F.struct("doc_id", F.col("text").alias("reviewText"), F.col("lang").alias("category"))
@@ -93,7 +93,7 @@ def scan_csv_quoted(spark, sf_dir):
 @_query
 def scan_delimited_text(spark, sf_dir):
     """Rows with quotes as data, bad numbers, missing and surplus fields."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     price = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(
         F.col("o_totalprice").cast("string")
     )
@@ -520,23 +520,33 @@ def bubble_table(spark, sf_dir):
 
 @_query
 def replication_rate(spark, sf_dir):
-    """Map-side growth of the modes job (over parts) and of the term count (over documents)."""
-    listed = articles(spark, sf_dir).drop("article_id")
+    """Map-side growth of the modes job, the purchase count and the term count."""
+    listed = articles(spark, sf_dir)
+    described = listed.drop("article_id")
     fields = ["prod_name", "section_name", "department_name"]
-    long = ranking.unpivot_values(listed, "garment_group_name", fields)
+    long = ranking.unpivot_values(described, "garment_group_name", fields)
     counted = counting.group_count(long, "garment_group_name", "field", "value")
+    leaders = ranking.leading_values(long, "garment_group_name")
+
+    wanted = filters.member_of(listed, "department_name", DEPARTMENTS).select("article_id")
+    bought = transactions(spark, sf_dir).select("customer_id", "article_id")
+    people = customers(spark, sf_dir).select("customer_id", "postal_code", "age")
+    older = filters.filter_guarded_numeric(people, "age", OLDER_THAN, "double").select("customer_id")
+    matched = bought.join(wanted, "article_id", "left_semi").select("customer_id")
+
     docs = _documents(spark, sf_dir, "lang", "text")
     tokens = terms.tokenize(docs, "text", keep=["lang"])
-    return _rounded(
-        checks.replication_rate(
-            [
-                ("modes: one row per field", listed, long),
-                ("modes: rank values", counted, counted),
-                ("terms: one row per term", docs, tokens),
-            ]
-        ),
-        {"rate": 8},
-    )
+    rates = checks.replication_rate(
+        [
+            ("modes: one row per field", [described], [long]),
+            ("modes: rank values", [counted], [counted]),
+            ("modes: collect leaders", [leaders], [leaders]),
+            ("purchases: filter and tag", [listed, bought, people], [wanted, bought, older]),
+            ("purchases: count", [matched, older], [matched, older]),
+            ("terms: one row per term", [docs], [tokens]),
+        ]
+    )
+    return _rounded(rates, {"rate": 8})
 
 
 @_query

@@ -41,5 +41,13 @@ def test_exact_and_tolerant_equality(spark, pairs, identical, equal):
 def test_replication_rate(spark):
     one = spark.createDataFrame([("ab", 1), (None, 22)], "a string, b int")
     three = one.select(F.explode(F.array(F.lit("x"), F.lit("y"), F.lit("z"))).alias("c"))
-    got = rows(checks.replication_rate([("expand", one, three), ("nothing", one.where("b > 99"), one)]))
-    assert got == [(1, "expand", 2, 6, 3.0, 5 + 6), (2, "nothing", 0, 2, None, 5)]
+    steps = [
+        ("expand", [one], [three]),
+        ("nothing read", [one.where("b > 99")], [one]),
+        ("two tables", [one, three], [one.select("a"), three.where("c = 'x'")]),
+    ]
+    assert rows(checks.replication_rate(steps)) == [
+        (1, "expand", 2, 6, 3.0, 5 + 6),
+        (2, "nothing read", 0, 2, None, 5),
+        (3, "two tables", 8, 4, 0.5, 5 + 6 + 2 + 2),
+    ]

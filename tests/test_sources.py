@@ -52,13 +52,20 @@ def test_quoted_csv(spark, tmp_path):
 
 
 def test_csv_by_header_name(spark, tmp_path):
-    path = write(tmp_path / "p.csv", "Country Name,Country.Code,X2019,X2020", "A,AAA,1,2", "B,BBB,,x")
+    path = write(tmp_path / "p.csv", "Country Name,Country Code,2019,2020", "A,AAA,1,2", "B,BBB,,x")
     got = readers.read_csv_header(
         spark, path, {"Country.Code": "code string", "X2020": "population bigint"}
     )
     assert rows(got) == [("AAA", 2), ("BBB", None)]
 
 
+def test_header_names_become_identifiers():
+    header = ["Country Code", "2020", "ok", "ok", "_x", ".5", "a-b"]
+    assert readers.sanitized_names(header) == [
+        "Country.Code", "X2020", "ok", "ok.1", "X_x", "X.5", "a.b",
+    ]
+
+
 def test_delimited_text_takes_quotes_as_data(spark, tmp_path):
     schema = "id bigint, name string, at timestamp_ntz"
     path = write(
