@@ -89,14 +89,20 @@ def replication_rate(steps: list[tuple[str, list[DataFrame], list[DataFrame]]])
     read plus the bytes handed to the shuffle. Counts are aggregates and not
     accumulators, so a repeated task changes nothing.
     """
+    frames: dict[int, DataFrame] = {}
+    uses: dict[int, list[str]] = {}
+    for number, (_, inputs, outputs) in enumerate(steps, start=1):
+        for side, listed in (("in", inputs), ("out", outputs)):
+            for df in listed:
+                frames[id(df)] = df
+                uses.setdefault(id(df), []).append(f"struct({number} AS step, '{side}' AS side)")
+    # A table is counted once, however many steps it takes part in.
     sides = [
         df.agg(
             F.count(F.lit(1)).alias("records"),
             F.coalesce(F.sum(_record_bytes(df)), F.lit(0)).alias("bytes"),
-        ).selectExpr(f"{number} AS step", f"'{side}' AS side", "records", "bytes")
-        for number, (_, inputs, outputs) in enumerate(steps, start=1)
-        for side, frames in (("in", inputs), ("out", outputs))
-        for df in frames
+        ).selectExpr(f"inline(array({', '.join(uses[key])}))", "records", "bytes")
+        for key, df in frames.items()
     ]
     totals = (
         reduce(DataFrame.unionAll, sides)
