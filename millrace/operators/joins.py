@@ -59,12 +59,29 @@ def first_rows(df: DataFrame, order: list[Column], rows: int = 20) -> DataFrame:
 
 
 def left_join_enrich(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    repeated_right: bool = False,
 ) -> DataFrame:
     """Left outer join on differently named keys.
 
     Every left row stays, repeated keys included; without a partner the right
     columns are NULL. The right key is dropped.
+
+    A hot key on the left is split at run time, one on the right of an outer join
+    cannot be. Set ``repeated_right`` where right keys repeat heavily: matches then
+    come from an inner join, which splits on both sides, and the other left rows
+    from an anti-join with the distinct right keys.
     """
-    joined = left.join(right, left[left_key] == right[right_key], "left")
-    return joined.drop(right[right_key])
+    same = left[left_key] == right[right_key]
+    if not repeated_right:
+        return left.join(right, same, "left").drop(right[right_key])
+    matched = left.join(right, same).drop(right[right_key])
+    keys = right.select(F.col(right_key).alias("_right_key")).distinct()
+    alone = left.join(keys, F.col(left_key) == F.col("_right_key"), "left_anti")
+    missing = [
+        F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != right_key
+    ]
+    return matched.unionAll(alone.select("*", *missing))

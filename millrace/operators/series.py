@@ -4,26 +4,72 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.session import staged
 
+# Rows of a series that one task may take in order.
+LONG_SERIES = 5_000_000
+
 
 def consecutive_ratio(
     df: DataFrame, key: str, order: str, value: str, chunk: Column | None = None
 ) -> DataFrame:
     """``next value / value`` along each series; NULL at its end.
 
-    A series is one window group and so one task. For long series, ``chunk``
-    gives an expression that never decreases along ``order`` (a day, a month):
-    each chunk is then a group of its own, and the last row of a chunk takes its
-    successor from the next chunk's first row, out of a table with one row per
-    chunk. ``order`` must be unique within a series.
+    ``order`` must be unique within a series. A series taken whole is one window
+    group and so one task. Longer ones are cut into chunks: each chunk is a group
+    of its own, and its last row takes the successor from the next chunk's first
+    row, out of a table with one row per chunk.
+
+    ``chunk`` gives the cut as an expression that never decreases along ``order``
+    (a day, a month). Without it, series over ``LONG_SERIES`` rows are cut evenly
+    along their range where ``order`` is a number, a date or a time.
     """
-    if chunk is None:
-        following = F.lead(value).over(Window.partitionBy(key).orderBy(order))
-        return df.withColumn("ratio", F.try_divide(following, F.col(value)))
+    if chunk is not None:
+        return _by_chunk(df.withColumn("_chunk", chunk), df.columns, key, order, value)
+
+    position = _position(df, order)
+    if position is not None:
+        spans = staged(
+            df.groupBy(F.col(key).alias("_span_key")).agg(
+                F.count(F.lit(1)).alias("_n"),
+                F.min(position).alias("_from"),
+                F.max(position).alias("_to"),
+            ),
+            "spans",
+        )
+        if not spans.where(F.col("_n") > LONG_SERIES).isEmpty():
+            part = F.try_divide(position - F.col("_from"), F.col("_to") - F.col("_from"))
+            pieces = F.ceil(2 * F.col("_n") / LONG_SERIES)
+            cut = df.join(spans, F.col(key).eqNullSafe(F.col("_span_key"))).select(
+                *df.columns, F.floor(F.coalesce(part, F.lit(0.0)) * pieces).alias("_chunk")
+            )
+            return _by_chunk(cut, df.columns, key, order, value)
+
+    following = F.lead(value).over(Window.partitionBy(key).orderBy(order))
+    return df.withColumn("ratio", F.try_divide(following, F.col(value)))
 
-    cut = df.withColumn("_chunk", chunk)
+
+def _position(df: DataFrame, order: str) -> Column | None:
+    """The order column as a number that grows with it, None for other types."""
+    kind, column = df.schema[order].dataType, F.col(order)
+    if isinstance(kind, T.NumericType):
+        return column.cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        seconds = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+        return F.unix_date(column.cast("date")).cast("double") * 86400 + seconds
+    return None
+
+
+def _by_chunk(
+    cut: DataFrame, columns: list[str], key: str, order: str, value: str
+) -> DataFrame:
+    """The ratio where ``_chunk`` says which piece of its series a row belongs to."""
     first = F.min(F.struct(F.col(order).alias("o"), F.col(value).alias("v")))
     firsts = cut.groupBy(key, "_chunk").agg(first.getField("v").alias("_first"))
     upcoming = F.lead("_first").over(Window.partitionBy(key).orderBy("_chunk"))
@@ -42,5 +88,5 @@ def consecutive_ratio(
         .join(chunks, same, "left")
         .withColumn("_next", F.when(F.col("_last"), F.col("_upcoming")).otherwise(F.col("_next")))
         .withColumn("ratio", F.try_divide(F.col("_next"), F.col(value)))
-        .select(*df.columns, "ratio")
+        .select(*columns, "ratio")
     )

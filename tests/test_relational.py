@@ -139,12 +139,13 @@ def test_first_rows(spark):
     assert [r[0] for r in got.collect()] == list(range(49, 29, -1))
 
 
-def test_left_join_keeps_every_left_row(spark):
-    left = spark.createDataFrame([("PSE", 1), ("PSE", 2), ("XXX", 3)], "code string, v int")
-    right = spark.createDataFrame([("PSE", 9)], "country string, p int")
-    got = joins.left_join_enrich(left, right, "code", "country")
+@pytest.mark.parametrize("repeated_right", [False, True])
+def test_left_join_keeps_every_left_row(spark, repeated_right):
+    left = spark.createDataFrame([("PSE", 1), ("PSE", 2), ("XXX", 3), (None, 4)], "code string, v int")
+    right = spark.createDataFrame([("PSE", 9), ("YYY", 8), (None, 7)], "country string, p int")
+    got = joins.left_join_enrich(left, right, "code", "country", repeated_right)
     assert got.columns == ["code", "v", "p"]
-    assert rows(got) == [("PSE", 1, 9), ("PSE", 2, 9), ("XXX", 3, None)]
+    assert rows(got) == [("PSE", 1, 9), ("PSE", 2, 9), ("XXX", 3, None), (None, 4, None)]
 
 
 def test_active_posts_need_a_repeated_link(spark):

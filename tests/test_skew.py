@@ -1,0 +1,90 @@
+"""Tables in which one key owns a third of the rows or more, with shuffled joins."""
+
+from collections import Counter
+
+import pytest
+from conftest import plan_of, rows
+
+from millrace.operators import joins, ranking
+from millrace.plans import retail
+
+N = 120_000
+
+
+@pytest.fixture
+def shuffled(spark):
+    """No broadcast, and small limits from which on a partition counts as skewed."""
+    settings = {
+        "spark.sql.shuffle.partitions": "40",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture
+def shop(spark):
+    sales = spark.range(N).selectExpr(
+        "id AS t_dat",
+        "IF(id % 3 = 0, 1, id % 4999) AS article_id",
+        "IF(id % 5 < 2, 7, id % 3001) AS customer_id",
+    )
+    articles = spark.range(5000).selectExpr("id AS article_id", "id % 4 AS department_name")
+    customers = spark.range(3001).selectExpr("id AS customer_id", "string(id % 60) AS age")
+    return articles, sales.repartition(8), customers
+
+
+def expected():
+    counts = Counter()
+    for i in range(N):
+        article = 1 if i % 3 == 0 else i % 4999
+        customer = 7 if i % 5 < 2 else i % 3001
+        if article % 4 in (1, 2) and customer % 60 > 3:
+            counts[customer] += 1
+    return sorted(counts.items(), key=lambda t: tuple(str(v) for v in t))
+
+
+@pytest.mark.parametrize(
+    "job", [retail.purchases_per_customer, retail.transactions_of_known_customers]
+)
+def test_counts_with_a_hot_article_and_a_hot_customer(shuffled, shop, job):
+    articles, sales, customers = shop
+    key = lambda t: tuple(str(v) for v in t)
+    got = sorted((tuple(r) for r in job(articles, sales, customers, [1, 2], 3).collect()), key=key)
+    assert [(c, n) for c, n in got] == expected()
+
+
+def test_a_hot_left_key_is_split_at_run_time(shuffled, shop):
+    _, sales, _ = shop
+    right = shuffled.range(4999).selectExpr("id AS a", "id * 2 AS p")
+    joined = joins.left_join_enrich(sales, right, "article_id", "a")
+    assert len(joined.collect()) == N
+    assert "skew=true" in plan_of(joined)
+
+
+def test_a_hot_right_key_is_split_at_run_time(shuffled, shop):
+    _, sales, _ = shop
+    left = shuffled.range(6000).selectExpr("id AS a", "id * 2 AS p")
+    joined = joins.left_join_enrich(left, sales, "a", "article_id", repeated_right=True)
+    assert len(joined.collect()) == N + 6000 - 4999
+    assert "skew=true" in plan_of(joined)
+
+
+def test_most_frequent_values_of_a_hot_group(shuffled):
+    df = shuffled.range(N).selectExpr(
+        "IF(id % 3 = 0, 'hot', string(id % 97)) AS g", "string(id % 1000 * (id % 7)) AS v"
+    )
+    top = rows(ranking.top_by_count(df, "g", "v"))
+    counts: dict[str, Counter] = {}
+    for i in range(N):
+        g = "hot" if i % 3 == 0 else str(i % 97)
+        counts.setdefault(g, Counter())[str(i % 1000 * (i % 7))] += 1
+    assert {g: (v, n) for g, v, n in top} == {
+        g: min(((v, n) for v, n in c.items()), key=lambda t: (-t[1], t[0])) for g, c in counts.items()
+    }

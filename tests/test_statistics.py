@@ -193,3 +193,21 @@ def test_consecutive_ratio(spark):
     for width in (1, 2, 3, 100):
         chunk = F.floor(F.col("t") / width)
         assert rows(series.consecutive_ratio(df, "k", "t", "v", chunk)) == plain
+
+
+@pytest.mark.parametrize("kind", ["int", "double", "date", "timestamp", "timestamp_ntz", "string"])
+def test_long_series_are_cut_by_themselves(spark, monkeypatch, kind):
+    order = {
+        "int": "int(id * id)",
+        "double": "double(id) / 7",
+        "date": "date_add(date'2024-01-01', int(id))",
+        "timestamp": "timestamp_seconds(id * id * 1000)",
+        "timestamp_ntz": "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)",
+        "string": "format_string('%04d', id)",
+    }[kind]
+    key = "IF(id % 3 = 0, 'other', 'hot')"
+    df = spark.range(300).selectExpr(f"{key} AS k", f"{order} AS t", "double(id % 11) AS v")
+    df = df.unionAll(spark.createDataFrame([("single", 1.0)], "k string, v double").selectExpr("k", f"{order.replace('id', '5')} AS t", "v"))
+    plain = rows(series.consecutive_ratio(df, "k", "t", "v"))
+    monkeypatch.setattr(series, "LONG_SERIES", 20)
+    assert rows(series.consecutive_ratio(df, "k", "t", "v")) == plain
