@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.values import is_finite
 from millrace.operators.quantiles import exact_quantiles, finite_values, group_sketch
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -69,9 +70,8 @@ def boxplot_outliers(df: DataFrame, group: str, value: str) -> DataFrame:
     fences = _fences(df, group, value).select(F.col("grp").alias("_g"), "low_fence", "high_fence")
     number = F.col(value).cast("double")
     outside = (number < F.col("low_fence")) | (number > F.col("high_fence"))
-    finite = F.abs(number) < F.lit(float("inf"))
-    joined = df.join(fences, F.col(group).eqNullSafe(F.col("_g")) & finite & outside)
-    return joined.select(*df.columns)
+    same = F.col(group).eqNullSafe(F.col("_g"))
+    return df.join(fences, same & is_finite(number) & outside).select(*df.columns)
 
 
 def grouped_density(

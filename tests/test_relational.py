@@ -87,7 +87,13 @@ def test_modes_blank_values(spark):
 @pytest.fixture
 def shop(spark):
     articles = spark.createDataFrame(
-        [("a1", "zip", "Shirt", "G"), ("a1", "zip", "Shirt", "G"), ("a2", "sock", "Socks", "G"), ("a3", "sock", "Socks", "G"), ("a4", "abc", "Shirt", "G")],
+        [
+            ("a1", "zip", "Shirt", "G"),
+            ("a1", "zip", "Shirt", "G"),
+            ("a2", "sock", "Socks", "G"),
+            ("a3", "sock", "Socks", "G"),
+            ("a4", "abc", "Shirt", "G"),
+        ],
         "article_id string, prod_name string, department_name string, garment_group_name string",
     )
     customers = spark.createDataFrame(

@@ -65,7 +65,8 @@ def test_quantiles_with_one_group_holding_most_rows(spark, limit):
     ids=["ties", "extremes", "constant", "not-finite", "single"],
 )
 def test_quantiles_of_odd_groups(spark, limit, values):
-    df = spark.createDataFrame([("g", None if v is None else float(v)) for v in values], "g string, v double")
+    data = [("g", None if v is None else float(v)) for v in values]
+    df = spark.createDataFrame(data, "g string, v double")
     kept = [v for v in values if v is not None and math.isfinite(v)]
     assert_close(quantile_rows(df), {"g": tuple(np.quantile(kept, PROBS))})
 
@@ -76,7 +77,8 @@ def test_quantiles_survive_a_useless_sketch(spark, monkeypatch):
     frame = pd.DataFrame({"g": ["x"] * 5000 + ["y"] * 10, "v": np.arange(5010.0)})
     values = quantiles.finite_values(spark.createDataFrame(frame), "g", "v")
     good = quantiles.group_sketch(values, PROBS)
-    wrong = F.when(F.col("g_ok"), F.col("ends")).otherwise(F.array(*[F.lit(-float(i)) for i in range(9, 3, -1)]))
+    elsewhere = F.array(*[F.lit(-float(i)) for i in range(9, 3, -1)])
+    wrong = F.when(F.col("g_ok"), F.col("ends")).otherwise(elsewhere)
     bad = good.withColumn("g_ok", F.col("grp") == "y").withColumn("ends", wrong).drop("g_ok")
     got = {r[0]: tuple(r)[1:] for r in quantiles.exact_quantiles(values, bad, PROBS).collect()}
     assert_close(got, expected(frame))
@@ -103,7 +105,8 @@ def test_density_integrates_to_one_and_matches_the_formula(spark):
     rng = np.random.default_rng(5)
     values = np.concatenate([rng.normal(0, 1, 400), [-12.0, 12.0]])
     frame = pd.DataFrame({"g": "a", "v": values})
-    got = distribution.grouped_density(spark.createDataFrame(frame), "g", "v").toPandas().sort_values("point")
+    density = distribution.grouped_density(spark.createDataFrame(frame), "g", "v")
+    got = density.toPandas().sort_values("point")
     assert len(got) == 512
     iqr = np.subtract(*np.quantile(values, [0.75, 0.25]))
     h = 0.9 * min(values.std(ddof=1), iqr / 1.34) * len(values) ** -0.2
@@ -184,7 +187,8 @@ def test_residual_chain_stops_at_the_failing_step(spark):
 
 def test_consecutive_ratio(spark):
     df = spark.createDataFrame(
-        [("a", t, float(v)) for t, v in enumerate([1, 1, 2, 3, 5, 0, 8])] + [("b", 0, 4.0), (None, 1, 1.0), (None, 2, 3.0)],
+        [("a", t, float(v)) for t, v in enumerate([1, 1, 2, 3, 5, 0, 8])]
+        + [("b", 0, 4.0), (None, 1, 1.0), (None, 2, 3.0)],
         "k string, t int, v double",
     )
     plain = rows(series.consecutive_ratio(df, "k", "t", "v"))
@@ -206,8 +210,9 @@ def test_long_series_are_cut_by_themselves(spark, monkeypatch, kind):
         "string": "format_string('%04d', id)",
     }[kind]
     key = "IF(id % 3 = 0, 'other', 'hot')"
-    df = spark.range(300).selectExpr(f"{key} AS k", f"{order} AS t", "double(id % 11) AS v")
-    df = df.unionAll(spark.createDataFrame([("single", 1.0)], "k string, v double").selectExpr("k", f"{order.replace('id', '5')} AS t", "v"))
+    many = spark.range(300).selectExpr(f"{key} AS k", f"{order} AS t", "double(id % 11) AS v")
+    single = spark.range(5, 6).selectExpr("'single' AS k", f"{order} AS t", "1D AS v")
+    df = many.unionAll(single)
     plain = rows(series.consecutive_ratio(df, "k", "t", "v"))
     monkeypatch.setattr(series, "LONG_SERIES", 20)
     assert rows(series.consecutive_ratio(df, "k", "t", "v")) == plain

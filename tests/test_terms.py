@@ -63,7 +63,8 @@ def test_tokenize_takes_a_stream(spark, tmp_path):
 
 def test_chi_square_by_hand(spark):
     df = docs(spark, ("t", "c"), ("t u", "c"), ("u", "d"), ("v", "d"))
-    got = {(r.category, r.term): tuple(r)[2:] for r in association.chi_square_scores(df, "text", "category").collect()}
+    scores = association.chi_square_scores(df, "text", "category").collect()
+    got = {(r.category, r.term): tuple(r)[2:] for r in scores}
     assert got[("c", "t")] == (2, 0, 0, 2, 1.0)
     assert got[("d", "u")] == (1, 1, 1, 1, 0.0)
 
@@ -77,7 +78,8 @@ def test_chi_square_zero_denominator(spark):
 
 def test_chi_square_counts_documents_without_text_or_category(spark):
     df = docs(spark, ("t", "c"), (None, "c"), ("u", None), ("", "d"))
-    got = {(r.category, r.term): (r.a, r.b, r.c, r.d) for r in association.chi_square_scores(df, "text", "category").collect()}
+    scores = association.chi_square_scores(df, "text", "category").collect()
+    got = {(r.category, r.term): (r.a, r.b, r.c, r.d) for r in scores}
     assert got == {("c", "t"): (1, 0, 1, 2), ("?", "u"): (1, 0, 0, 3)}
 
 
