@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 
 def parse_flag(text: Column, yes: str = "yes") -> Column:
@@ -27,9 +28,11 @@ def number_above(text: Column, bound: int | float, number_type: str = "int") ->
     return text.try_cast(number_type) > F.lit(bound)
 
 
-def locale_number(text: Column, decimal_mark: str = ",") -> Column:
-    """A double from text that uses its own decimal mark."""
-    return F.replace(text, F.lit(decimal_mark), F.lit(".")).try_cast("double")
+def locale_number(
+    text: Column, decimal_mark: str = ",", number_type: str | DataType = "double"
+) -> Column:
+    """A number from text that uses its own decimal mark."""
+    return F.replace(text, F.lit(decimal_mark), F.lit(".")).try_cast(number_type)
 
 
 def is_finite(value: Column) -> Column:

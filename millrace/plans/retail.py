@@ -82,16 +82,14 @@ def purchases_per_customer_sql(
     return spark.sql(
         f"""
         WITH bought AS (
-          SELECT t.customer_id, count(t.t_dat) AS n
-          FROM transactions t, articles a
-          WHERE a.article_id = t.article_id
-            AND array_contains(:departments, a.department_name)
-          GROUP BY t.customer_id)
-        SELECT c.customer_id, sum(b.n) AS count_transactions
-        FROM bought b, customers c
-        WHERE c.customer_id = b.customer_id
-          AND try_cast(c.age AS {number_type}) > :older_than
-        GROUP BY c.customer_id
+          SELECT customer_id, count(t_dat) AS n
+          FROM transactions JOIN articles USING (article_id)
+          WHERE array_contains(:departments, department_name)
+          GROUP BY customer_id)
+        SELECT customer_id, sum(n) AS count_transactions
+        FROM bought JOIN customers USING (customer_id)
+        WHERE try_cast(age AS {number_type}) > :older_than
+        GROUP BY customer_id
         ORDER BY count_transactions DESC, customer_id
         """,
         args={"departments": F.array(*[F.lit(d) for d in departments]), "older_than": older_than},

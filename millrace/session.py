@@ -68,7 +68,8 @@ def spread(df: DataFrame) -> DataFrame:
     """Spread a scan that has fewer input splits than the cluster has cores.
 
     For CPU-heavy work over a few unsplittable files. Inputs with enough splits
-    pass through unchanged, so large tables are never shuffled by this.
+    pass through unchanged, so large tables are never shuffled by this. ``df`` is
+    a scan, with filters and projections at most: only its splits are counted.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

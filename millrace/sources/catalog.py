@@ -15,9 +15,12 @@ def create_table(spark: SparkSession, name: str, schema: str | T.StructType) ->
     return spark.catalog.createTable(name, source="parquet", schema=declared)
 
 
-def create_forum_tables(spark: SparkSession, database: str) -> list[str]:
-    """The six tables of a question-and-answer site."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+def create_forum_tables(
+    spark: SparkSession, database: str, location: str | None = None
+) -> list[str]:
+    """The six tables of a question-and-answer site, in a database of their own."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
     for name, schema in FORUM_TABLES.items():
         create_table(spark, f"{database}.{name}", schema)
     return list(FORUM_TABLES)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.values import locale_number
+
 # Never part of a text line: lets the CSV reader hand over whole raw lines.
 _NO_SEPARATOR = "\u0001"
 
@@ -146,8 +148,8 @@ def read_csv_locale(
     for field in fields:
         value = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            value = F.replace(value, F.lit(decimal_mark), F.lit("."))
-        if not isinstance(field.dataType, T.StringType):
+            value = locale_number(value, decimal_mark, field.dataType)
+        elif not isinstance(field.dataType, T.StringType):
             value = value.try_cast(field.dataType)
         out.append(value.alias(field.name))
     return raw.select(*out)

@@ -434,4 +434,6 @@ def oracle_sql() -> dict[str, str]:
             SELECT TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, count(*) AS n
             FROM events GROUP BY 1""",
     }
+    for name in ("q1_filtered_count", "q2_group_count", "q3_top_by_count"):
+        sql[f"{name}_sql"] = sql[name]
     return {name: statement.strip() for name, statement in sql.items()}

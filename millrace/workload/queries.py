@@ -240,11 +240,23 @@ def q1_filtered_count(spark, sf_dir):
     return retail.count_department(articles(spark, sf_dir), 7)
 
 
+@_query
+def q1_filtered_count_sql(spark, sf_dir):
+    catalog.register_views({"articles": articles(spark, sf_dir)})
+    return retail.count_department_sql(spark, 7)
+
+
 @_query
 def q2_group_count(spark, sf_dir):
     return retail.customers_per_postal_code(customers(spark, sf_dir))
 
 
+@_query
+def q2_group_count_sql(spark, sf_dir):
+    catalog.register_views({"customers": customers(spark, sf_dir)})
+    return retail.customers_per_postal_code_sql(spark)
+
+
 @_query
 def having_duplicates(spark, sf_dir):
     return counting.having_duplicates(
@@ -257,6 +269,12 @@ def q3_top_by_count(spark, sf_dir):
     return retail.top_product_per_group(articles(spark, sf_dir))
 
 
+@_query
+def q3_top_by_count_sql(spark, sf_dir):
+    catalog.register_views({"articles": articles(spark, sf_dir)})
+    return retail.top_product_per_group_sql(spark)
+
+
 @_query
 def q3_first_by_name(spark, sf_dir):
     return retail.first_product_per_group(articles(spark, sf_dir))

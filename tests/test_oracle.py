@@ -16,7 +16,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLE.keys()
-    assert len(QUERIES) == 49
+    assert len(QUERIES) == 52
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

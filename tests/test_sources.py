@@ -106,8 +106,9 @@ def test_mixed_tables_are_told_apart_by_width(spark, tmp_path):
     assert rows(tables["people"]) == [(7, "a, b", 31), (8, 'c "d"', None)]
 
 
-def test_forum_tables(spark):
-    assert len(catalog.create_forum_tables(spark, "forum")) == 6
+def test_forum_tables(spark, tmp_path):
+    assert len(catalog.create_forum_tables(spark, "forum", str(tmp_path / "db"))) == 6
+    assert len(list((tmp_path / "db").iterdir())) == 6
     for name, ddl in FORUM_TABLES.items():
         assert spark.table(f"forum.{name}").schema == T.StructType.fromDDL(ddl)
     spark.sql("DROP DATABASE forum CASCADE")
