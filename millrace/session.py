@@ -34,12 +34,13 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the cluster; a temporary one only in local mode."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.conf.get("spark.app.id", "local")
+    app = context.applicationId
     if app not in _local_scratch:
         _local_scratch[app] = tempfile.mkdtemp(prefix="millrace-")
     return _local_scratch[app]

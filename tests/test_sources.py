@@ -148,3 +148,12 @@ def test_views_are_visible_to_sql(spark):
 
 def test_scratch_folder_is_the_configured_one(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(session)
