@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe_codec, packing, token_counts, token_files, warc
+from millrace.llm import bpe_codec, fingerprint, jaccard, language, packing, quality, secret_scan, token_counts, token_files, warc
 from millrace.llm.runtime import documents, ready
 from millrace.llm.tokens import tokenizer_path
 
@@ -42,25 +42,83 @@ def op2_bpe_codec(spark, sf_dir):
     return bpe_codec.bpe_round_trip(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
+@_query
+def op3_fingerprints(spark, sf_dir):
+    """Fingerprints of every text, its edited text and its neighbour."""
+    return fingerprint.fingerprints(documents(spark, sf_dir))
+
+
+@_query
+def op4_jaccard(spark, sf_dir):
+    """Components of near-equal documents."""
+    return jaccard.jaccard_components(documents(spark, sf_dir))
+
+
 @_query
 def op5_packing(spark, sf_dir):
     """All documents in sequences of 2048 tokens."""
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+@_query
+def op6_language(spark, sf_dir):
+    """The language of every text, learned from the documents that are not held out."""
+    docs = documents(spark, sf_dir)
+    return language.identify(docs, language.fit_profiles(docs))
+
+
 @_query
 def op7_token_files(spark, sf_dir):
     """All token ids through patched frame-of-reference files and back."""
     return token_files.token_file_round_trip(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+@_query
+def op8_quality(spark, sf_dir):
+    """Statistics and verdict of every text, by trees fitted to the labels."""
+    docs = documents(spark, sf_dir)
+    return quality.quality_report(docs, quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 @_query
 def op9_token_counts(spark, sf_dir):
     """Token counts of every text."""
     return token_counts.token_counts(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+@_query
+def op10_secrets(spark, sf_dir):
+    """Secrets in every text."""
+    docs = documents(spark, sf_dir)
+    return secret_scan.secret_report(docs, secret_scan.fit_models(docs))
+
+
 ORACLE_SQL = {
+    "op4_jaccard": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                   ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+            FROM words
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+            JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, x.n, y.n
+            HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+        ), reached AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION
+            SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+        )
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+        FROM documents d LEFT JOIN sizes USING (doc_id)
+        JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a) USING (doc_id)
+    """,
     "op1_warc": """
         WITH payloads AS (
             SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
