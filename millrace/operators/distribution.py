@@ -79,7 +79,9 @@ def grouped_density(
 ) -> DataFrame:
     """Gaussian kernel density per group on one grid over the range of the whole column.
 
-    The bandwidth is ``0.9 * min(sd, IQR / 1.34) * n^-0.2``. Each value is shared
+    The bandwidth is ``0.9 * min(sd, IQR / 1.34) * n^-0.2``. Where that minimum is zero or
+    missing, the standard deviation takes its place, then the size of the smallest value,
+    then 1, so that a group without spread has a curve too. Each value is shared
     linearly between its two grid points by one partial aggregate; what is left is
     at most ``points`` weights per group. Each grid point adds them up inside its
     row, with the kernel looked up by distance.
@@ -87,7 +89,10 @@ def grouped_density(
     rows = finite_values(df, group, value)
     sketch = group_sketch(rows, QUARTILES, [F.stddev_samp("v").alias("sd")])
     quartiles = exact_quantiles(rows, sketch, QUARTILES).withColumnRenamed("grp", "g")
-    spread = F.least(F.col("sd"), F.nullif((F.col("q2") - F.col("q0")) / 1.34, F.lit(0.0)))
+    reach = (F.col("q2") - F.col("q0")) / 1.34
+    spread = F.coalesce(
+        *[F.nullif(s, F.lit(0.0)) for s in (F.least("sd", reach), F.col("sd"), F.abs("lo"))], F.lit(1.0)
+    )
     groups = sketch.join(quartiles, F.col("grp").eqNullSafe(F.col("g"))).select(
         "grp", "n", (0.9 * spread * F.pow(F.col("n"), F.lit(-0.2))).alias("bandwidth")
     )
@@ -102,7 +107,7 @@ def grouped_density(
     numbers = F.sequence(F.lit(0), F.lit(points - 1))
 
     def kernel_at(distance: Column) -> Column:
-        scaled = distance * F.col("grid.step") / F.col("bandwidth")
+        scaled = F.try_divide(distance * F.col("grid.step"), F.col("bandwidth"))
         return F.exp(-0.5 * scaled * scaled)
 
     curve = (

@@ -1,20 +1,16 @@
-"""Exact quantiles per group without gathering a large group in one task.
-
-``percentile`` holds every distinct value of a group in one aggregation buffer,
-which suits groups of a known, moderate size only. For larger groups a quantile
-sketch says roughly where the wanted ranks lie and the exact answer comes from
-counting:
-
-1. One partial aggregate gives each group's size and sketch, from which each
-   wanted quantile gets a narrow bracket of values.
-2. One pass counts rows per bracket, per gap between brackets and, inside a
-   bracket, per distinct value. Brackets are cut into cells, so ranks are summed
-   up within small pieces.
-3. Running counts over the cells and over the values of a cell turn into exact
-   ranks, and the values at the wanted ranks are picked.
-
-The sketch affects how much is counted in detail, never the result: a group whose
-wanted rank falls outside its bracket is counted once more in full detail.
+"""Exact quantiles per group without gathering a group in one task.
+
+A quantile sketch says roughly where the wanted ranks lie; the exact answer comes from
+counting, in the same way for groups of any size:
+
+1. One partial aggregate gives each group's size and sketch. The sketch cuts the values into
+   narrow brackets around the wanted ranks and the gaps between them.
+2. One partial aggregate counts the rows of every such part and takes a sketch of each, which
+   cuts a part into cells of about equal numbers of rows.
+3. Exact counts say which parts hold the wanted ranks, brackets as a rule. Only their rows are
+   counted per distinct value, and ranks are summed up cell by cell.
+
+The sketches decide how much is counted in detail, never the result.
 """
 
 from __future__ import annotations
@@ -25,10 +21,9 @@ from pyspark.sql import functions as F
 from millrace.functions.values import is_finite
 from millrace.session import staged
 
-# Groups up to this size are sorted in one aggregation buffer.
-BUFFERED_GROUP = 50_000
 SKETCH_ACCURACY = 2000
-CELLS = 64
+# Cells of a part: a cell has this share of its rows, heavy single values aside.
+CELLS = 256
 
 
 def finite_values(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -51,52 +46,20 @@ def group_sketch(rows: DataFrame, probs: list[float], extra: list[Column] | None
     return staged(sketch, "sketch")
 
 
-def _whole_range(n_ends: int) -> str:
-    """Bracket ends that make the whole range of a group one bracket."""
-    return f"concat(array(lo, hi), array_repeat(double('inf'), {n_ends - 2}))"
-
-
 def exact_quantiles(rows: DataFrame, sketch: DataFrame, probs: list[float]) -> DataFrame:
     """(grp, q0, q1, ...): linearly interpolated quantiles, in ascending order of ``probs``.
 
     ``rows`` comes from :func:`finite_values`, ``sketch`` from :func:`group_sketch`.
     """
     probs = sorted(probs)
-    large = sketch.where(F.col("n") > BUFFERED_GROUP)
-    sizes = sketch.agg(
-        F.count_if(F.col("n") > BUFFERED_GROUP).alias("large"), F.count(F.lit(1)).alias("all")
-    ).first()
-    if sizes["large"] == 0:
-        return staged(_buffered(rows, probs), "quantiles")
-    counted = _counted(rows, large, probs)
-    if sizes["large"] == sizes["all"]:
-        return counted
-    small = rows.join(large, _same_group(rows, large), "left_anti")
-    return counted.unionByName(staged(_buffered(small, probs), "quantiles"))
-
-
-def _buffered(rows: DataFrame, probs: list[float]) -> DataFrame:
-    quantiles = rows.groupBy("grp").agg(F.percentile("v", probs).alias("q"))
-    return quantiles.select("grp", *[F.col("q")[i].alias(f"q{i}") for i in range(len(probs))])
-
-
-def _counted(rows: DataFrame, sketch: DataFrame, probs: list[float]) -> DataFrame:
-    every_rank = " AND ".join(f"lo{i} IS NOT NULL AND hi{i} IS NOT NULL" for i in range(len(probs)))
-    picked = staged(_pick_ranks(rows, sketch, probs, CELLS), "ranks").where(every_rank)
-    missed = sketch.join(picked, _same_group(sketch, picked), "left_anti")
-    if not missed.isEmpty():
-        again = missed.withColumn("ends", F.expr(_whole_range(2 * len(probs))))
-        found = staged(_pick_ranks(rows, staged(again, "sketch"), probs, 64 * CELLS), "ranks")
-        picked = picked.unionByName(found)
+    wanted = _wanted_parts(rows, sketch, probs)
+    cells = staged(_count_cells(rows, sketch, wanted, len(probs)), "cells")
+    picked = _pick_ranks(cells, probs)
     between = [
         f"lo{i} + ({_rank(p)} - floor({_rank(p)})) * (hi{i} - lo{i}) AS q{i}"
         for i, p in enumerate(probs)
     ]
-    return picked.selectExpr("grp", *between)
-
-
-def _same_group(left: DataFrame, right: DataFrame) -> Column:
-    return left["grp"].eqNullSafe(right["grp"])
+    return staged(picked.selectExpr("grp", *between), "quantiles")
 
 
 def _rank(p: float) -> str:
@@ -104,24 +67,75 @@ def _rank(p: float) -> str:
     return f"((n - 1) * double({p!r}))"
 
 
-def _pick_ranks(rows: DataFrame, sketch: DataFrame, probs: list[float], cells: int) -> DataFrame:
-    """(grp, n, lo0, hi0, lo1, ...): values at the two ranks around each quantile."""
-    counted = staged(_count_cells(rows, sketch, len(probs), cells), "cells")
+def _parts(rows: DataFrame, sketch: DataFrame, brackets: int) -> DataFrame:
+    """(grp, v, n, part): odd parts are brackets, even ones the gaps around them."""
+    part = "".join(
+        f"WHEN v < ends[{2 * b}] THEN {2 * b} WHEN v <= ends[{2 * b + 1}] THEN {2 * b + 1} "
+        for b in range(brackets)
+    )
+    return rows.join(sketch.selectExpr("grp AS g", "n", "ends"), F.expr("grp <=> g")).selectExpr(
+        "grp", "v", "n", f"CASE {part} ELSE {2 * brackets} END AS part"
+    )
+
+
+def _wanted_parts(rows: DataFrame, sketch: DataFrame, probs: list[float]) -> DataFrame:
+    """(g, p, before, edges) of the parts that hold a wanted rank.
 
-    up_to_cell = F.sum("n_cell").over(Window.partitionBy("grp").orderBy("part", "cell"))
+    ``before`` is the number of smaller rows of the group, ``edges`` are where cells end. A
+    group has a handful of parts, so the running count is a small window.
+    """
+    shares = [k / CELLS for k in range(1, CELLS)]
+    counted = (
+        _parts(rows, sketch, len(probs))
+        .groupBy("grp", "part")
+        .agg(
+            F.first("n").alias("n"),
+            F.count(F.lit(1)).alias("n_part"),
+            F.percentile_approx("v", shares, SKETCH_ACCURACY).alias("edges"),
+        )
+    )
+    up_to = F.sum("n_part").over(Window.partitionBy("grp").orderBy("part"))
+    placed = counted.withColumn("before", up_to - F.col("n_part"))
+    holds = " OR ".join(
+        f"{side}({_rank(p)}) BETWEEN before AND before + n_part - 1"
+        for p in probs
+        for side in ("floor", "ceil")
+    )
+    return placed.where(holds).selectExpr(
+        "grp AS g", "part AS p", "before", "array_distinct(edges) AS edges"
+    )
+
+
+def _count_cells(rows: DataFrame, sketch: DataFrame, wanted: DataFrame, brackets: int) -> DataFrame:
+    """Row counts per (grp, n, part, before, cell, v) in the wanted parts."""
+    return (
+        _parts(rows, sketch, brackets)
+        .join(wanted, F.expr("grp <=> g AND part = p"))
+        .withColumn("cell", F.size(F.filter("edges", lambda e: e < F.col("v"))))
+        .groupBy("grp", "n", "part", "before", "cell", "v")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+    )
+
+
+def _pick_ranks(cells: DataFrame, probs: list[float]) -> DataFrame:
+    """(grp, n, lo0, hi0, lo1, ...): values at the two ranks around each quantile."""
+    up_to_cell = F.sum("n_cell").over(Window.partitionBy("grp", "part").orderBy("cell"))
     offsets = (
-        counted.groupBy("grp", "part", "cell")
+        cells.groupBy("grp", "part", "cell")
         .agg(F.sum("n_rows").alias("n_cell"))
         .withColumn("up_to_cell", up_to_cell)
-        .selectExpr("grp AS g", "part AS p", "cell AS c", "up_to_cell - n_cell AS before")
+        .selectExpr("grp AS g", "part AS p", "cell AS c", "up_to_cell - n_cell AS in_part")
     )
     up_to_value = F.sum("n_rows").over(Window.partitionBy("grp", "part", "cell").orderBy("v"))
     ranked = (
-        counted.where("v IS NOT NULL")
-        .withColumn("up_to_value", up_to_value)
+        cells.withColumn("up_to_value", up_to_value)
         .join(offsets, F.expr("grp <=> g AND part = p AND cell = c"))
         .selectExpr(
-            "grp", "v", "before + up_to_value - n_rows AS first", "before + up_to_value - 1 AS last"
+            "grp",
+            "n",
+            "v",
+            "before + in_part + up_to_value - n_rows AS first",
+            "before + in_part + up_to_value - 1 AS last",
         )
     )
     picks = [
@@ -129,35 +143,4 @@ def _pick_ranks(rows: DataFrame, sketch: DataFrame, probs: list[float], cells: i
         for i, p in enumerate(probs)
         for name, side in (("lo", "floor"), ("hi", "ceil"))
     ]
-    return (
-        ranked.join(sketch.selectExpr("grp AS g", "n"), F.expr("grp <=> g"))
-        .groupBy("grp")
-        .agg(F.max("n").alias("n"), *picks)
-    )
-
-
-def _count_cells(rows: DataFrame, sketch: DataFrame, brackets: int, cells: int) -> DataFrame:
-    """Row counts per (grp, part, cell, v).
-
-    Odd parts are brackets and keep their values; even parts are the gaps, which
-    only need a count (``v`` is NULL there).
-    """
-    part = "".join(
-        f"WHEN v < ends[{2 * b}] THEN {2 * b} WHEN v <= ends[{2 * b + 1}] THEN {2 * b + 1} "
-        for b in range(brackets)
-    )
-    # Halves keep the width of an extreme range finite.
-    low, high = "get(ends, part - 1) / 2", "get(ends, part) / 2"
-    place = f"try_divide(v / 2 - {low}, {high} - {low})"
-    return (
-        rows.join(sketch.selectExpr("grp AS g", "ends"), F.expr("grp <=> g"))
-        .selectExpr("grp", "v", "ends", f"CASE {part} ELSE {2 * brackets} END AS part")
-        .selectExpr(
-            "grp",
-            "part",
-            f"if(part % 2 = 1, coalesce(int(floor({place} * {cells})), 0), 0) AS cell",
-            "if(part % 2 = 1, v, NULL) AS v",
-        )
-        .groupBy("grp", "part", "cell", "v")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    return ranked.groupBy("grp").agg(F.max("n").alias("n"), *picks)

@@ -31,7 +31,7 @@ def ols_band_by_group(
     """The fitted line of each group over its own x range, with a 95 % confidence band.
 
     One aggregate per group; the points are then spanned inside the group's row.
-    The band is NULL below 10 degrees of freedom.
+    Groups of one or two rows have no degree of freedom left and a NULL band.
     """
     fits = (
         _complete(df, x, y)

@@ -8,8 +8,12 @@ from pyspark.sql import types as T
 
 from millrace.session import staged
 
-# Rows of a series that one task may take in order.
-LONG_SERIES = 5_000_000
+# Chunks of a series at most, and the rows that a chunk should have at least.
+MAX_CHUNKS = 256
+CHUNK_ROWS = 100_000
+SKETCH_ACCURACY = 5000
+# Characters of a text order that become a number, 16 bits each.
+TEXT_PLACES = 3
 
 
 def consecutive_ratio(
@@ -17,45 +21,69 @@ def consecutive_ratio(
 ) -> DataFrame:
     """``next value / value`` along each series; NULL at its end.
 
-    ``order`` must be unique within a series. A series taken whole is one window
-    group and so one task. Longer ones are cut into chunks: each chunk is a group
-    of its own, and its last row takes the successor from the next chunk's first
-    row, out of a table with one row per chunk.
+    ``order`` must be unique within a series. Series are cut into chunks: each chunk
+    is a window group of its own, and its last row takes the successor from the next
+    chunk's first row, out of a table with one row per chunk.
 
     ``chunk`` gives the cut as an expression that never decreases along ``order``
-    (a day, a month). Without it, series over ``LONG_SERIES`` rows are cut evenly
-    along their range where ``order`` is a number, a date or a time.
+    (a day, a month). Without it, a series is cut at quantiles of its order, at more of
+    them the longer it is. Numbers, dates and times are taken as they are, a text by the
+    characters behind what all texts of the series have in common.
     """
-    if chunk is not None:
-        return _by_chunk(df.withColumn("_chunk", chunk), df.columns, key, order, value)
-
-    position = _position(df, order)
-    if position is not None:
-        spans = staged(
-            df.groupBy(F.col(key).alias("_span_key")).agg(
-                F.count(F.lit(1)).alias("_n"),
-                F.min(position).alias("_from"),
-                F.max(position).alias("_to"),
-            ),
-            "spans",
-        )
-        if not spans.where(F.col("_n") > LONG_SERIES).isEmpty():
-            part = F.try_divide(position - F.col("_from"), F.col("_to") - F.col("_from"))
-            pieces = F.ceil(2 * F.col("_n") / LONG_SERIES)
-            cut = df.join(spans, F.col(key).eqNullSafe(F.col("_span_key"))).select(
-                *df.columns, F.floor(F.coalesce(part, F.lit(0.0)) * pieces).alias("_chunk")
-            )
-            return _by_chunk(cut, df.columns, key, order, value)
-
-    following = F.lead(value).over(Window.partitionBy(key).orderBy(order))
-    return df.withColumn("ratio", F.try_divide(following, F.col(value)))
-
-
-def _position(df: DataFrame, order: str) -> Column | None:
-    """The order column as a number that grows with it, None for other types."""
+    if chunk is None:
+        df, columns = _cut(df, key, order), df.columns
+    else:
+        df, columns = df.withColumn("_chunk", chunk), df.columns
+    return _by_chunk(df, columns, key, order, value)
+
+
+def _cut(df: DataFrame, key: str, order: str) -> DataFrame:
+    """``df`` with ``_chunk``, about equal rows each."""
+    spans = df.groupBy(F.col(key).alias("_span_key")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(order).alias("_from"), F.max(order).alias("_to")
+    )
+    is_text = isinstance(df.schema[order].dataType, T.StringType)
+    if is_text:
+        spans = staged(spans.select("_span_key", "_n", _common("_from", "_to").alias("_common")), "spans")
+        position = _text_position(F.col(order), F.col("_common"))
+        with_spans = df.join(spans, F.col(key).eqNullSafe(F.col("_span_key")))
+    else:
+        position, with_spans = _position(df, order), df.withColumn("_n", F.lit(1))
+    shares = [k / MAX_CHUNKS for k in range(1, MAX_CHUNKS)]
+    cuts = with_spans.groupBy(F.col(key).alias("_cut_key")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.percentile_approx(position, shares, SKETCH_ACCURACY).alias("_cuts")
+    )
+    # every cut for a long series, fewer for a shorter one
+    wanted = F.greatest(F.lit(1), F.least(F.lit(MAX_CHUNKS), F.ceil(F.col("_rows") / CHUNK_ROWS)))
+    every = F.greatest(F.lit(1), F.floor(F.lit(MAX_CHUNKS) / wanted))
+    cuts = staged(cuts.select("_cut_key", F.filter("_cuts", lambda c, i: (i + 1) % every == 0).alias("_cuts")), "cuts")
+    placed = with_spans.join(cuts, F.col(key).eqNullSafe(F.col("_cut_key")))
+    number = F.size(F.filter("_cuts", lambda c: c <= position))
+    return placed.select(*[f"`{c}`" for c in df.columns], number.alias("_chunk"))
+
+
+def _common(low: str, high: str) -> Column:
+    """How many characters two texts have in common from the start."""
+    places = F.sequence(F.lit(1), F.greatest(F.length(low), F.lit(1)))
+    same = lambda i: F.substring(low, i, F.lit(1)) == F.substring(high, i, F.lit(1))
+    return F.coalesce(
+        F.aggregate(places, F.lit(0), lambda n, i: F.when((n == i - 1) & same(i), i).otherwise(n)), F.lit(0)
+    )
+
+
+def _text_position(text: Column, common: Column) -> Column:
+    """A number that never falls along texts that share their first ``common`` characters."""
+    total = F.lit(0.0)
+    for k in range(TEXT_PLACES):
+        # beyond 16 bits a character counts as the last of them
+        code = F.least(F.ascii(F.substring(text, common + k + 1, F.lit(1))), F.lit(65535))
+        total = total * 65536 + code
+    return F.when(text.isNotNull(), total)
+
+
+def _position(df: DataFrame, order: str) -> Column:
+    """The order column as a number that grows with it."""
     kind, column = df.schema[order].dataType, F.col(order)
-    if isinstance(kind, T.NumericType):
-        return column.cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(column).cast("double")
     if isinstance(kind, T.TimestampType):
@@ -63,7 +91,7 @@ def _position(df: DataFrame, order: str) -> Column | None:
     if isinstance(kind, T.TimestampNTZType):
         seconds = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
         return F.unix_date(column.cast("date")).cast("double") * 86400 + seconds
-    return None
+    return column.cast("double")
 
 
 def _by_chunk(
