@@ -27,7 +27,8 @@ def chi_square_scores(
     it, ``c`` in the category without it and ``d`` outside without it. The score
     is ``(ad - bc)^2 / ((a+b)(a+c)(b+d)(c+d))``, NULL where a factor is zero. A
     document without text counts as a document, one without category belongs to
-    ``?``.
+    ``?``, also with ``normalize``; a name of delimiters only is normalized to an
+    empty one.
 
     Terms are counted once per pair. A term's total is the sum over its pairs, so
     the documents are read once for terms; a second scan reads the category
@@ -35,9 +36,10 @@ def chi_square_scores(
     see how small it is. Stop words leave after the count, so even a long list
     never makes single tokens travel.
     """
-    label = words.category_or_unknown(F.col(category))
+    label = F.col(category)
     if normalize:
         label = words.normalized_category(label, delimiters)
+    label = words.category_or_unknown(label)  # "?" is a delimiter, so it comes last
     labelled = docs.select(label.alias("category"), F.col(text).alias("text"))
 
     in_category = staged(frequency(labelled, "category", name="docs_category"), "categories")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -75,51 +76,58 @@ def columns_all_equal(
     )
 
 
-def _record_bytes(df: DataFrame) -> Column:
-    """Bytes of a record's values as text."""
-    sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
+@dataclass
+class MapSide:
+    """One input table of a step's map side, and what comes out of each of its rows.
+
+    ``emitted`` is the number of records that a row turns into, ``emitted_bytes`` their
+    bytes, both as expressions over the row; ``read`` names the columns that the step reads.
+    """
+
+    df: DataFrame
+    emitted: Column
+    emitted_bytes: Column
+    read: list[str] | None = None
+
+
+def text_bytes(*columns: Column | str) -> Column:
+    """Bytes of values as text, missing ones without any."""
+    sizes = [F.coalesce(F.octet_length(_column(c).cast("string")), F.lit(0)) for c in columns]
     return reduce(lambda x, y: x + y, sizes).cast("long")
 
 
-def replication_rate(steps: list[tuple[str, list[DataFrame], list[DataFrame]]]) -> DataFrame:
+def _column(c: Column | str) -> Column:
+    return F.col(f"`{c}`") if isinstance(c, str) else c
+
+
+def replication_rate(steps: list[tuple[str, list[MapSide]]]) -> DataFrame:
     """Records and bytes that go into and come out of the map side of each step.
 
-    ``steps`` lists (name, inputs, outputs); a map side may read and emit several
-    tables. ``rate`` is output over input records; ``communication`` is the bytes
-    read plus the bytes handed to the shuffle. Counts are aggregates and not
-    accumulators, so a repeated task changes nothing.
+    A map side may read several tables; each is read once, and both of its sides are summed
+    in that one pass. ``rate`` is output over input records; ``communication`` is the bytes
+    read plus the bytes handed to the shuffle. Counts are aggregates and not accumulators, so
+    a repeated task changes nothing.
     """
-    frames: dict[int, DataFrame] = {}
-    uses: dict[int, list[str]] = {}
-    for number, (_, inputs, outputs) in enumerate(steps, start=1):
-        for side, listed in (("in", inputs), ("out", outputs)):
-            for df in listed:
-                frames[id(df)] = df
-                uses.setdefault(id(df), []).append(f"struct({number} AS step, '{side}' AS side)")
-    # A table is counted once, however many steps it takes part in.
     sides = [
-        df.agg(
-            F.count(F.lit(1)).alias("records"),
-            F.coalesce(F.sum(_record_bytes(df)), F.lit(0)).alias("bytes"),
-        ).selectExpr(f"inline(array({', '.join(uses[key])}))", "records", "bytes")
-        for key, df in frames.items()
+        side.df.agg(
+            F.count(F.lit(1)).alias("records_in"),
+            F.coalesce(F.sum(side.emitted.cast("long")), F.lit(0)).alias("records_out"),
+            F.coalesce(
+                F.sum(text_bytes(*(side.read or side.df.columns)) + F.coalesce(side.emitted_bytes, F.lit(0))),
+                F.lit(0),
+            ).alias("bytes"),
+        ).select(F.lit(number).alias("step"), F.lit(name).alias("name"), "*")
+        for number, (name, listed) in enumerate(steps, start=1)
+        for side in listed
     ]
     totals = (
         reduce(DataFrame.unionAll, sides)
-        .groupBy("step")
+        .groupBy("step", "name")
         .agg(
-            F.sum(F.when(F.col("side") == "in", F.col("records"))).alias("records_in"),
-            F.sum(F.when(F.col("side") == "out", F.col("records"))).alias("records_out"),
+            F.sum("records_in").alias("records_in"),
+            F.sum("records_out").alias("records_out"),
             F.sum("bytes").alias("communication"),
         )
     )
-    names = F.array(*[F.lit(name) for name, _, _ in steps])
     rate = F.try_divide(F.col("records_out"), F.col("records_in"))
-    return totals.select(
-        "step",
-        F.get(names, F.col("step") - 1).alias("name"),
-        "records_in",
-        "records_out",
-        rate.alias("rate"),
-        "communication",
-    )
+    return totals.select("step", "name", "records_in", "records_out", rate.alias("rate"), "communication")

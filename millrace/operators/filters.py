@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from millrace.functions.values import number_above
 
 
-def equal_to(df: DataFrame, column: str, value) -> DataFrame:
-    return df.where(F.col(column) == F.lit(value))
-
-
 def member_of(df: DataFrame, column: str, values: list) -> DataFrame:
     return df.where(F.col(column).isin(values))
 

@@ -25,9 +25,9 @@ def semi_join_count(
     ``articles`` and ``customers`` are the already filtered sides; an article or
     customer listed twice does not count twice.
     """
-    bought = transactions.join(articles.select(article).distinct(), article, "left_semi")
+    bought = transactions.join(articles.select(article), article, "left_semi")
     counts = bought.groupBy(customer).agg(F.count(F.lit(1)).alias(name))
-    return counts.join(customers.select(customer).distinct(), customer, "left_semi")
+    return counts.join(customers.select(customer), customer, "left_semi")
 
 
 def star_join_count(
@@ -38,12 +38,18 @@ def star_join_count(
     customer: str = "customer_id",
     counted: str = "t_dat",
     name: str = "count_transactions",
+    headers: DataFrame | None = None,
+    header: str = "order_id",
 ) -> DataFrame:
     """Inner three-table join, ``count(counted)`` per customer, largest first.
 
-    As in any inner join, an article or customer listed twice counts twice.
+    As in any inner join, an article or customer listed twice counts twice. Transactions
+    that name their customer in a header table (``headers``: ``header``, ``customer``) meet
+    the articles first, so only what is left of them meets the headers.
     """
     bought = transactions.join(articles.select(article), article)
+    if headers is not None:
+        bought = bought.join(headers.select(header, customer), header)
     per_customer = bought.groupBy(customer).agg(F.count(counted).alias("n"))
     return (
         per_customer.join(customers.select(customer), customer)
@@ -68,20 +74,27 @@ def left_join_enrich(
     """Left outer join on differently named keys.
 
     Every left row stays, repeated keys included; without a partner the right
-    columns are NULL. The right key is dropped.
+    columns are NULL. The right key is dropped; another right column whose name the
+    left side has too gets ``_right`` behind it.
 
     A hot key on the left is split at run time, one on the right of an outer join
     cannot be. Set ``repeated_right`` where right keys repeat heavily: matches then
     come from an inner join, which splits on both sides, and the other left rows
     from an anti-join with the distinct right keys.
     """
-    same = left[left_key] == right[right_key]
+    taken = {c.lower() for c in left.columns}
+    own = "_right_key"
+    while own in taken:
+        own += "_"
+    renamed = {
+        f.name: own if f.name == right_key else f"{f.name}_right" if f.name.lower() in taken else f.name
+        for f in right.schema
+    }
+    right = right.select(*[F.col(f"`{old}`").alias(new) for old, new in renamed.items()])
+    same = F.col(f"`{left_key}`") == F.col(own)
     if not repeated_right:
-        return left.join(right, same, "left").drop(right[right_key])
-    matched = left.join(right, same).drop(right[right_key])
-    keys = right.select(F.col(right_key).alias("_right_key")).distinct()
-    alone = left.join(keys, F.col(left_key) == F.col("_right_key"), "left_anti")
-    missing = [
-        F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != right_key
-    ]
+        return left.join(right, same, "left").drop(own)
+    matched = left.join(right, same).drop(own)
+    alone = left.join(right.select(own).distinct(), same, "left_anti")
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != own]
     return matched.unionAll(alone.select("*", *missing))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import text as words
+from millrace.operators.counting import group_count
 
 
 def tokenize(
@@ -37,4 +38,4 @@ def without_terms(df: DataFrame, stop_words: DataFrame, term: str = "term") -> D
 
 def frequency(terms: DataFrame, *keys: str, name: str = "n") -> DataFrame:
     """Rows per key: document frequency over distinct terms, occurrences otherwise."""
-    return terms.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    return group_count(terms, *keys, name=name)

@@ -66,25 +66,36 @@ def purchases_per_customer(
     departments: list,
     older_than: int | float,
     number_type: str = "int",
+    headers: DataFrame | None = None,
 ) -> DataFrame:
-    """Purchases from some departments by customers above an age, most purchases first."""
+    """Purchases from some departments by customers above an age, most purchases first.
+
+    With ``headers`` (``order_id, customer_id``) the transactions name an order instead of
+    a customer.
+    """
     return joins.star_join_count(
         transactions,
         filters.member_of(articles, "department_name", departments),
         filters.filter_guarded_numeric(customers, "age", older_than, number_type),
+        headers=headers,
     )
 
 
 def purchases_per_customer_sql(
     spark: SparkSession, departments: list, older_than: int | float, number_type: str = "int"
 ) -> DataFrame:
-    """The same in SQL; purchases are counted per customer ahead of the customer join."""
+    """The same in SQL; purchases are counted per customer ahead of the customer join.
+
+    Departments are a list of markers, which reaches the scan of the articles.
+    """
+    wanted = {f"d{k}": d for k, d in enumerate(departments)}
+    listed = ", ".join(f":{name}" for name in wanted) or "NULL"
     return spark.sql(
         f"""
         WITH bought AS (
           SELECT customer_id, count(t_dat) AS n
           FROM transactions JOIN articles USING (article_id)
-          WHERE array_contains(:departments, department_name)
+          WHERE department_name IN ({listed})
           GROUP BY customer_id)
         SELECT customer_id, sum(n) AS count_transactions
         FROM bought JOIN customers USING (customer_id)
@@ -92,7 +103,7 @@ def purchases_per_customer_sql(
         GROUP BY customer_id
         ORDER BY count_transactions DESC, customer_id
         """,
-        args={"departments": F.array(*[F.lit(d) for d in departments]), "older_than": older_than},
+        args={**wanted, "older_than": older_than},
     )
 
 

@@ -22,28 +22,48 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_local_scratch: dict[str, str] = {}
+_session_folders: dict[str, str] = {}
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings the jobs rely on; all can be changed at run time."""
+    """Set what the jobs rely on, where the session has not set it itself."""
+    chosen = spark.conf.getAll
     for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
+        if key not in chosen:
+            spark.conf.set(key, value)
     return spark
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Delete an existing path when the application's JVM ends, as frames may read it until then."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.deleteOnExit(hadoop_path)
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only in local mode."""
+    """A folder of this application below the shared folder; a temporary one in local mode only.
+
+    ``spark.checkpoint.dir`` has to be reachable from all executors, be it through a shared
+    mount or another file system; a path alone does not tell. The folder goes with the
+    application.
+    """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     app = context.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="millrace-")
-    return _local_scratch[app]
+    if app in _session_folders:
+        return _session_folders[app]
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not configured:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        configured = tempfile.mkdtemp(prefix="millrace-")
+        delete_at_end(spark, configured)
+    root = f"{configured.rstrip('/')}/millrace-{app}-{uuid.uuid4().hex[:8]}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()).mkdirs(hadoop_path)
+    delete_at_end(spark, root)
+    _session_folders[app] = root
+    return root
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -54,7 +74,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 
-    Used for aggregated tables only (one row per group or per histogram cell).
+    Used for aggregated tables (one row per group or per histogram cell) and between stages.
     Spark compares the size of the written files with
     ``spark.sql.autoBroadcastJoinThreshold``: a small table is broadcast, a
     larger one takes part in a shuffled join.
@@ -63,14 +83,3 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer input splits than the cluster has cores.
-
-    For CPU-heavy work over a few unsplittable files. Inputs with enough splits
-    pass through unchanged, so large tables are never shuffled by this. ``df`` is
-    a scan, with filters and projections at most: only its splits are counted.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -19,15 +19,13 @@ def write_text_lines(df: DataFrame, path: str, mode: str = "overwrite", sep: str
     df.select(F.concat_ws(sep, *columns).alias("value")).write.mode(mode).text(path)
 
 
-def write_single_text(df: DataFrame, path: str, max_rows: int, mode: str = "overwrite") -> None:
-    """Text output in one file, for reports known to be small.
+def write_single_text(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Text output in one file, for reports that the caller knows to be small.
 
-    One file means one task, so a frame with more than ``max_rows`` rows is
-    refused; write that with :func:`write_text_lines`.
+    All rows go through one task, which streams them; only what comes before keeps its
+    parallelism. Large output belongs to :func:`write_text_lines`.
     """
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: not written as one file")
-    write_text_lines(df.coalesce(1), path, mode)
+    write_text_lines(df.repartition(1), path, mode)
 
 
 def write_csv_rows(df: DataFrame, path: str, mode: str = "overwrite") -> None:

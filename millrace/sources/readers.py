@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.values import locale_number
+from millrace.session import scratch_path
 
-# Never part of a text line: lets the CSV reader hand over whole raw lines.
+# Rare in text: lets the CSV reader hand over raw lines. A line that does hold it comes whole
+# as a corrupt record.
 _NO_SEPARATOR = "\u0001"
+# Lines that the CSV reader skips: nothing but characters up to the blank.
+_BLANK = r"\A[\x00-\x20]*\z"
+_OBJECT = r"\A[ \t\r\n]*\{"
 
 
 def _schema(schema: str | T.StructType) -> T.StructType:
@@ -29,22 +34,23 @@ def read_json_docs(
     """JSON lines as typed rows; other fields are ignored.
 
     A line that is no JSON object is dropped and does not count as a document,
-    or fails the job with ``on_bad="fail"``. ``extra`` adds columns, as DDL.
+    or fails the job with ``on_bad="fail"``. ``extra`` adds columns, as DDL; such a
+    field is NULL where it does not fit its type, and its document stays.
     """
     if on_bad not in ("drop", "fail"):
         raise ValueError("on_bad is 'drop' or 'fail'")
     fields = T.StructType().add(text, "string").add(category, "string")
     for field in _schema(extra).fields if extra else []:
         fields = fields.add(field)
-    names = fields.fieldNames()
+    as_text = [T.StructField(f.name, T.StringType()) for f in fields]
     parsed = (
         spark.read.text(path)
-        .where(F.trim("value") != "")
+        .where(~F.rlike("value", F.lit(_BLANK)))
         .select(
-            F.ltrim("value").startswith("{").alias("is_object"),
+            F.rlike("value", F.lit(_OBJECT)).alias("is_object"),
             F.from_json(
                 "value",
-                T.StructType([*fields, T.StructField("_bad", T.StringType())]),
+                T.StructType([*as_text, T.StructField("_bad", T.StringType())]),
                 {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"},
             ).alias("doc"),
         )
@@ -54,7 +60,14 @@ def read_json_docs(
         kept = parsed.where(F.when(good, True).otherwise(F.raise_error("not a JSON object")))
     else:
         kept = parsed.where(good)
-    return kept.select(*[F.col("doc").getField(n).alias(n) for n in names])
+
+    def typed(field: T.StructField) -> Column:
+        raw = F.col("doc").getField(field.name)
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.from_json(raw, field.dataType)
+        return raw if isinstance(field.dataType, T.StringType) else raw.try_cast(field.dataType)
+
+    return kept.select(*[typed(f).alias(f.name) for f in fields])
 
 
 def read_wordlist(spark: SparkSession, path: str, name: str = "term") -> DataFrame:
@@ -115,9 +128,16 @@ def read_delimited_text(
     """Plain delimited rows: a quote is data and a delimiter always splits.
 
     Missing trailing fields are NULL, surplus fields are ignored and a value that
-    does not parse is NULL. An empty text field stays an empty string.
+    does not parse is NULL. An empty text field stays an empty string, and a blank line is a
+    row. With ``header`` the first line of every file that is not blank is left out.
     """
-    lines = spark.read.schema("line string").csv(path, sep=_NO_SEPARATOR, quote="", header=header)
+    lines = spark.read.text(path).select(F.col("value").alias("line"))
+    if header:
+        raw = spark.read.schema("line string, raw string").csv(
+            path, sep=_NO_SEPARATOR, quote="", header=True, columnNameOfCorruptRecord="raw"
+        )
+        blank = lines.where(F.rlike("line", F.lit(_BLANK)))
+        lines = raw.select(F.coalesce("raw", "line").alias("line")).unionAll(blank)
     parts = lines.select(F.split("line", f"\\Q{delimiter}\\E", -1).alias("part"))
     out = []
     for position, field in enumerate(_schema(schema).fields):
@@ -161,17 +181,25 @@ def read_multi(
     """Several quoted CSV tables mixed in one input set, told apart by column count.
 
     A line belongs to the table with as many columns as the line has fields; a
-    line that repeats the name of the first column in its first field is a header.
+    line that repeats the name of the first column in its first field is a header. Lines of
+    other widths are left out. The input is scanned once: its lines are sorted into the
+    tables in the scratch folder, and each table is read from its part.
     """
-    lines = spark.read.text(paths)
+    declared = {name: _schema(schema) for name, schema in schemas.items()}
     unquoted = F.regexp_replace("value", '"([^"]|"")*"', "")
     width = F.size(F.split(unquoted, ",", -1))
+    of_table = F.lit(None).cast("string")
+    for name, schema in declared.items():
+        of_table = F.when(width == len(schema.fields), name).otherwise(of_table)
+    path = scratch_path(spark, "mixed-lines")
+    sorted_out = spark.read.text(paths).select("value", of_table.alias("of_table"))
+    sorted_out.where(F.col("of_table").isNotNull()).write.partitionBy("of_table").parquet(path)
+    lines = spark.read.schema("value string, of_table string").parquet(path)
     tables = {}
-    for name, declared in schemas.items():
-        schema = _schema(declared)
+    for name, schema in declared.items():
         text = ", ".join(f"`{f.name}` string" for f in schema.fields)
         rows = (
-            lines.where(width == len(schema.fields))
+            lines.where(F.col("of_table") == name)
             .select(F.from_csv("value", text, {"quote": '"', "escape": '"'}).alias("row"))
             .where(~F.col("row").getField(schema.fields[0].name).eqNullSafe(schema.fields[0].name))
         )

@@ -5,8 +5,6 @@ Fixed values: column names, order and types of the input files.
 
 from __future__ import annotations
 
-REVIEWS = "reviewText string, category string"
-
 FORUM_TABLES = {
     "badges": "id bigint, class bigint, date timestamp, name string, tagbased boolean, userid bigint",
     "comments": (

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import text as words
-from millrace.functions.values import label_if_else, parse_flag
+from millrace.functions.values import label_if_else, number_above, parse_flag
 from millrace.operators import (
     association,
     checks,
@@ -26,7 +27,7 @@ from millrace.operators import (
     terms,
 )
 from millrace.plans import forum, retail, term_selection
-from millrace.session import scratch_path, spread, tune
+from millrace.session import delete_at_end, scratch_path, staged, tune
 from millrace.sinks import writers
 from millrace.sources import catalog, readers
 from millrace.workload.tables import SCHEMAS, articles, customers, table, transactions
@@ -62,8 +63,23 @@ def _stop_words(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT term FROM VALUES {words_sql} AS words(term)")
 
 
+def _awkward_category() -> Column:
+    """Categories by document number: missing ones, some that need normalising, one of digits."""
+    return (
+        F.when(F.col("doc_id") % 7 == 0, F.lit(None))
+        .when(F.col("doc_id") % 7 == 1, "42")
+        .when(F.col("doc_id") % 7 < 4, "Toys & Games")
+        .otherwise("BOOKS/old")
+    )
+
+
+def _comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as comments on orders; many orders have none."""
+    return table(spark, sf_dir, "events").selectExpr("event_id AS id", "user_id AS postid")
+
+
 def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select(*columns))
+    return table(spark, sf_dir, "documents").select(*columns)
 
 
 # --- sources and sinks: write in the foreign format, read back with the operator
@@ -71,15 +87,23 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 @_query
 def scan_json_lines(spark, sf_dir):
+    """Broken lines, objects after a tab, and extra fields that do not fit their type."""
     docs = _documents(spark, sf_dir, "doc_id", "lang", "text")
+    number = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("x"), "doc_id")).otherwise(F.col("doc_id").cast("string"))
     good = docs.select(
-        F.to_json(
-            F.struct("doc_id", F.col("text").alias("reviewText"), F.col("lang").alias("category"))
+        F.concat(
+            F.when(F.col("doc_id") % 3 == 0, F.lit("\t")).otherwise(F.lit("")),
+            F.to_json(
+                F.struct(
+                    number.alias("doc_id"), F.col("text").alias("reviewText"), F.col("lang").alias("category")
+                )
+            ),
         ).alias("value")
     )
     broken = docs.select(F.format_string('{"reviewText": %d, broken', "doc_id").alias("value"))
+    listed = docs.select(F.format_string('[{"reviewText": "%d"}]', "doc_id").alias("value"))
     path = scratch_path(spark, "json-lines")
-    good.unionAll(broken).write.text(path)
+    good.unionAll(broken).unionAll(listed).write.text(path)
     return readers.read_json_docs(spark, path, extra="doc_id bigint")
 
 
@@ -92,21 +116,26 @@ def scan_csv_quoted(spark, sf_dir):
 
 @_query
 def scan_delimited_text(spark, sf_dir):
-    """Rows with quotes as data, bad numbers, missing and surplus fields."""
-    orders = spread(table(spark, sf_dir, "orders"))
+    """Rows with quotes and control characters as data, bad numbers, missing and surplus fields.
+
+    There is a blank line for every urgent order, which is a row without an order.
+    """
+    orders = table(spark, sf_dir, "orders")
     price = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(
         F.col("o_totalprice").cast("string")
     )
     fields = ["o_orderkey", "o_custkey", "o_orderstatus", price]
     date = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
-    priority = F.concat(F.lit('"'), "o_orderpriority", F.lit('"'))
+    priority = F.concat(F.lit('"'), "o_orderpriority", F.lit('\u0001"'))
     line = (
         F.when(F.col("o_orderstatus") == "F", F.concat_ws(",", *fields))
         .when(F.col("o_orderstatus") == "O", F.concat_ws(",", *fields, date, priority, F.lit("x")))
         .otherwise(F.concat_ws(",", *fields, date, priority))
     )
     path = scratch_path(spark, "delimited")
-    orders.select(line.alias("header")).write.csv(path, header=True, sep="\u0001", quote="")
+    orders.select(line.alias("header")).write.csv(path, header=True, sep="\u0002", quote="")
+    blank = orders.where(F.startswith("o_orderpriority", F.lit("1"))).select(F.lit("").alias("value"))
+    blank.write.mode("append").text(path)
     return readers.read_delimited_text(spark, path, SCHEMAS["orders"])
 
 
@@ -125,8 +154,101 @@ def scan_csv_locale(spark, sf_dir):
 
 @_query
 def load_table(spark, sf_dir):
-    name = scratch_path(spark, "orders").rsplit("/", 1)[1].replace("-", "_")
-    return catalog.load_into_table(table(spark, sf_dir, "orders"), name)
+    """A bucketed managed table, one per application."""
+    name = f"orders_{spark.sparkContext.applicationId.replace('-', '_')}"
+    loaded = catalog.load_into_table(table(spark, sf_dir, "orders"), name, bucket_by="o_custkey", buckets=8)
+    delete_at_end(spark, _location(spark, name))
+    return loaded
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'")
+    return described.first()["data_type"]
+
+
+@_query
+def forum_tables(spark, sf_dir):
+    """Declared tables of a forum, filled from files, and the activity of its users."""
+    database = f"forum_{spark.sparkContext.applicationId.replace('-', '_')}"
+    place = scratch_path(spark, "forum")
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    names = catalog.create_forum_tables(spark, database, place)
+    rows = {
+        "users": table(spark, sf_dir, "customer").selectExpr("c_custkey AS id", "c_name AS displayname"),
+        "posts": table(spark, sf_dir, "orders").selectExpr("o_orderkey AS id", "o_custkey AS owneruserid"),
+        "comments": _comments(spark, sf_dir),
+        "postlinks": table(spark, sf_dir, "lineitem").selectExpr("l_linenumber AS id", "l_orderkey AS postid"),
+    }
+    for name, df in rows.items():
+        declared = spark.table(f"{database}.{name}")
+        filled = df.select(
+            *[
+                (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in declared.schema
+            ]
+        )
+        filled.write.insertInto(f"{database}.{name}")
+    users, posts, comments, links = (spark.table(f"{database}.{n}") for n in ("users", "posts", "comments", "postlinks"))
+    assert set(rows) <= set(names)
+    return forum.users_active_posts(users, posts, comments, links)
+
+
+@_query
+def mixed_input_semi_join(spark, sf_dir):
+    """Articles, transactions and customers mixed in one set of files, told apart by width."""
+    path = scratch_path(spark, "mixed")
+    listed, bought, people = articles(spark, sf_dir), transactions(spark, sf_dir), customers(spark, sf_dir)
+    schemas = {"articles": listed.schema, "transactions": bought.schema, "customers": people.schema.add("extra", "string")}
+    people = people.withColumn("extra", F.lit("a, b"))
+    for name, df in (("articles", listed), ("transactions", bought), ("customers", people)):
+        df.write.csv(f"{path}/{name}", header=True, quoteAll=True, escape='"')
+    found = readers.read_multi(spark, [f"{path}/{name}" for name in schemas], schemas)
+    return retail.transactions_of_known_customers(
+        found["articles"], found["transactions"], found["customers"], DEPARTMENTS, OLDER_THAN, "double"
+    )
+
+
+@_query
+def header_csv_bubbles(spark, sf_dir):
+    """A CSV with awkward header names, joined to the customers and drawn as bubbles."""
+    counted = counting.group_count(table(spark, sf_dir, "orders"), "o_custkey", name="n")
+    path = scratch_path(spark, "header-csv")
+    counted.select(
+        F.col("o_custkey").alias("Customer Code"), F.lit("a, b").alias("Long name"), F.col("n").alias("2020")
+    ).write.csv(path, header=True, quoteAll=True, escape='"')
+    columns = {"Customer.Code": "code bigint", "X2020": "n_orders bigint"}
+    enriched = joins.left_join_enrich(
+        table(spark, sf_dir, "customer"), readers.read_csv_header(spark, path, columns), "c_custkey", "code"
+    ).withColumn("standing", label_if_else(F.col("c_acctbal") > 0, "credit", "debt"))
+    return counting.bubble_table(enriched, "c_name", "c_acctbal", "c_nationkey", "standing", "n_orders")
+
+
+@_query
+def term_report_files(spark, sf_dir):
+    """JSON reviews and a stop-word file to a text report, all as files."""
+    reviews, stop, out = (scratch_path(spark, f"report-{n}") for n in ("reviews", "stop", "out"))
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    docs.select(F.to_json(F.struct(F.col("text").alias("reviewText"), _awkward_category().alias("category"))).alias("value")).write.text(reviews)
+    twice = _stop_words(spark)
+    twice.unionAll(twice).select(F.col("term").alias("value")).write.text(stop)
+    term_selection.term_report(spark, reviews, stop, out)
+    return spark.read.text(out)
+
+
+@_query
+def sink_single_file(spark, sf_dir):
+    """One report file; writing it again where that is not allowed must be refused."""
+    counts = counting.group_count(table(spark, sf_dir, "lineitem"), "l_returnflag", "l_linestatus")
+    path = scratch_path(spark, "single")
+    writers.write_single_text(counts, path, mode="errorifexists")
+    try:
+        writers.write_single_text(counts, path, mode="errorifexists")
+        refused = False
+    except AnalysisException:
+        refused = True
+    lines = spark.read.text(path)
+    n_files = lines.select(F.input_file_name().alias("file")).distinct().count()
+    return lines.select("value", F.lit(n_files).cast("bigint").alias("n_files"), F.lit(refused).alias("refused"))
 
 
 @_query
@@ -203,12 +325,11 @@ def min_count_check(spark, sf_dir):
 
 @_query
 def users_active_posts(spark, sf_dir):
-    lineitem = table(spark, sf_dir, "lineitem")
     return forum.users_active_posts(
         table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")),
         table(spark, sf_dir, "orders").selectExpr("o_orderkey AS id", "o_custkey AS owneruserid"),
-        lineitem.select(F.col("l_orderkey").alias("postid")),
-        lineitem.selectExpr("l_linenumber AS id", "l_orderkey AS postid"),
+        _comments(spark, sf_dir),
+        table(spark, sf_dir, "lineitem").selectExpr("l_linenumber AS id", "l_orderkey AS postid"),
     )
 
 
@@ -232,6 +353,14 @@ def left_join_enrich(spark, sf_dir):
     return joins.left_join_enrich(docs, table(spark, sf_dir, "labels"), "id", "doc_id")
 
 
+@_query
+def left_join_enrich_repeated(spark, sf_dir):
+    """Suppliers and customers of a nation: right keys repeat, and both sides have a ``name``."""
+    suppliers = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS id", "s_name AS name", "s_nationkey AS nation")
+    people = table(spark, sf_dir, "customer").where("c_nationkey % 3 <> 0").selectExpr("c_nationkey AS c_nation", "c_name AS name")
+    return joins.left_join_enrich(suppliers, people, "nation", "c_nation", repeated_right=True)
+
+
 # --- shop queries
 
 
@@ -280,21 +409,14 @@ def q3_first_by_name(spark, sf_dir):
     return retail.first_product_per_group(articles(spark, sf_dir))
 
 
-def _wanted_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines shed unwanted articles before they are joined with their orders."""
-    wanted = filters.member_of(articles(spark, sf_dir), "department_name", DEPARTMENTS)
-    return transactions(spark, sf_dir).join(wanted, "article_id", "left_semi")
-
-
 @_query
 def q4_star_join_count(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS order_id", "l_partkey AS article_id", "l_shipdate AS t_dat"
+    )
+    headers = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS order_id", "o_custkey AS customer_id")
     return retail.purchases_per_customer(
-        articles(spark, sf_dir),
-        _wanted_transactions(spark, sf_dir),
-        customers(spark, sf_dir),
-        DEPARTMENTS,
-        OLDER_THAN,
-        "double",
+        articles(spark, sf_dir), lines, customers(spark, sf_dir), DEPARTMENTS, OLDER_THAN, "double", headers
     )
 
 
@@ -303,7 +425,7 @@ def q4_star_join_sql(spark, sf_dir):
     catalog.register_views(
         {
             "articles": articles(spark, sf_dir),
-            "transactions": _wanted_transactions(spark, sf_dir),
+            "transactions": transactions(spark, sf_dir),
             "customers": customers(spark, sf_dir),
         }
     )
@@ -388,13 +510,10 @@ def chi_square_scores(spark, sf_dir):
 
 @_query
 def chi_square_top75(spark, sf_dir):
+    """Categories that need normalising; documents without one count under ``?``."""
+    docs = _documents(spark, sf_dir, "doc_id", "text").withColumn("category", _awkward_category())
     return term_selection.select_terms(
-        _documents(spark, sf_dir, "lang", "text"),
-        "text",
-        "lang",
-        _stop_words(spark),
-        term_selection.TERMS_BY_NAME,
-        normalize=True,
+        docs, "text", "category", _stop_words(spark), term_selection.TERMS_BY_NAME, normalize=True
     )
 
 
@@ -439,8 +558,12 @@ def bar_shares(spark, sf_dir):
 
 @_query
 def grouped_density(spark, sf_dir):
+    """Balances per segment, and two more groups: one value many times, and one row alone."""
+    balances = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    level = balances.where("c_custkey % 10 = 0").select("c_custkey", F.lit("level").alias("c_mktsegment"), F.lit(500.0).alias("c_acctbal"))
+    alone = balances.where("c_custkey = 7").withColumn("c_mktsegment", F.lit("alone"))
     density = distribution.grouped_density(
-        table(spark, sf_dir, "customer"), "c_mktsegment", "c_acctbal"
+        balances.unionAll(level).unionAll(alone), "c_mktsegment", "c_acctbal"
     )
     return _rounded(density, {"x": 6, "bandwidth": 6, "density": 12})
 
@@ -475,6 +598,16 @@ def ols_band_by_group(spark, sf_dir):
     return _rounded(band, {"x": 6, "fit": 5, "lower": 4, "upper": 4})
 
 
+@_query
+def ols_band_small_groups(spark, sf_dir):
+    """Bands of groups with few rows, one to some dozens: the days of the first orders."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "o_custkey", "o_totalprice"
+    )
+    band = regression.ols_band_by_group(orders, "day", "o_custkey", "o_totalprice", points=3)
+    return _rounded(band, {"x": 6, "fit": 4, "lower": 3, "upper": 3})
+
+
 @_query
 def ols_residuals(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(
@@ -507,21 +640,37 @@ def columns_all_equal(spark, sf_dir):
 
 @_query
 def consecutive_ratio(spark, sf_dir):
-    """Month over month order totals per customer segment."""
-    monthly = (
+    """Month over month order totals per customer segment; the orders are read once."""
+    month = F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month")
+    monthly = staged(
         table(spark, sf_dir, "orders")
-        .groupBy("o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
-        .agg(F.sum("o_totalprice").alias("total"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy("c_mktsegment", "month")
-        .agg(F.sum("total").alias("total"))
-    )
+        .groupBy("c_mktsegment", month)
+        .agg(F.sum("o_totalprice").alias("total")),
+        "monthly",
+    ).withColumn("month", F.date_format("month", "yyyy-MM"))
     ratios = series.consecutive_ratio(
         monthly, "c_mktsegment", "month", "total", chunk=F.substring("month", 1, 4)
     )
     return _rounded(ratios, {"total": 2, "ratio": 8})
 
 
+@_query
+def consecutive_ratio_unchunked(spark, sf_dir):
+    """Value over value per event type, cut by the quantiles of the event number."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    return _rounded(series.consecutive_ratio(events, "event_type", "event_id", "value"), {"ratio": 8})
+
+
+@_query
+def consecutive_ratio_by_text(spark, sf_dir):
+    """Price over price along the names of the parts of a size."""
+    parts = table(spark, sf_dir, "part").select(
+        "p_size", F.format_string("part %09d é", "p_partkey").alias("name"), "p_retailprice"
+    )
+    return _rounded(series.consecutive_ratio(parts, "p_size", "name", "p_retailprice"), {"ratio": 8})
+
+
 @_query
 def bubble_table(spark, sf_dir):
     """Customers by balance and nation, sized by their number of orders."""
@@ -539,29 +688,38 @@ def bubble_table(spark, sf_dir):
 @_query
 def replication_rate(spark, sf_dir):
     """Map-side growth of the modes job, the purchase count and the term count."""
-    listed = articles(spark, sf_dir)
-    described = listed.drop("article_id")
     fields = ["prod_name", "section_name", "department_name"]
-    long = ranking.unpivot_values(described, "garment_group_name", fields)
-    counted = counting.group_count(long, "garment_group_name", "field", "value")
-    leaders = ranking.leading_values(long, "garment_group_name")
+    listed, size = articles(spark, sf_dir), checks.text_bytes
+    described = listed.drop("article_id")
+    per_field = [size("garment_group_name", F.lit(f), f) for f in fields]
 
-    wanted = filters.member_of(listed, "department_name", DEPARTMENTS).select("article_id")
+    wanted = F.coalesce(F.col("department_name").isin(DEPARTMENTS), F.lit(False)).cast("int")
+    older = F.coalesce(number_above(F.col("age"), OLDER_THAN, "double"), F.lit(False)).cast("int")
     bought = transactions(spark, sf_dir).select("customer_id", "article_id")
     people = customers(spark, sf_dir).select("customer_id", "postal_code", "age")
-    older = filters.filter_guarded_numeric(people, "age", OLDER_THAN, "double").select("customer_id")
-    matched = bought.join(wanted, "article_id", "left_semi").select("customer_id")
 
     docs = _documents(spark, sf_dir, "lang", "text")
-    tokens = terms.tokenize(docs, "text", keep=["lang"])
+    tokens = words.distinct_tokens(F.col("text"))
+    emitted = F.coalesce(F.size(tokens), F.lit(0))
+    token_bytes = F.aggregate(tokens, F.lit(0), lambda n, t: n + F.octet_length(t))
     rates = checks.replication_rate(
         [
-            ("modes: one row per field", [described], [long]),
-            ("modes: rank values", [counted], [counted]),
-            ("modes: collect leaders", [leaders], [leaders]),
-            ("purchases: filter and tag", [listed, bought, people], [wanted, bought, older]),
-            ("purchases: count", [matched, older], [matched, older]),
-            ("terms: one row per term", [docs], [tokens]),
+            (
+                "modes: one row per field",
+                [checks.MapSide(described, F.lit(len(fields)), per_field[0] + per_field[1] + per_field[2])],
+            ),
+            (
+                "purchases: filter and tag",
+                [
+                    checks.MapSide(listed, wanted, wanted * size("article_id")),
+                    checks.MapSide(bought, F.lit(1), size("customer_id", "article_id")),
+                    checks.MapSide(people, older, older * size("customer_id")),
+                ],
+            ),
+            (
+                "terms: one row per term",
+                [checks.MapSide(docs, emitted, emitted * size("lang") + token_bytes)],
+            ),
         ]
     )
     return _rounded(rates, {"rate": 8})

@@ -40,14 +40,15 @@ def test_exact_and_tolerant_equality(spark, pairs, identical, equal):
 
 def test_replication_rate(spark):
     one = spark.createDataFrame([("ab", 1), (None, 22)], "a string, b int")
-    three = one.select(F.explode(F.array(F.lit("x"), F.lit("y"), F.lit("z"))).alias("c"))
+    size = checks.text_bytes
+    keep = (F.col("b") > 9).cast("int")
     steps = [
-        ("expand", [one], [three]),
-        ("nothing read", [one.where("b > 99")], [one]),
-        ("two tables", [one, three], [one.select("a"), three.where("c = 'x'")]),
+        ("expand", [checks.MapSide(one, F.lit(3), 3 * size("a"))]),
+        ("nothing read", [checks.MapSide(one.where("b > 99"), F.lit(1), size("a"))]),
+        ("two tables", [checks.MapSide(one, keep, keep * size("b")), checks.MapSide(one, F.lit(1), size("b"), ["b"])]),
     ]
     assert rows(checks.replication_rate(steps)) == [
         (1, "expand", 2, 6, 3.0, 5 + 6),
-        (2, "nothing read", 0, 2, None, 5),
-        (3, "two tables", 8, 4, 0.5, 5 + 6 + 2 + 2),
+        (2, "nothing read", 0, 0, None, 0),
+        (3, "two tables", 4, 3, 0.75, 5 + 2 + 3 + 3),
     ]

@@ -1,5 +1,8 @@
 """Operators on tables without rows."""
 
+import math
+
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ def test_empty_tables(spark):
     assert rows(ranking.modes_per_group(df, "g", "f", "x", "y")) == []
     assert rows(counting.bar_shares(df, "g", "f")) == []
     assert rows(series.consecutive_ratio(df, "g", "x", "y", F.floor("x"))) == []
+    assert rows(series.consecutive_ratio(df, "g", "x", "y")) == []
+    assert rows(series.consecutive_ratio(df, "g", "f", "y")) == []
     assert rows(checks.min_count_check(df, "x", [(1.0, 1)])) == [(1, 1.0, 1, 0, False)]
     got = checks.columns_all_equal(df, F.col("x"), F.col("y")).first()
     assert (got.n_rows, got.all_identical, got.all_equal) == (0, True, True)
@@ -28,7 +33,9 @@ def test_one_row_groups(spark):
     df = spark.createDataFrame([("a", 1.0, 2.0), ("b", None, 1.0)], "g string, x double, y double")
     assert rows(distribution.boxplot_stats(df, "g", "x")) == [("a", 1, 1.0, 1.0, 1.0, 1.0, 1.0, 0)]
     density = distribution.grouped_density(df, "g", "x").collect()
-    assert {r.density for r in density} == {None}
+    # no spread and the value 1: the bandwidth is 0.9, the curve a single bell
+    assert {(r.g, r.bandwidth) for r in density} == {("a", 0.9)}
+    assert max(r.density for r in density) == pytest.approx(1 / (0.9 * math.sqrt(2 * math.pi)))
     assert rows(regression.ols_fit_by_group(df, "g", "x", "y"))[0][:1] == ("a",)
     band = regression.ols_band_by_group(df, "g", "x", "y").collect()
     assert {(r.g, r.lower) for r in band} == {("a", None)}

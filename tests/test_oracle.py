@@ -5,8 +5,10 @@ import pytest
 import __spark_entry__ as contract
 from compare import compare, duck
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+from millrace.workload import oracle, queries as workload
+
+QUERIES = workload.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +18,9 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLE.keys()
-    assert len(QUERIES) == 52
+    assert len(QUERIES) == 61
+    assert QUERIES.keys() <= contract.queries().keys()
+    assert ORACLE.items() <= contract.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

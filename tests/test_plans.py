@@ -5,9 +5,9 @@ import re
 import pytest
 from conftest import plan_of
 
-import __spark_entry__ as contract
+from millrace.workload import queries as workload
 
-QUERIES = contract.queries()
+QUERIES = workload.queries()
 UNWANTED = [
     "EvalPython",
     "InPandas",
@@ -50,6 +50,23 @@ def test_first_rows_are_a_top_k(plans):
     assert "TakeOrderedAndProject(limit=20" in plans("top_customers")
 
 
+@pytest.mark.parametrize("name", ["q4_star_join_count", "q4_star_join_sql", "semi_join_count"])
+def test_each_table_is_scanned_once(plans, name):
+    scans = re.findall(r"FileScan parquet .*?/(\w+)\.parquet", plans(name))
+    assert sorted(scans) == ["customer", "lineitem", "orders", "part"]
+
+
+def test_articles_come_before_the_orders(plans):
+    plan = plans("q4_star_join_count")
+    assert plan.index("Join [order_id#") < plan.index("Join [article_id#")
+
+
+def test_semi_joins_take_their_sides_as_they_are(plans):
+    plan = plans("semi_join_count")
+    assert plan.count("LeftSemi") == 2 and "HashAggregate(keys=[article_id" not in plan
+    assert plan.count("Aggregate(keys=[customer_id#") == 2
+
+
 @pytest.mark.parametrize("name", ["q4_star_join_count", "q4_star_join_sql", "semi_join_count"])
 def test_filters_and_columns_reach_the_scan(plans, name):
     plan = plans(name)

@@ -22,12 +22,12 @@ def test_text_overwrites_or_refuses(spark, pairs, tmp_path):
         writers.write_text_lines(pairs, path, mode="append")
 
 
-def test_single_file_is_bounded(pairs, tmp_path):
+def test_single_file(pairs, tmp_path):
     path = str(tmp_path / "one")
-    writers.write_single_text(pairs.repartition(4), path, max_rows=2)
+    writers.write_single_text(pairs.repartition(4), path)
     assert sum(f.startswith("part-") for f in os.listdir(path)) == 1
-    with pytest.raises(ValueError, match="more than 1 rows"):
-        writers.write_single_text(pairs, path, max_rows=1)
+    with pytest.raises(Exception, match="(?i)exists"):
+        writers.write_single_text(pairs, path, mode="errorifexists")
 
 
 def test_csv_has_real_columns(spark, pairs, tmp_path):

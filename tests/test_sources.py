@@ -25,6 +25,14 @@ def test_json_lines_drop_what_is_no_object(spark, tmp_path):
     assert rows(tokenize(docs, "reviewText", keep=[])) == [("a",)]
 
 
+def test_json_lines_after_a_tab_and_with_extras_of_another_type(spark, tmp_path):
+    lines = ["\t" + GOOD, '{"reviewText":"t","n":"x1","l":[1,2]}', '{"reviewText":"u","n":"7","l":"no"}', "\t[1]"]
+    docs = readers.read_json_docs(spark, write(tmp_path / "r.json", *lines), extra="n bigint, l array<int>")
+    assert rows(docs) == [("a", "B", None, None), ("t", None, None, [1, 2]), ("u", None, 7, None)]
+    strict = readers.read_json_docs(spark, write(tmp_path / "s.json", *lines[:3]), extra="n bigint", on_bad="fail")
+    assert strict.count() == 3
+
+
 def test_json_lines_missing_category(spark, tmp_path):
     docs = readers.read_json_docs(spark, write(tmp_path / "r.json", '{"reviewText":"a"}'))
     assert rows(docs.select(category_or_unknown(docs.category))) == [("?",)]
@@ -87,6 +95,16 @@ def test_delimited_text_takes_quotes_as_data(spark, tmp_path):
     ]
 
 
+def test_delimited_text_keeps_control_characters_and_blank_lines(spark, tmp_path):
+    schema = "id bigint, name string, n int"
+    path = write(tmp_path / "a.csv", "id,name,n", "1,x\u0001y,5", "", "\t", "2,\u0001,", "\u0001")
+    other = write(tmp_path / "b.csv", "id,name,n", "3,z,6")
+    got = readers.read_delimited_text(spark, [path, other], schema)
+    blank = (None, None, None)
+    assert rows(got) == sorted([(1, "x\u0001y", 5), blank, blank, (2, "\u0001", None), blank, (3, "z", 6)], key=lambda t: tuple((v is None, str(v)) for v in t))
+    assert readers.read_delimited_text(spark, path, schema, header=False).count() == 6
+
+
 def test_locale_csv_missing_token(spark, tmp_path):
     path = write(tmp_path / "l.csv", '"Namibia";"NA";"1,5";TRUE', '"B";.;.;.', '"C";"-";"x";FALSE')
     got = readers.read_csv_locale(
@@ -147,13 +165,25 @@ def test_views_are_visible_to_sql(spark):
 
 
 def test_scratch_folder_is_the_configured_one(spark):
-    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_root(spark).startswith(spark.conf.get("spark.checkpoint.dir") + "/millrace-")
+    assert scratch_root(spark) == scratch_root(spark)
+
+
+def test_settings_of_the_session_stay(spark):
+    from millrace.session import tune
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert tune(spark).conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():
     from types import SimpleNamespace
 
-    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    context = SimpleNamespace(master="spark://host:7077", applicationId="none", getCheckpointDir=lambda: None)
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_root(session)
