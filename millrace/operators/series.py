@@ -39,24 +39,25 @@ def consecutive_ratio(
 
 def _cut(df: DataFrame, key: str, order: str) -> DataFrame:
     """``df`` with ``_chunk``, about equal rows each."""
-    spans = df.groupBy(F.col(key).alias("_span_key")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(order).alias("_from"), F.max(order).alias("_to")
-    )
-    is_text = isinstance(df.schema[order].dataType, T.StringType)
-    if is_text:
-        spans = staged(spans.select("_span_key", "_n", _common("_from", "_to").alias("_common")), "spans")
+    if isinstance(df.schema[order].dataType, T.StringType):
+        spans = df.groupBy(F.col(key).alias("_span_key")).agg(
+            F.min(order).alias("_from"), F.max(order).alias("_to")
+        )
+        spans = staged(spans.select("_span_key", _common("_from", "_to").alias("_common")), "spans")
         position = _text_position(F.col(order), F.col("_common"))
         with_spans = df.join(spans, F.col(key).eqNullSafe(F.col("_span_key")))
     else:
-        position, with_spans = _position(df, order), df.withColumn("_n", F.lit(1))
+        position, with_spans = _position(df, order), df
     shares = [k / MAX_CHUNKS for k in range(1, MAX_CHUNKS)]
     cuts = with_spans.groupBy(F.col(key).alias("_cut_key")).agg(
-        F.count(F.lit(1)).alias("_rows"), F.percentile_approx(position, shares, SKETCH_ACCURACY).alias("_cuts")
+        F.count(F.lit(1)).alias("_rows"),
+        F.percentile_approx(position, shares, SKETCH_ACCURACY).alias("_cuts"),
     )
     # every cut for a long series, fewer for a shorter one
     wanted = F.greatest(F.lit(1), F.least(F.lit(MAX_CHUNKS), F.ceil(F.col("_rows") / CHUNK_ROWS)))
     every = F.greatest(F.lit(1), F.floor(F.lit(MAX_CHUNKS) / wanted))
-    cuts = staged(cuts.select("_cut_key", F.filter("_cuts", lambda c, i: (i + 1) % every == 0).alias("_cuts")), "cuts")
+    fewer = F.filter("_cuts", lambda c, i: (i + 1) % every == 0)
+    cuts = staged(cuts.select("_cut_key", fewer.alias("_cuts")), "cuts")
     placed = with_spans.join(cuts, F.col(key).eqNullSafe(F.col("_cut_key")))
     number = F.size(F.filter("_cuts", lambda c: c <= position))
     return placed.select(*[f"`{c}`" for c in df.columns], number.alias("_chunk"))

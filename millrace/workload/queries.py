@@ -89,7 +89,8 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 def scan_json_lines(spark, sf_dir):
     """Broken lines, objects after a tab, and extra fields that do not fit their type."""
     docs = _documents(spark, sf_dir, "doc_id", "lang", "text")
-    number = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("x"), "doc_id")).otherwise(F.col("doc_id").cast("string"))
+    number = F.col("doc_id").cast("string")
+    number = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("x"), number)).otherwise(number)
     good = docs.select(
         F.concat(
             F.when(F.col("doc_id") % 3 == 0, F.lit("\t")).otherwise(F.lit("")),
@@ -156,7 +157,8 @@ def scan_csv_locale(spark, sf_dir):
 def load_table(spark, sf_dir):
     """A bucketed managed table, one per application."""
     name = f"orders_{spark.sparkContext.applicationId.replace('-', '_')}"
-    loaded = catalog.load_into_table(table(spark, sf_dir, "orders"), name, bucket_by="o_custkey", buckets=8)
+    orders = table(spark, sf_dir, "orders")
+    loaded = catalog.load_into_table(orders, name, bucket_by="o_custkey", buckets=8)
     delete_at_end(spark, _location(spark, name))
     return loaded
 
@@ -172,12 +174,13 @@ def forum_tables(spark, sf_dir):
     database = f"forum_{spark.sparkContext.applicationId.replace('-', '_')}"
     place = scratch_path(spark, "forum")
     spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
-    names = catalog.create_forum_tables(spark, database, place)
+    catalog.create_forum_tables(spark, database, place)
+    people, orders, lines = (table(spark, sf_dir, n) for n in ("customer", "orders", "lineitem"))
     rows = {
-        "users": table(spark, sf_dir, "customer").selectExpr("c_custkey AS id", "c_name AS displayname"),
-        "posts": table(spark, sf_dir, "orders").selectExpr("o_orderkey AS id", "o_custkey AS owneruserid"),
+        "users": people.selectExpr("c_custkey AS id", "c_name AS displayname"),
+        "posts": orders.selectExpr("o_orderkey AS id", "o_custkey AS owneruserid"),
         "comments": _comments(spark, sf_dir),
-        "postlinks": table(spark, sf_dir, "lineitem").selectExpr("l_linenumber AS id", "l_orderkey AS postid"),
+        "postlinks": lines.selectExpr("l_linenumber AS id", "l_orderkey AS postid"),
     }
     for name, df in rows.items():
         declared = spark.table(f"{database}.{name}")
@@ -188,21 +191,22 @@ def forum_tables(spark, sf_dir):
             ]
         )
         filled.write.insertInto(f"{database}.{name}")
-    users, posts, comments, links = (spark.table(f"{database}.{n}") for n in ("users", "posts", "comments", "postlinks"))
-    assert set(rows) <= set(names)
-    return forum.users_active_posts(users, posts, comments, links)
+    return forum.users_active_posts(*[spark.table(f"{database}.{name}") for name in rows])
 
 
 @_query
 def mixed_input_semi_join(spark, sf_dir):
     """Articles, transactions and customers mixed in one set of files, told apart by width."""
     path = scratch_path(spark, "mixed")
-    listed, bought, people = articles(spark, sf_dir), transactions(spark, sf_dir), customers(spark, sf_dir)
-    schemas = {"articles": listed.schema, "transactions": bought.schema, "customers": people.schema.add("extra", "string")}
-    people = people.withColumn("extra", F.lit("a, b"))
-    for name, df in (("articles", listed), ("transactions", bought), ("customers", people)):
+    tables = {
+        "articles": articles(spark, sf_dir),
+        "transactions": transactions(spark, sf_dir),
+        "customers": customers(spark, sf_dir).withColumn("extra", F.lit("a, b")),
+    }
+    for name, df in tables.items():
         df.write.csv(f"{path}/{name}", header=True, quoteAll=True, escape='"')
-    found = readers.read_multi(spark, [f"{path}/{name}" for name in schemas], schemas)
+    schemas = {name: df.schema for name, df in tables.items()}
+    found = readers.read_multi(spark, [f"{path}/{name}" for name in tables], schemas)
     return retail.transactions_of_known_customers(
         found["articles"], found["transactions"], found["customers"], DEPARTMENTS, OLDER_THAN, "double"
     )
@@ -213,12 +217,13 @@ def header_csv_bubbles(spark, sf_dir):
     """A CSV with awkward header names, joined to the customers and drawn as bubbles."""
     counted = counting.group_count(table(spark, sf_dir, "orders"), "o_custkey", name="n")
     path = scratch_path(spark, "header-csv")
-    counted.select(
-        F.col("o_custkey").alias("Customer Code"), F.lit("a, b").alias("Long name"), F.col("n").alias("2020")
-    ).write.csv(path, header=True, quoteAll=True, escape='"')
+    counted.selectExpr("o_custkey AS `Customer Code`", "'a, b' AS `Long name`", "n AS `2020`").write.csv(
+        path, header=True, quoteAll=True, escape='"'
+    )
     columns = {"Customer.Code": "code bigint", "X2020": "n_orders bigint"}
+    found = readers.read_csv_header(spark, path, columns)
     enriched = joins.left_join_enrich(
-        table(spark, sf_dir, "customer"), readers.read_csv_header(spark, path, columns), "c_custkey", "code"
+        table(spark, sf_dir, "customer"), found, "c_custkey", "code"
     ).withColumn("standing", label_if_else(F.col("c_acctbal") > 0, "credit", "debt"))
     return counting.bubble_table(enriched, "c_name", "c_acctbal", "c_nationkey", "standing", "n_orders")
 
@@ -228,7 +233,8 @@ def term_report_files(spark, sf_dir):
     """JSON reviews and a stop-word file to a text report, all as files."""
     reviews, stop, out = (scratch_path(spark, f"report-{n}") for n in ("reviews", "stop", "out"))
     docs = _documents(spark, sf_dir, "doc_id", "text")
-    docs.select(F.to_json(F.struct(F.col("text").alias("reviewText"), _awkward_category().alias("category"))).alias("value")).write.text(reviews)
+    review = F.struct(F.col("text").alias("reviewText"), _awkward_category().alias("category"))
+    docs.select(F.to_json(review).alias("value")).write.text(reviews)
     twice = _stop_words(spark)
     twice.unionAll(twice).select(F.col("term").alias("value")).write.text(stop)
     term_selection.term_report(spark, reviews, stop, out)
@@ -356,8 +362,11 @@ def left_join_enrich(spark, sf_dir):
 @_query
 def left_join_enrich_repeated(spark, sf_dir):
     """Suppliers and customers of a nation: right keys repeat, and both sides have a ``name``."""
-    suppliers = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS id", "s_name AS name", "s_nationkey AS nation")
-    people = table(spark, sf_dir, "customer").where("c_nationkey % 3 <> 0").selectExpr("c_nationkey AS c_nation", "c_name AS name")
+    suppliers = table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS id", "s_name AS name", "s_nationkey AS nation"
+    )
+    people = table(spark, sf_dir, "customer").where("c_nationkey % 3 <> 0")
+    people = people.selectExpr("c_nationkey AS c_nation", "c_name AS name")
     return joins.left_join_enrich(suppliers, people, "nation", "c_nation", repeated_right=True)
 
 
@@ -560,7 +569,9 @@ def bar_shares(spark, sf_dir):
 def grouped_density(spark, sf_dir):
     """Balances per segment, and two more groups: one value many times, and one row alone."""
     balances = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    level = balances.where("c_custkey % 10 = 0").select("c_custkey", F.lit("level").alias("c_mktsegment"), F.lit(500.0).alias("c_acctbal"))
+    level = balances.where("c_custkey % 10 = 0").selectExpr(
+        "c_custkey", "'level' AS c_mktsegment", "500D AS c_acctbal"
+    )
     alone = balances.where("c_custkey = 7").withColumn("c_mktsegment", F.lit("alone"))
     density = distribution.grouped_density(
         balances.unionAll(level).unionAll(alone), "c_mktsegment", "c_acctbal"
