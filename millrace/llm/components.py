@@ -26,7 +26,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours move to the smallest of them."""
     least = edges.groupBy("b").agg(F.min("a").alias("m"))
     joined = edges.join(least, "b")
-    return joined.select(F.col("m").alias("a"), "b").unionAll(joined.select(F.col("m").alias("a"), F.col("a").alias("b")))
+    own, others = joined.select(F.col("m").alias("a"), "b"), joined.select(F.col("m").alias("a"), F.col("a").alias("b"))
+    return own.unionAll(others)
 
 
 def components(edges: DataFrame) -> DataFrame:

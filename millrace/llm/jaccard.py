@@ -2,17 +2,19 @@
 
 Equal sets are one node from the start. Two sets that are like enough share a shingle
 among the first fifth of each, in any order that all sets use; the order here puts
-shingles of heavily used hash buckets last, so that common passages hold no group
-together. Sets that share such a shingle, and sets joined to each other by others, form
-a group in which all links lie. A group travels once, its sets in one task, or in pairs
-of blocks when it is large.
-
-Inside a block the sets are leaves of a signature tree. A node holds the token bitmaps of
-its sets combined by OR, the range of their sizes and how many tokens at most share bits.
-Two nodes are visited together; the pair is dropped when the sizes do not allow a link or
-the bits in common, with the shared ones added, stay below the least overlap that a link
-takes. Sets that are connected already are not compared again; the rest is compared
-exactly.
+shingles of heavily used hash buckets last, so that common passages hold few groups
+together. The sets that share such a shingle are joined twice by signature trees:
+
+* First by bitmaps alone, about a bit per token, which are small enough to travel to every
+  group. Pairs that may link by their bitmaps make families; all links lie inside them.
+* Then by the sets themselves, which travel to their family once, or as pairs of blocks when
+  the family is large. Pairs that pass the tree are compared exactly.
+
+A node of a tree holds the token bitmaps of its sets combined by OR, the range of their
+sizes and how many tokens at most share bits. Two nodes are visited together; the pair is
+dropped when the sizes do not allow a link or the bits in common, with the shared ones
+added, stay below the least overlap that a link takes. Sets that are connected already are
+not compared again, so a group costs about its size and not its square.
 """
 
 from __future__ import annotations
@@ -38,11 +40,15 @@ SALTS = 32
 REMEMBERED = 500_000
 #: Tokens of a block; a larger group is cut into blocks.
 BLOCK_TOKENS = 2_000_000
-#: Nodes of candidate groups up to which their list is broadcast, 24 bytes each.
+#: Sets of a shingle that are joined in one task at most; more are joined block by block.
+GROUP_SETS = 20_000
+#: Groups that a task remembers to send each once.
+REMEMBERED_GROUPS = 500_000
+#: Members of families up to which their list is broadcast, 24 bytes each.
 BROADCAST_NODES = 1_000_000
 
 FANOUT = 8
-MIN_BITS, MAX_BITS = 64, 2048
+MIN_BITS, MAX_BITS = 64, 8192
 PAIRS_AT_ONCE = 1 << 17
 
 
@@ -92,27 +98,54 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
+def signature_bits(size: int) -> int:
+    """Bits of a set's bitmap: the power of two next to its size."""
+    return int(min(MAX_BITS, max(MIN_BITS, 1 << round(float(np.log2(size))))))
+
+
+def signature(tokens: np.ndarray) -> np.ndarray:
+    """The bitmap of a set as 64-bit words."""
+    bits = signature_bits(len(tokens))
+    flags = np.zeros(bits, bool)
+    flags[(tokens & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(flags, bitorder="little").view(np.uint64)
+
+
+def _fold(bitmaps: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps of more words brought to ``words``; a token keeps its place modulo the bits."""
+    return np.bitwise_or.reduce(bitmaps.reshape(len(bitmaps), -1, words), axis=1)
+
+
 class SignatureTree:
-    """Levels of nodes over sets in a given order; level 0 is the sets themselves."""
-
-    def __init__(self, sets: list[np.ndarray]):
-        sizes = np.array([len(s) for s in sets], np.int64)
-        bits = MIN_BITS
-        while bits < MAX_BITS and bits < 2 * np.median(sizes):
-            bits *= 2
-        row = np.repeat(np.arange(len(sets)), sizes)
-        place = (np.concatenate(sets) & np.uint64(bits - 1)).astype(np.int64)
-        flags = np.zeros((len(sets), bits), bool)
-        flags[row, place] = True
-        signature = np.packbits(flags, axis=1, bitorder="little").view(np.uint64)
-        excess = sizes - np.bitwise_count(signature).sum(axis=1, dtype=np.int64)
-        self.levels = [(signature, sizes, sizes, excess)]
+    """Levels of nodes over sets in a given order; level 0 is the sets themselves.
+
+    Inner nodes use bitmaps of the least width among the sets. Sets are compared by the
+    smaller width of the two.
+    """
+
+    def __init__(self, bitmaps: list[np.ndarray], sizes: np.ndarray):
+        self.width = np.array([len(b) for b in bitmaps])
+        self.sizes = sizes
+        self.row = np.zeros(len(sizes), np.int64)
+        self.folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        own: dict[int, np.ndarray] = {}
+        for w in np.unique(self.width).tolist():
+            at = np.flatnonzero(self.width == w)
+            own[w] = np.stack([bitmaps[k] for k in at])
+        for w in own:  # all sets of this width or more, at this width
+            every = np.zeros((len(sizes), w), np.uint64)
+            for wide, maps in own.items():
+                if wide >= w:
+                    every[self.width == wide] = _fold(maps, w)
+            self.folded[w] = (every, sizes - np.bitwise_count(every).sum(axis=1, dtype=np.int64))
+        least, excess = self.folded[min(own)]
+        self.levels = [(least, sizes, sizes, excess)]
         while len(self.levels[-1][1]) > 1:
-            signature, low, high, excess = self.levels[-1]
+            bits, low, high, excess = self.levels[-1]
             cut = np.arange(0, len(low), FANOUT)
             self.levels.append(
                 (
-                    np.bitwise_or.reduceat(signature, cut, axis=0),
+                    np.bitwise_or.reduceat(bits, cut, axis=0),
                     np.minimum.reduceat(low, cut),
                     np.maximum.reduceat(high, cut),
                     np.maximum.reduceat(excess, cut),
@@ -121,12 +154,20 @@ class SignatureTree:
 
     def possible(self, level: int, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
         """Whether a pair of nodes can hold a link."""
-        signature, low, high, excess = self.levels[level]
+        bits, low, high, excess = self.levels[level]
         fits = (100 * high[a] >= percent * low[b]) & (100 * high[b] >= percent * low[a])
-        most = np.bitwise_count(signature[a] & signature[b]).sum(axis=1, dtype=np.int64)
-        most += np.minimum(excess[a], excess[b])
         # a link needs an overlap of percent / (100 + percent) of both sizes together
-        return fits & ((100 + percent) * most >= percent * (low[a] + low[b]))
+        need = percent * (low[a] + low[b])
+        if level or len(self.folded) == 1:
+            most = np.bitwise_count(bits[a] & bits[b]).sum(axis=1, dtype=np.int64)
+            return fits & ((100 + percent) * (most + np.minimum(excess[a], excess[b])) >= need)
+        shared = np.minimum(self.width[a], self.width[b])
+        for w, (bits, excess) in self.folded.items():
+            at = np.flatnonzero(fits & (shared == w))
+            i, j = a[at], b[at]
+            most = np.bitwise_count(bits[i] & bits[j]).sum(axis=1, dtype=np.int64)
+            fits[at] = (100 + percent) * (most + np.minimum(excess[i], excess[j])) >= need[at]
+        return fits
 
     def candidates(self, links: Links, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of sets that may link, by dual traversal from the root, a bounded lot at a time."""
@@ -163,55 +204,81 @@ class SignatureTree:
         return np.minimum.reduceat(labels, cut), np.maximum.reduceat(labels, cut)
 
 
+def _join(bitmaps: list[np.ndarray], sizes: np.ndarray, tie: np.ndarray, percent: int, sets: list | None) -> list:
+    """Pairs of positions that connect all that may link, or all that link if ``sets`` are given."""
+    # like sets next to each other: size class, then what near copies often share
+    order = np.lexsort((sizes, tie, np.floor(np.log(sizes) / np.log(1.25))))
+    tree = SignatureTree([bitmaps[k] for k in order], sizes[order])
+    links = Links(len(order))
+
+    def check(i: int, j: int) -> None:
+        if links.find(i) != links.find(j) and (sets is None or linked(sets[order[i]], sets[order[j]], percent)):
+            links.join(i, j)
+
+    near = np.arange(len(order) - 1)
+    for k in near[tree.possible(0, near, near + 1, percent)].tolist():
+        check(k, k + 1)
+    for a, b in tree.candidates(links, percent):
+        for i, j in zip(a.tolist(), b.tolist()):
+            check(i, j)
+    return [(int(order[i]), int(order[j])) for i, j in links.edges]
+
+
 def link_sets(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Pairs of positions that link and together connect all that links connect."""
     if len(sets) < 2:
         return []
-    # like sets next to each other: size class, then the smallest token
-    sizes = np.array([len(s) for s in sets])
+    sizes = np.array([len(s) for s in sets], np.int64)
     first = np.array([s[0] for s in sets], np.uint64)
-    order = np.lexsort((sizes, first, np.floor(np.log(sizes) / np.log(1.25))))
-    ordered = [sets[k] for k in order]
-    tree, links = SignatureTree(ordered), Links(len(sets))
-    near = np.arange(len(sets) - 1)
-    for k in near[tree.possible(0, near, near + 1, percent)].tolist():
-        if linked(ordered[k], ordered[k + 1], percent):
-            links.join(k, k + 1)
-    for a, b in tree.candidates(links, percent):
-        for i, j in zip(a.tolist(), b.tolist()):
-            if links.find(i) != links.find(j) and linked(ordered[i], ordered[j], percent):
-                links.join(i, j)
-    return [(int(order[i]), int(order[j])) for i, j in links.edges]
+    return _join([signature(s) for s in sets], sizes, first, percent, sets)
+
+
+def link_signatures(bitmaps: list[np.ndarray], sizes: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of positions that together connect all sets that may link by their bitmaps."""
+    if len(bitmaps) < 2:
+        return []
+    return _join(bitmaps, sizes, np.array([b[0] for b in bitmaps], np.uint64), percent, None)
 
 
 def _index(docs: DataFrame, n: int) -> DataFrame:
-    """Per row ``doc_id, n, key``; and per task the use of every bucket (``bucket, used``)."""
+    """Per row ``doc_id, n, key``; the bitmap of every set, once a task (``key, n, bits``); and per
+    task the use of every bucket (``bucket, used``)."""
+    names = ["doc_id", "n", "key", "bits", "bucket", "used"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
+
+    def rows(**columns) -> pa.RecordBatch:
+        size = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[n], k) if n in columns else pa.nulls(size, k) for n, k in zip(names, kinds)], names=names
+        )
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        used = np.zeros(BUCKETS, np.int64)
+        used, sent = np.zeros(BUCKETS, np.int64), set()
         for batch in batches:
             sets = shingle_sets(*utf8(batch.column(1)), n)
             if sets:
                 used += np.bincount((np.concatenate(sets) >> np.uint64(49)).astype(np.int64), minlength=BUCKETS)
-            empty = pa.nulls(len(sets), pa.int64())
-            keys = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
-            sizes = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), sizes, keys, pa.nulls(len(sets), pa.int32()), empty],
-                names=["doc_id", "n", "key", "bucket", "used"],
+            keys = [set_key(s) if len(s) else None for s in sets]
+            yield rows(doc_id=batch.column(0), n=[len(s) for s in sets], key=keys, used=[0] * len(sets))
+            fresh = {}
+            for key, own in zip(keys, sets):
+                if key is not None and key not in sent:
+                    fresh[key] = own
+            if len(sent) < REMEMBERED:
+                sent.update(fresh)
+            yield rows(
+                key=list(fresh), n=[len(s) for s in fresh.values()], bits=[signature(s).tobytes() for s in fresh.values()]
             )
         some = np.flatnonzero(used)
-        empty = pa.nulls(len(some), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [empty, empty, empty, pa.array(some.astype(np.int32)), pa.array(used[some])],
-            names=["doc_id", "n", "key", "bucket", "used"],
-        )
+        yield rows(bucket=some, used=used[some])
 
-    return docs.mapInArrow(measure, "doc_id bigint, n bigint, key bigint, bucket int, used bigint")
+    return docs.mapInArrow(
+        measure, "doc_id bigint, n bigint, key bigint, bits binary, bucket int, used bigint"
+    )
 
 
 def _prefixes(docs: DataFrame, used: np.ndarray, n: int, percent: int) -> DataFrame:
-    """``token, salt, n, key``: the first tokens of every set in the common order."""
+    """``token, salt, key``: the first tokens of every set in the common order."""
     hot = used > used.mean() + HOT_BUCKET
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,69 +298,120 @@ def _prefixes(docs: DataFrame, used: np.ndarray, n: int, percent: int) -> DataFr
                 bucket = (shingles >> np.uint64(49)).astype(np.int64)
                 order = np.lexsort((shingles, used[bucket]))[:first]
                 salt = np.where(hot[bucket[order]], key % SALTS, -1)
-                parts.append((shingles[order], salt, np.full(first, size), np.full(first, key)))
+                parts.append((shingles[order], salt, np.full(first, key)))
             if parts:
-                token, salt, size, key = (np.concatenate(c) for c in zip(*parts))
+                token, salt, key = (np.concatenate(c) for c in zip(*parts))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(token.view(np.int64)), pa.array(salt.astype(np.int32)),
-                        pa.array(size.astype(np.int32)), pa.array(key.astype(np.int64)),
-                    ],
-                    names=["token", "salt", "n", "key"],
-                )
+                    [pa.array(token.view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(key.astype(np.int64))],
+                    names=["token", "salt", "key"],
+                )
 
-    return docs.mapInArrow(emit, "token bigint, salt int, n int, key bigint")
+    return docs.mapInArrow(emit, "token bigint, salt int, key bigint")
 
 
-def _stars(prefixes: DataFrame, percent: int) -> DataFrame:
-    """``a, b`` for sets that share a token: the first of a run and every other one.
+def _groups(prefixes: DataFrame) -> DataFrame:
+    """``gid, key`` for sets that share a token: a group is a set of sets.
 
-    Sorted by size, a run ends where the next set is too large for all before it. The first
-    set of a run of a salted token comes with its ``token`` as well.
+    Tokens with the same sets make the same group, which is told by a hash and sent once by
+    a task. Salted tokens and those of very many sets arrive in parts, so they name their
+    group by the token.
     """
+    none = np.zeros(0, np.int64)
 
-    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # token, salt, size, first key of the run
-        for batch in batches:
-            token, salt, size, key = (batch.column(k).to_numpy() for k in range(4))
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
+        left: list[np.ndarray] = [none, none.astype(np.int32), none]  # rows of a run that may go on
+        going = None  # token and salt of a run of which a part has been sent
+
+        def runs(columns: list[np.ndarray], last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal left, going
+            token, salt, key = columns
             if not len(token):
-                continue
-            fresh = np.ones(len(token), bool)
-            fresh[1:] = (token[1:] != token[:-1]) | (salt[1:] != salt[:-1]) | (percent * size[1:] > 100 * size[:-1])
-            if last is not None:
-                fresh[0] = last[0] != token[0] or last[1] != salt[0] or percent * size[0] > 100 * last[2]
-            starts = np.flatnonzero(fresh)
-            run = np.cumsum(fresh) - 1
-            firsts = np.where(run < 0, last[3] if last is not None else 0, key[starts[np.maximum(run, 0)]] if len(starts) else 0)
-            pairs = firsts != key
-            heads = fresh & (salt >= 0)
-            last = (token[-1], salt[-1], size[-1], int(firsts[-1]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([np.zeros(pairs.sum(), np.int64), token[heads]]),
-                             mask=np.concatenate([np.ones(pairs.sum(), bool), np.zeros(heads.sum(), bool)])),
-                    pa.array(np.concatenate([firsts[pairs], key[heads]]).astype(np.int64)),
-                    pa.array(np.concatenate([key[pairs], key[heads]]).astype(np.int64)),
-                ],
-                names=["token", "a", "b"],
-            )
-
-    order = ["token", "salt", "n", "key"]
-    dealt = prefixes.repartition("token", "salt").sortWithinPartitions(*order)
-    return dealt.mapInArrow(edges, "token bigint, a bigint, b bigint")
-
-
-def _candidate_groups(docs: DataFrame, used: np.ndarray, n: int, percent: int) -> DataFrame:
-    """``node, root`` of sets that may link to another one."""
-    stars = staged(_stars(_prefixes(docs, used, n, percent), percent), "stars")
-    heads = stars.where(F.col("token").isNotNull()).select("token", "a")
-    meet = heads.groupBy("token").agg(F.min("a").alias("b"))
-    return components(stars.where(F.col("token").isNull()).select("a", "b").unionAll(heads.join(meet, "token").select("a", "b")))
-
-
-def _links(docs: DataFrame, groups: DataFrame, keys: DataFrame, n: int, percent: int, block_tokens: int) -> DataFrame:
-    """Links ``a, b`` that connect the sets of every group as all its links do."""
-    members = groups.join(keys.select(F.col("key").alias("node"), "n"), "node")
+                return
+            new = np.flatnonzero((token[1:] != token[:-1]) | (salt[1:] != salt[:-1])) + 1
+            starts = np.concatenate([[0], new])
+            ends = np.append(new, len(token))
+            gids, keys = [], []
+            # a token of a single set makes no group, unless its run goes on or lies elsewhere too
+            look = (ends - starts > 1) | (salt[starts] >= 0)
+            look[[0, -1]] = True
+            for k in np.flatnonzero(look).tolist():
+                low, high = int(starts[k]), int(ends[k])
+                open_run = k == len(starts) - 1 and not last
+                if open_run and high - low < GROUP_SETS:
+                    left = [c[low:high] for c in columns]
+                    break
+                own = np.unique(key[low:high])
+                if salt[low] >= 0 or open_run or going == (token[low], salt[low]):
+                    gid = int(token[low])
+                    going = (token[low], salt[low])
+                else:
+                    if len(own) < 2:
+                        continue
+                    gid = set_key(own.view(np.uint64))
+                    if gid in sent:
+                        continue
+                    if len(sent) < REMEMBERED_GROUPS:
+                        sent.add(gid)
+                gids.append(np.full(len(own), gid))
+                keys.append(own)
+                if open_run:
+                    left = [c[:0] for c in columns]
+            if gids:
+                columns = [pa.array(np.concatenate(c), pa.int64()) for c in (gids, keys)]
+                yield pa.RecordBatch.from_arrays(columns, names=["gid", "key"])
+
+        for batch in batches:
+            rows = [np.concatenate([l, batch.column(k).to_numpy()]) for k, l in enumerate(left)]
+            left = [c[:0] for c in rows]
+            yield from runs(rows, False)
+        yield from runs(left, True)
+
+    order = ["token", "salt", "key"]
+    dealt = prefixes.select(*order).repartition("token", "salt").sortWithinPartitions(*order)
+    return dealt.mapInArrow(find, "gid bigint, key bigint").distinct()
+
+
+def _families(groups: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """``node, root`` of sets that may link to another one by their bitmaps."""
+    groups = staged(groups, "groups")
+    large = groups.groupBy("gid").agg(F.ceil(F.count(F.lit(1)) / GROUP_SETS).cast("int").alias("blocks"))
+    large = groups.join(large.where("blocks > 1"), "gid", "left")
+    blocks = F.coalesce("blocks", F.lit(1))
+    block = F.pmod(F.xxhash64("key"), blocks).cast("int")
+    paired = large.select("gid", "key", block.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    paired = paired.select("gid", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "key")
+    dealt = paired.join(bitmaps, "key").repartition("gid", "i", "j").sortWithinPartitions("gid", "i", "j", "key")
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, keys, sizes, bits = None, [], [], []
+
+        def done() -> pa.RecordBatch:
+            pairs = link_signatures(bits, np.array(sizes, np.int64), percent)
+            a, b = ([keys[p[k]] for p in pairs] for k in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            for gid, i, j, key, n, own in zip(*(batch.column(k).to_pylist() for k in range(6))):
+                if (gid, i, j) != group:
+                    if len(keys) > 1:
+                        yield done()
+                    keys, sizes, bits = [], [], []
+                    group = (gid, i, j)
+                if not keys or keys[-1] != key:
+                    keys.append(key)
+                    sizes.append(n)
+                    bits.append(np.frombuffer(own, np.uint64))
+        if len(keys) > 1:
+            yield done()
+
+    edges = dealt.select("gid", "i", "j", "key", "n", "bits").mapInArrow(join, "a bigint, b bigint")
+    return components(edges)
+
+
+def _links(docs: DataFrame, families: DataFrame, keys: DataFrame, n: int, percent: int, block_tokens: int) -> DataFrame:
+    """Links ``a, b`` that connect the sets of every family as all its links do."""
+    members = families.join(keys.select(F.col("key").alias("node"), "n"), "node")
     blocks = members.groupBy("root").agg(F.ceil(F.sum("n") / block_tokens).cast("int").alias("blocks"))
     members = staged(members.join(blocks, "root").select(F.col("node").alias("key"), "root", "blocks"), "members")
 
@@ -309,8 +427,8 @@ def _links(docs: DataFrame, groups: DataFrame, keys: DataFrame, n: int, percent:
                     sent.add(key)
                 out.append((key, shingles.tobytes()))
             if out:
-                key, data = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(data, pa.binary())], names=["key", "tokens"])
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*out), (pa.int64(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "tokens"])
 
     small = members.count() <= BROADCAST_NODES
     found = docs.mapInArrow(sets, "key bigint, tokens binary").join(F.broadcast(members) if small else members, "key")
@@ -371,11 +489,13 @@ def jaccard_components(
     used = np.zeros(BUCKETS, np.int64)
     for row in index.where(F.col("bucket").isNotNull()).groupBy("bucket").agg(F.sum("used").alias("used")).collect():
         used[row.bucket] = row.used
-    rows = index.where(F.col("bucket").isNull()).select("doc_id", "n", "key")
+    rows = index.where(F.col("bucket").isNull() & F.col("used").isNotNull()).select("doc_id", "n", "key")
+    bitmaps = index.where(F.col("bits").isNotNull()).groupBy("key")
+    bitmaps = bitmaps.agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
     keys = rows.where(F.col("key").isNotNull()).groupBy("key")
     keys = staged(keys.agg(F.min("doc_id").alias("first"), F.max("n").alias("n")), "shingle-sets")
-    groups = _candidate_groups(own, used, n, percent)
-    links = components(_links(own, groups, keys, n, percent, block_tokens))
+    families = _families(_groups(_prefixes(own, used, n, percent)), bitmaps, percent)
+    links = components(_links(own, families, keys, n, percent, block_tokens))
     whole = keys.join(links.withColumnRenamed("node", "key"), "key")
     least = whole.groupBy("root").agg(F.min("first").alias("component_id"))
     changed = whole.join(least, "root").select("key", "component_id")

@@ -74,6 +74,7 @@ def made(seed: int, n: int) -> list[tuple]:
 def test_components(spark, block_tokens, monkeypatch):
     ready(spark)
     monkeypatch.setattr(jaccard, "HOT_BUCKET", 3)  # salts as well
+    monkeypatch.setattr(jaccard, "GROUP_SETS", 5)  # and blocks
     rows = made(block_tokens, 260)
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, component_id int").repartition(5)
     got = jaccard.jaccard_components(df, block_tokens=block_tokens).collect()
@@ -113,7 +114,8 @@ def test_tree_loses_no_link(percent):
 def test_tree_prunes():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 1 << 63, 100, dtype=np.uint64)) for _ in range(600)]
-    tree, links = jaccard.SignatureTree(sets), jaccard.Links(len(sets))
+    sizes = np.array([len(s) for s in sets])
+    tree, links = jaccard.SignatureTree([jaccard.signature(s) for s in sets], sizes), jaccard.Links(len(sets))
     assert sum(len(a) for a, _ in tree.candidates(links, 80)) == 0
 
 
