@@ -32,7 +32,7 @@ RARE += ["\u2028", "\u2029", "\u202f", "\u205f", "\u3000"]
 DOUBLED = ["  ", " \n", "\n ", "\n\n"]
 
 #: Distinct pieces a worker remembers before it starts afresh, about 200 bytes each.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_200_000
 #: Pieces encoded by one call.
 CALL = 4_000
 
