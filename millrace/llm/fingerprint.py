@@ -3,8 +3,8 @@
 A feature is a window of 32 bytes. Windows are ranked by the entropy of their bytes: a
 fixed table gives common entropies a high rank and rare ones a low rank. In every run of
 32 windows (8 in a short text) the lowest rank wins a point, leftmost first; windows that
-win a quarter of the runs they can are the features. They go in order into Bloom filters of 2048 bits, the next filter being opened
-when one has taken its share. Two fingerprints are compared filter by filter by the bits
+win a quarter of the runs they can are the features. They go in order into Bloom filters of
+2048 bits, the next filter being opened when one has taken its share. Two fingerprints are compared filter by filter by the bits
 they have in common, normalised between the overlap that chance gives and the largest one.
 """
 
@@ -192,28 +192,34 @@ def _with_neighbours(docs: DataFrame, n_parts: int) -> DataFrame:
     """
     spark = docs.sparkSession
     keyed = docs.withColumn("tie", F.xxhash64("text"))
-    cuts = keyed.agg(
-        F.percentile_approx("doc_id", F.array(*[F.lit(k / n_parts) for k in range(1, n_parts)]), 10_000).alias("cuts")
-    ).first()["cuts"] if n_parts > 1 else []
-    cuts, part = sorted(set(cuts or [])), F.lit(0)
+    cuts: list[int] = []
+    if n_parts > 1:
+        shares = [k / n_parts for k in range(1, n_parts)]
+        quantiles = keyed.agg(F.percentile_approx("doc_id", shares, 10_000).alias("cuts")).first()["cuts"]
+        cuts = sorted(set(quantiles or []))
+    part = F.lit(0)
     if cuts:
         bounds = F.array(*[F.lit(c) for c in cuts])
         part = F.coalesce(F.size(F.filter(bounds, lambda c: c <= F.col("doc_id"))), F.lit(0))
     keyed = keyed.withColumn("part", part)
-    firsts = (
-        keyed.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id", "tie")).alias("first")).collect()
-    )
+    least = F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id", "tie")).alias("first")
+    firsts = keyed.groupBy("part").agg(least).collect()
     order = sorted((r.part, r.first[1], r.first[2]) for r in firsts)
     ahead = {p: order[k - 1][0] for k, (p, _, _) in enumerate(order)}
     whose = spark.createDataFrame(
         [(p, d, t, ahead[p]) for p, d, t in order], "part int, doc_id bigint, tie bigint, before int"
     )
+    same = (
+        (F.col("k.part") == F.col("w.part"))
+        & F.col("k.doc_id").eqNullSafe(F.col("w.doc_id"))
+        & (F.col("k.tie") == F.col("w.tie"))
+    )
     copies = (
         keyed.alias("k")
-        .join(F.broadcast(whose).alias("w"), (F.col("k.part") == F.col("w.part")) & F.col("k.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("k.tie") == F.col("w.tie")))
+        .join(F.broadcast(whose).alias("w"), same)  # a row per range
         .select("k.doc_id", "k.text", "k.tie", F.col("w.before").alias("part"), F.lit(True).alias("ahead"))
         .dropDuplicates(["part"])
-    )
+    )
     rows = keyed.withColumn("ahead", F.lit(False)).unionByName(copies)
     dealt = rows.repartitionById(len(cuts) + 1, "part")
     return dealt.sortWithinPartitions("part", "ahead", "doc_id", "tie").select("part", "ahead", "doc_id", "text")

@@ -96,8 +96,9 @@ def _base(text: Column, kind: str) -> Column:
     if kind == "assign":
         spans = _located(text, pattern, rank)
         values = F.regexp_extract_all(text, F.lit(pattern), F.lit(2))
-        both = F.filter(F.arrays_zip(spans.alias("span"), values.alias("value")), lambda x: F.length(x["value"]) >= SHORTEST[kind])
-        found = F.transform(both, lambda x: x["span"])
+        both = F.arrays_zip(spans.alias("span"), values.alias("value"))
+        long = F.filter(both, lambda x: F.length(x["value"]) >= SHORTEST[kind])
+        found = F.transform(long, lambda x: x["span"])
     else:
         found = _located(text, pattern, rank)
     return F.when(F.rlike(text, F.lit(HINTS[kind])), found).otherwise(F.array().cast(_SPANS)).cast(_SPANS)

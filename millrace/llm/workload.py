@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe_codec, fingerprint, jaccard, language, packing, quality, secret_scan, token_counts, token_files, warc
+from millrace.llm import (
+    bpe_codec,
+    fingerprint,
+    jaccard,
+    language,
+    packing,
+    quality,
+    secret_scan,
+    token_counts,
+    token_files,
+    warc,
+)
 from millrace.llm.runtime import documents, ready
 from millrace.llm.tokens import tokenizer_path
 
@@ -77,7 +88,8 @@ def op7_token_files(spark, sf_dir):
 def op8_quality(spark, sf_dir):
     """Statistics and verdict of every text, by trees fitted to the labels."""
     docs = documents(spark, sf_dir)
-    return quality.quality_report(docs, quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    trees = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.quality_report(docs, trees)
 
 
 @_query
