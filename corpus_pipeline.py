@@ -17,7 +17,7 @@ from millrace.session import staged
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; texts without a letter go."""
+    """Documents in a learned language; others go, and texts without a letter."""
     ready(spark)
     return language.keep_identified(docs, language.fit_profiles(docs))
 

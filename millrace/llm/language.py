@@ -5,6 +5,11 @@ n-gram binds the vectors of its letters, each permuted (rotated) by its place; a
 bundles the vectors of its n-grams, a language those of its training texts. A text is
 given the language whose profile has the highest cosine with it. Bundles are sums of
 whole numbers, so they do not depend on the order in which tasks finish.
+
+A text in none of the languages has a best language too. What a text must reach to be kept
+is learned from the training texts, per language and number of distinct n-grams: their
+cosine with their own language, without their own part in it, against the best cosine that
+they have with the other languages, which stand for languages that were not learned.
 """
 
 from __future__ import annotations
@@ -26,6 +31,12 @@ GRAM = 3
 #: Training texts of one language, at most about this many.
 SAMPLE = 4_000
 UNKNOWN = "und"
+#: Share of the training texts that lies below the least score before room is left under it.
+LOW = 0.01
+#: Training texts of one language and size that its least score is learned from, at least.
+LEAST_TEXTS = 10
+#: Sizes are powers of two of distinct n-grams.
+SIZES = 48
 #: Characters that are profiled together, and the longest stretch taken at once.
 GROUP_CHARS = 300_000
 
@@ -68,10 +79,14 @@ def _stretches(text: str) -> Iterator[str]:
         yield text[at : at + GROUP_CHARS + GRAM - 1]
 
 
-def bundles(batch: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray]:
-    """The bundled vectors of the texts (whole numbers) and whether each has a letter."""
+def measured(batch: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray]:
+    """The bundled vectors of the texts (whole numbers) and how many n-grams differ in each.
+
+    Of a text of several stretches, the number is that of the richest one; without a letter
+    it is 0.
+    """
     out = np.zeros((len(batch), alphabet.size))
-    lettered = np.zeros(len(batch), bool)
+    distinct = np.zeros(len(batch), np.int64)
     group: list[tuple[int, np.ndarray]] = []
 
     def flush() -> None:
@@ -92,9 +107,11 @@ def bundles(batch: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarra
         first, second, third = grams // (base * base), grams // base % base, grams % base
         vectors = np.roll(alphabet.vectors, 2, axis=1)[first] * np.roll(alphabet.vectors, 1, axis=1)[second]
         vectors = (vectors * alphabet.vectors[third]).astype(np.float32)
-        sums = counts.reshape(len(codes), len(grams)).astype(np.float32) @ vectors
-        for (k, _), own in zip(group, sums):
+        counts = counts.reshape(len(codes), len(grams))
+        sums = counts.astype(np.float32) @ vectors
+        for (k, _), own, n in zip(group, sums, np.count_nonzero(counts, axis=1)):
             out[k] += own
+            distinct[k] = max(distinct[k], n)
         group.clear()
 
     held = 0
@@ -103,7 +120,6 @@ def bundles(batch: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarra
             numbers = alphabet.numbers(stretch)
             if not numbers.any():
                 continue
-            lettered[k] = True
             # words are bounded by gaps, so that short texts have n-grams too
             padded = np.concatenate([np.zeros(2, np.int32), numbers, np.zeros(2, np.int32)])
             group.append((k, padded))
@@ -112,7 +128,22 @@ def bundles(batch: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarra
                 flush()
                 held = 0
     flush()
-    return out, lettered
+    return out, distinct
+
+
+def bundles(batch: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray]:
+    """The bundled vectors of the texts (whole numbers) and whether each has a letter."""
+    out, distinct = measured(batch, alphabet)
+    return out, distinct > 0
+
+
+def size_class(distinct: np.ndarray) -> np.ndarray:
+    """The power of two above a number of distinct n-grams."""
+    return np.minimum(np.frexp(distinct.astype(float))[1], SIZES - 1)
+
+
+def _lengths(vectors: np.ndarray) -> np.ndarray:
+    return np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)
 
 
 @dataclass
@@ -126,22 +157,30 @@ class Profiles:
     def __getstate__(self):
         return {"languages": self.languages, "vectors": self.vectors, "alphabet": None}
 
+    def compare(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The texts' vectors, their cosines with every language, their distinct n-grams."""
+        if self.alphabet is None:
+            self.alphabet = Alphabet(self.vectors.shape[1])
+        own, distinct = measured(batch, self.alphabet)
+        unit = self.vectors / _lengths(self.vectors)[:, None]
+        return own, own @ unit.T / _lengths(own)[:, None], distinct
+
+    def best(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The place of the best language of every text, its score and the distinct n-grams."""
+        _, cosine, distinct = self.compare(batch)
+        best = np.argmax(cosine, axis=1)
+        return best, np.where(distinct > 0, np.clip(cosine[np.arange(len(batch)), best], 0, 1), 0.0), distinct
+
     def predict(self, batch: list[str]) -> tuple[list[str], np.ndarray]:
         """The language of every text and its cosine, 0 where that is negative.
 
         Ties go to the language that comes first by name. A text without a letter, and every
         text if no language was learned, is ``und`` with score 0.
         """
-        if self.alphabet is None:
-            self.alphabet = Alphabet(self.vectors.shape[1])
-        own, lettered = bundles(batch, self.alphabet)
         if not self.languages:
             return [UNKNOWN] * len(batch), np.zeros(len(batch))
-        unit = self.vectors / np.maximum(np.linalg.norm(self.vectors, axis=1, keepdims=True), 1e-12)
-        cosine = own @ unit.T / np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)
-        best = np.argmax(cosine, axis=1)
-        score = np.where(lettered, np.clip(cosine[np.arange(len(batch)), best], 0, 1), 0.0)
-        return [self.languages[b] if fine else UNKNOWN for b, fine in zip(best, lettered)], score
+        best, score, distinct = self.best(batch)
+        return [self.languages[b] if n else UNKNOWN for b, n in zip(best, distinct)], score
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -149,6 +188,22 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string")) % 3 == 1
 
 
+def _training(docs: DataFrame, sample: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """``text, lang, picked`` of the documents that may be learned from; profiles are of the picked ones."""
+    own = docs.select(
+        F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
+        F.col(f"`{text_col}`").cast("string").alias("text"),
+        F.col(f"`{lang_col}`").cast("string").alias("lang"),
+    )
+    own = own.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out())
+    counts = {r.lang: r.n for r in own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    bound = F.lit(0)
+    for lang, n in counts.items():
+        bound = F.when(F.col("lang") == lang, int(min(1.0, sample / n) * (1 << 30))).otherwise(bound)
+    picked = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < bound
+    return own.select("text", "lang", picked.alias("picked"))
+
+
 def fit_profiles(
     docs: DataFrame,
     sample: int = SAMPLE,
@@ -163,17 +218,7 @@ def fit_profiles(
     id. Sums are taken per task, then per language in a shuffle; the driver gets one vector
     per language.
     """
-    own = docs.select(
-        F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
-        F.col(f"`{text_col}`").cast("string").alias("text"),
-        F.col(f"`{lang_col}`").cast("string").alias("lang"),
-    )
-    own = own.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out())
-    counts = {r.lang: r.n for r in own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    bound = F.lit(0)
-    for lang, n in counts.items():
-        bound = F.when(F.col("lang") == lang, int(min(1.0, sample / n) * (1 << 30))).otherwise(bound)
-    picked = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < bound)
+    picked = _training(docs, sample, id_col, text_col, lang_col).where("picked")
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alphabet = Alphabet(size)
@@ -219,12 +264,80 @@ def identify(
     return rows.mapInArrow(predict, SCHEMA)
 
 
-def keep_identified(docs: DataFrame, profiles: Profiles, text_col: str = "text", least: float = 0.0) -> DataFrame:
-    """Rows of ``docs`` with a language and a score above ``least``, all columns unchanged."""
+def least_scores(
+    docs: DataFrame,
+    profiles: Profiles,
+    sample: int = SAMPLE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+) -> np.ndarray:
+    """The score that a text must exceed, by the place of its language and its size class.
+
+    ``docs`` and ``sample`` are those of the profiles; all training texts take part, not only
+    the sample. The least score lies midway between the low end of the texts' scores in their
+    own language and the middle of their best scores in another one, but below that low end by
+    the spread of cosines of unrelated vectors at least, so that short texts, which cannot be
+    told from other languages, stay. A class with too few texts of a language uses those of
+    all languages, or else the class below. The driver gets one row per language and class.
+    """
+    languages = {lang: k for k, lang in enumerate(profiles.languages)}
+    least = np.zeros((len(languages), SIZES))
+    if not languages:
+        return least
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = np.array([languages.get(x, -1) for x in batch.column(1).to_pylist()], int)
+            vectors, cosine, distinct = profiles.compare(texts(batch.column(0)))
+            row = np.arange(len(place))
+            # without the text's own part, as a text that was not learned from
+            rest = profiles.vectors[place] - vectors * batch.column(2).to_numpy(zero_copy_only=False)[:, None]
+            own = (vectors * rest).sum(axis=1) / _lengths(vectors) / _lengths(rest)
+            cosine[row, place] = -1
+            other = cosine.max(axis=1) if len(languages) > 1 else np.zeros(len(row))
+            fine = (place >= 0) & (distinct > 0) & rest.any(axis=1)
+            columns = [place.astype(np.int32), size_class(distinct).astype(np.int32), own.round(3), other.round(3)]
+            yield pa.RecordBatch.from_arrays([pa.array(c[fine]) for c in columns], names=["place", "size", "own", "other"])
+
+    training = _training(docs, sample, id_col, text_col, lang_col)
+    scores = training.mapInArrow(compare, "place int, size int, own double, other double")
+    # scores are rounded, so an exact percentile holds few values
+    learned = scores.rollup("size", "place").agg(
+        F.count(F.lit(1)).alias("n"), F.percentile("own", F.lit(LOW)).alias("low"), F.percentile("other", F.lit(0.5)).alias("other")
+    )
+    spread = profiles.vectors.shape[1] ** -0.5
+    found = {
+        (r.place, r.size): max(0.0, r.low - max((r.low - r.other) / 2, spread))
+        for r in learned.where(F.col("size").isNotNull() & (F.col("n") >= LEAST_TEXTS)).collect()
+    }
+    for size in range(1, SIZES):
+        for place in range(len(languages)):
+            least[place, size] = found.get((place, size), found.get((None, size), least[place, size - 1]))
+    return least
+
+
+def keep_identified(
+    docs: DataFrame,
+    profiles: Profiles,
+    text_col: str = "text",
+    least: np.ndarray | None = None,
+    id_col: str = "doc_id",
+    lang_col: str = "lang",
+) -> DataFrame:
+    """Rows of ``docs`` in one of the languages, all columns unchanged.
+
+    A row stays if its score is above the least one of its language and size class; these are
+    learned from ``docs`` unless given. Rows without a letter go.
+    """
     at = docs.columns.index(text_col)
+    if least is None:
+        least = least_scores(docs, profiles, id_col=id_col, text_col=text_col, lang_col=lang_col)
 
     def verdict(batch: pa.RecordBatch) -> np.ndarray:
-        languages, score = profiles.predict(texts(batch.column(at).cast(pa.string())))
-        return (np.array(languages, object) != UNKNOWN) & (score > least)
+        if not profiles.languages:
+            return np.zeros(batch.num_rows, bool)
+        best, score, distinct = profiles.best(texts(batch.column(at).cast(pa.string())))
+        return (distinct > 0) & (score > least[best, size_class(distinct)])
 
     return keep_rows(docs, verdict)

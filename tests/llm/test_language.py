@@ -87,3 +87,47 @@ def test_nothing_to_learn(spark):
     assert language.identify(empty, profiles).collect() == []
     one = spark.createDataFrame([(1, "text")], "doc_id bigint, text string")
     assert language.identify(one, profiles).first().lang_pred == "und"
+
+
+POLISH = (
+    "Litwo! Ojczyzno moja! ty jesteś jak zdrowie. Ile cię trzeba cenić, ten tylko się dowie, kto cię stracił. "
+    "Dziś piękność twą w całej ozdobie widzę i opisuję, bo tęsknię po tobie. Panno Święta, co Jasnej bronisz "
+    "Częstochowy i w Ostrej świecisz Bramie! Ty, co gród zamkowy nowogródzki ochraniasz z jego wiernym ludem! "
+)
+FINNISH = (
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja "
+    "omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. "
+)
+RUSSIAN = (
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и "
+    "должны поступать в отношении друг друга в духе братства. "
+)
+
+
+def test_other_languages_go_and_short_texts_stay(spark):
+    """Texts in no learned language go, gibberish too; every text of the table stays, and so do its first words."""
+    docs = documents(ready(spark), "/root/testdata/sf0.01")
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz    "))
+    strange = [t * k for t in (POLISH, FINNISH, RUSSIAN) for k in (1, 3, 10)]
+    strange += ["".join(rng.choice(letters, n)) for n in (150, 300, 1000, 5000) for _ in range(10)]
+    own = docs.collect()
+    short = [" ".join(r.text.split()[:n]) for r in own[:100] for n in (8, 20)]
+    # held out or without a language, so that nothing is learned from them
+    rows = [(-k - 1, t, None, "planted", len(t)) for k, t in enumerate(strange)]
+    rows += [(1_000_000 + k, t, None, "short", len(t)) for k, t in enumerate(short)]
+    every = docs.unionAll(spark.createDataFrame(rows, docs.schema))
+    kept = language.keep_identified(every, language.fit_profiles(every)).collect()
+    assert [r.text for r in kept if r.doc_id < 0] == []
+    assert sum(r.doc_id < 1_000_000 for r in kept) == len(own)
+    profiles = language.fit_profiles(docs)
+    lettered = [t for t, s in zip(short, profiles.predict(short)[1]) if s > 0]
+    assert sum(r.source == "short" for r in kept) >= 0.98 * len(lettered)
+
+
+def test_least_scores(spark):
+    docs = documents(ready(spark), "/root/testdata/sf0.01")
+    profiles = language.fit_profiles(docs)
+    one, other = (language.least_scores(docs.repartition(n), profiles) for n in (1, 5))
+    assert (one == other).all() and one.min() >= 0 and one[:, 10].min() > 0.2
+    assert language.size_class(np.array([0, 1, 2, 3, 4, 1023, 1024])).tolist() == [0, 1, 2, 2, 3, 10, 11]
