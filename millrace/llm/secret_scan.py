@@ -1,6 +1,6 @@
 """Secrets in texts, by Spark's own functions alone.
 
-Three fixed patterns come first. Strings that none of them covers are judged by two
+Three fixed patterns come first. Strings that none of them covers wholly are judged by two
 character Markov models, one of random strings and one of ordinary identifiers: the
 log-likelihood ratio of a string per character pair decides. Both are trained from a
 bounded sample of documents, labelled by the fixed patterns: what they match is random,
@@ -189,7 +189,8 @@ def find_secrets(
     """``docs`` with two more columns, and their names: the spans of the fixed patterns, all spans.
 
     Spans are start, rank of the kind, end; sorted; ends are exclusive; in code points. A
-    string that overlaps a span of the fixed patterns is not judged by the models.
+    string that a span of the fixed patterns covers wholly is not judged by the models; one
+    that reaches beyond is, so spans may overlap.
     """
     base, spans = _unused("_base", docs.columns), _unused("_spans", docs.columns)
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
@@ -201,10 +202,10 @@ def find_secrets(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value"),
     )
 
-    def alone(x: Column) -> Column:
-        return ~F.exists(base, lambda b: (b["start"] < x["span"]["end"]) & (x["span"]["start"] < b["end"]))
+    def open_ended(x: Column) -> Column:
+        return ~F.exists(base, lambda b: (b["start"] <= x["span"]["start"]) & (x["span"]["end"] <= b["end"]))
 
-    likely = F.filter(F.filter(strings, alone), lambda x: _ratio(x["value"], table) >= least_ratio)
+    likely = F.filter(F.filter(strings, open_ended), lambda x: _ratio(x["value"], table) >= least_ratio)
     more = F.when(F.rlike(text, F.lit(pattern)), F.transform(likely, lambda x: x["span"]))
     more = more.otherwise(F.array().cast(_SPANS)).cast(_SPANS)
     return found.withColumn(spans, F.array_sort(F.concat(F.col(base), more))), base, spans
