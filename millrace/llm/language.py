@@ -33,8 +33,8 @@ SAMPLE = 4_000
 UNKNOWN = "und"
 #: Share of the training texts that lies below the least score before room is left under it.
 LOW = 0.01
-#: Training texts of one language and size that its least score is learned from, at least.
-LEAST_TEXTS = 10
+#: Training texts of a size that a least score is learned from, at least: of one language, of all.
+LEAST_OWN, LEAST_ALL = 100, 20
 #: Sizes are powers of two of distinct n-grams.
 SIZES = 48
 #: Characters that are profiled together, and the longest stretch taken at once.
@@ -275,10 +275,10 @@ def least_scores(
     """The score that a text must exceed, by the place of its language and its size class.
 
     ``docs`` and ``sample`` are those of the profiles; all training texts take part, not only
-    the sample. The least score lies midway between the low end of the texts' scores in their
-    own language and the middle of their best scores in another one, but below that low end by
-    the spread of cosines of unrelated vectors at least, so that short texts, which cannot be
-    told from other languages, stay. A class with too few texts of a language uses those of
+    the sample. The least score lies two thirds of the way from the low end of the texts' scores
+    in their own language to the middle of their best scores in another one, but below that low
+    end by twice the spread of cosines of unrelated vectors at least, so that short texts, which
+    cannot be told from other languages, stay. A class with too few texts of a language uses those of
     all languages, or else the class below. The driver gets one row per language and class.
     """
     languages = {lang: k for k, lang in enumerate(profiles.languages)}
@@ -308,8 +308,9 @@ def least_scores(
     )
     spread = profiles.vectors.shape[1] ** -0.5
     found = {
-        (r.place, r.size): max(0.0, r.low - max((r.low - r.other) / 2, spread))
-        for r in learned.where(F.col("size").isNotNull() & (F.col("n") >= LEAST_TEXTS)).collect()
+        (r.place, r.size): max(0.0, r.low - max((r.low - r.other) * 2 / 3, 2 * spread))
+        for r in learned.where("size is not null").collect()
+        if r.n >= (LEAST_ALL if r.place is None else LEAST_OWN)
     }
     for size in range(1, SIZES):
         for place in range(len(languages)):
