@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from millrace.llm.runtime import id_and_text, texts
-from millrace.llm.tokens import Memo, _loaded
+from millrace.llm.tokens import PieceIds, TextIds, _loaded, gather, literal
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
@@ -98,22 +98,24 @@ class Codec:
             self.model.id_to_piece(k).translate(letter_to_byte).encode("latin-1") for k in range(len(tokens))
         ]
         self.whole = {t: k for k, t in enumerate(tokens)}
-        self.memo = Memo(self._encode_pieces, b"".join)
+        sizes = np.array([len(p) for p in self.piece_bytes])
+        self.letters = np.frombuffer(b"".join(self.piece_bytes), np.uint8)
+        self.letters_at, self.n_letters = np.cumsum(sizes) - sizes, sizes
+        self.encode = TextIds(PieceIds(self._encode_pieces))
 
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each pattern match separately; a match that is a token is that token."""
-        matches = [[m.encode() for m in self.pattern.findall(p)] for p in pieces]
+        matches = [[m.encode() for m in self.pattern.findall(literal(p))] for p in pieces]
         ids = {m: [self.whole[m]] for group in matches for m in group if m in self.whole}
         rest = list({m for group in matches for m in group} - ids.keys())
         if rest:
             ids.update(zip(rest, self.model.encode([_letters(m) for m in rest], num_threads=1)))
-        return [np.array([k for m in group for k in ids[m]], "<u4").tobytes() for group in matches]
+        length = np.array([sum(len(ids[m]) for m in group) for group in matches])
+        flat = np.fromiter((k for group in matches for m in group for k in ids[m]), np.uint32, int(length.sum()))
+        return flat, np.cumsum(length) - length, length
 
-    def encode(self, batch: list[str]) -> list[bytes]:
-        return self.memo(batch)
-
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.piece_bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    def decode(self, ids: np.ndarray) -> bytes:
+        return gather(self.letters, self.letters_at[ids], self.n_letters[ids]).tobytes()
 
 
 def codec(ranks_path: str, pattern: str) -> Codec:
@@ -132,8 +134,8 @@ def bpe_encode(
         own = codec(ranks_path, pattern)
         for batch in batches:
             encoded = own.encode(texts(batch.column(1)))
-            ends = np.cumsum([0, *(len(b) // 4 for b in encoded)]).astype(np.int32)
-            values = np.frombuffer(b"".join(encoded), "<i4")
+            ends = np.cumsum([0, *map(len, encoded)]).astype(np.int32)
+            values = np.concatenate([np.zeros(0, np.uint32), *encoded]).view(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])
 
@@ -146,7 +148,7 @@ def bpe_decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks_path, pattern)
         for batch in batches:
-            data = [own.decode(np.array(x or [], "<u4").tobytes()) for x in batch.column(1).to_pylist()]
+            data = [own.decode(np.array(x or [], np.int64)) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], names=["doc_id", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(decode, "doc_id bigint, decoded binary")
@@ -169,9 +171,9 @@ def bpe_round_trip(
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([len(b) // 4 for b in encoded], pa.int64()),
-                    pa.array([hashlib.sha256(b).hexdigest() for b in encoded]),
-                    pa.array([hashlib.sha256(own.decode(b)).hexdigest() for b in encoded]),
+                    pa.array([len(ids) for ids in encoded], pa.int64()),
+                    pa.array([hashlib.sha256(ids.astype("<u4")).hexdigest() for ids in encoded]),
+                    pa.array([hashlib.sha256(own.decode(ids)).hexdigest() for ids in encoded]),
                 ],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )

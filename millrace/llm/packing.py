@@ -11,6 +11,7 @@ window fills sequences whose lengths are powers of two, so nothing is padded.
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections.abc import Iterator
 
@@ -38,6 +39,53 @@ def capacities(tokens: int, sequence: int) -> list[int]:
     return [sequence] * (tokens // sequence) + [1 << b for b in reversed(range(rest.bit_length())) if rest >> b & 1]
 
 
+class OpenSequences:
+    """Sequences with room, the cheapest one that fits first.
+
+    Those that turned out too short for a remainder wait by their room until a remainder as
+    short as that comes; remainders come longest first, so few wait twice.
+    """
+
+    def __init__(self, room: list[int], sequence: int):
+        self.room, self.used, self.cost = room, [0] * len(room), [0.0] * len(room)
+        self.fitting = [(0.0, k) for k in range(len(room))]
+        self.waiting: list[list[int]] = [[] for _ in range(sequence + 1)]
+        self.waits = [False] * len(room)
+        self.short: list[tuple[float, int]] = []  # all that wait, and outdated entries
+        self.level = sequence + 1  # whatever waits has less room than this
+
+    def take_cheapest(self, left: int) -> int:
+        """The cheapest sequence with room for ``left`` tokens, else the cheapest one."""
+        while self.level > left:
+            self.level -= 1
+            for k in self.waiting[self.level]:
+                if self.waits[k]:
+                    self.waits[k] = False
+                    heapq.heappush(self.fitting, (self.cost[k], k))
+            self.waiting[self.level].clear()
+        while self.fitting and self.room[self.fitting[0][1]] < left:
+            entry = heapq.heappop(self.fitting)
+            k = entry[1]
+            self.waits[k] = True
+            self.waiting[self.room[k]].append(k)
+            heapq.heappush(self.short, entry)
+            self.level = max(self.level, self.room[k] + 1)
+        if self.fitting:
+            return heapq.heappop(self.fitting)[1]
+        while True:
+            cost, k = heapq.heappop(self.short)
+            if self.waits[k] and cost == self.cost[k]:
+                self.waits[k] = False
+                return k
+
+    def fill(self, k: int, take: int, cost: float) -> None:
+        self.room[k] -= take
+        self.used[k] += take
+        self.cost[k] += cost
+        if self.room[k]:
+            heapq.heappush(self.fitting, (self.cost[k], k))
+
+
 def pack(
     lengths: list[int], sequence: int = SEQUENCE, linear: float = 1.0, quadratic: float = 1 / SEQUENCE
 ) -> list[tuple[int, int, int, int, int]]:
@@ -51,19 +99,14 @@ def pack(
             pieces.append((doc, k * sequence, sequence, n, 0))
             n += 1
     rests = [length % sequence for length in lengths]
-    room = np.array(capacities(sum(rests), sequence), np.int64)
-    used = np.zeros(len(room), np.int64)
-    cost = np.zeros(len(room))
+    open_ones = OpenSequences(capacities(sum(rests), sequence), sequence)
     for doc in sorted((d for d, r in enumerate(rests) if r), key=lambda d: (-rests[d], d)):
         start, left = lengths[doc] - rests[doc], rests[doc]
         while left:
-            fits = room >= left
-            k = int(np.argmin(np.where(fits if fits.any() else room > 0, cost, np.inf)))
-            take = min(left, int(room[k]))
-            pieces.append((doc, start, take, n + k, int(used[k])))
-            used[k] += take
-            room[k] -= take
-            cost[k] += linear * take + quadratic * take * take
+            k = open_ones.take_cheapest(left)
+            take = min(left, open_ones.room[k])
+            pieces.append((doc, start, take, n + k, open_ones.used[k]))
+            open_ones.fill(k, take, linear * take + quadratic * take * take)
             start, left = start + take, left - take
     return pieces
 
@@ -86,7 +129,7 @@ def pack_documents(
     sequence run gapless from 0. Repeated rows are packed as documents of their own; an
     empty table gives no rows. The same split of the input gives the same result.
     """
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = json_encoder(tokenizer)
@@ -95,10 +138,10 @@ def pack_documents(
 
         def packed() -> pa.RecordBatch:
             nonlocal first
-            lengths = [len(b) // 4 for b in held]
+            lengths = [len(ids_of) for ids_of in held]
             pieces = pack(lengths, sequence, linear, quadratic)
             doc, start, length, seq, offset = map(list, zip(*pieces))
-            crc = [zlib.crc32(memoryview(held[d])[4 * s : 4 * (s + n)]) for d, s, n in zip(doc, start, length)]
+            crc = [zlib.crc32(held[d][s : s + n]) for d, s, n in zip(doc, start, length)]
             seq = np.array(seq, np.int64) + first
             first = int(seq.max()) + 1
             columns = [[ids[d] for d in doc], start, length, crc, [lengths[d] for d in doc], seq, offset]
@@ -112,8 +155,8 @@ def pack_documents(
         for batch in batches:
             for doc_id, data in zip(batch.column(0).to_pylist(), encoder(texts(batch.column(1)))):
                 ids.append(doc_id)
-                held.append(data + end)
-                tokens += len(data) // 4 + 1
+                held.append(np.append(data, end))
+                tokens += len(data) + 1
                 if tokens >= window_tokens:
                     yield packed()
                     tokens = 0

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from millrace.llm.runtime import id_and_text, texts
-from millrace.llm.tokens import PLAIN, Memo, _loaded
+from millrace.llm.tokens import _loaded, json_encoder
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
 BATCH_BYTES = 1 << 20
@@ -43,47 +43,7 @@ def counter(path: str) -> Callable[[list[str]], list[int]]:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         _loaded[key] = lambda batch: [len(ids) for ids in model.encode(batch, num_threads=1)]
         return _loaded[key]
-    import json
-
-    from tokenizers import Tokenizer
-
-    library = Tokenizer.from_file(path)
-
-    def lengths(batch: list[str]) -> list[int]:
-        return [len(e.ids) for e in library.encode_batch_fast(batch, add_special_tokens=False)]
-
-    with open(path, encoding="utf-8") as stream:
-        layout = json.load(stream)
-    split = layout.get("pre_tokenizer") or {}
-    byte_level = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
-    if not byte_level or layout.get("normalizer"):
-        _loaded[key] = lengths  # other splitting rules: whole texts
-        return _loaded[key]
-
-    def ids(text: str) -> list[int]:
-        return library.encode_batch_fast([text], add_special_tokens=False)[0].ids
-
-    line_end = ids("\n")[0]
-
-    def piece_lengths(pieces: list[str]) -> list[int]:
-        out = [0] * len(pieces)
-        plain = [k for k, p in enumerate(pieces) if PLAIN.fullmatch(p)]
-        if plain:
-            held = 0
-            at = iter(plain)
-            for token in ids("\n".join([pieces[k] for k in plain])):
-                if token == line_end:
-                    out[next(at)] = held
-                    held = 0
-                else:
-                    held += 1
-            out[next(at)] = held
-        rest = sorted(set(range(len(pieces))) - set(plain))
-        for k, length in zip(rest, lengths([pieces[k] for k in rest])):
-            out[k] = length
-        return out
-
-    _loaded[key] = Memo(piece_lengths, sum)
+    _loaded[key] = json_encoder(path, lengths_only=True).counts
     return _loaded[key]
 
 

@@ -43,11 +43,11 @@ MANIFEST = "part bigint, path string, n_docs bigint, n_ids bigint, n_bytes bigin
 RESULT = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
-def encode_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> list[bytes]:
-    """One byte string per block; only the last block may be short."""
+def encode_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[bytes, np.ndarray]:
+    """The blocks end to end and the bytes of each; only the last block may be short."""
     n = len(ids)
     if not n:
-        return []
+        return b"", np.zeros(0, np.int64)
     rows = -(-n // BLOCK)
     grid = np.full(rows * BLOCK, ids[-1], np.uint32)
     grid[:n] = ids
@@ -55,26 +55,34 @@ def encode_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> list[bytes
     low = grid.min(axis=1)
     gap = grid - low[:, None]
     bits = np.frexp(gap.astype(np.float64))[1].astype(np.uint8)
-    width = np.sort(bits, axis=1)[:, min(BLOCK - 1, int(np.ceil(BLOCK * percentile / 100)) - 1)]
+    nth = min(BLOCK - 1, int(np.ceil(BLOCK * percentile / 100)) - 1)
+    width = np.partition(bits, nth, axis=1)[:, nth]
     heads = np.zeros(rows, HEAD)
     heads["low"], heads["n"], heads["width"] = low, BLOCK, width
     heads["n"][-1] = n - (rows - 1) * BLOCK
     wide = bits > width[:, None]
-    heads["patches"] = wide.sum(axis=1)
-    out: list[bytes] = [b""] * rows
-    for w in np.unique(width).tolist():
+    patches = wide.sum(axis=1)
+    heads["patches"] = patches
+    # where the parts of each block go: head, packed differences, places and values of exceptions
+    packed_at = HEAD.itemsize
+    spans = width.astype(np.int64) * (BLOCK // 8)
+    sizes = packed_at + spans + 5 * patches
+    starts = np.cumsum(sizes) - sizes
+    out = np.zeros(int(sizes.sum()), np.uint8)
+    out[starts[:, None] + np.arange(packed_at)] = heads.view(np.uint8).reshape(rows, -1)
+    for w in np.unique(width[width > 0]).tolist():
         at = np.flatnonzero(width == w)
-        raw = np.unpackbits(gap[at].astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
-        packed = np.packbits(raw[:, :w].reshape(len(at), -1), axis=1, bitorder="little")
-        for k, row in zip(at.tolist(), packed):
-            out[k] = row.tobytes()
-    blocks = []
-    for k in range(rows):
-        where = np.flatnonzero(wide[k]) if heads["patches"][k] else np.zeros(0, np.int64)
-        blocks.append(
-            heads[k].tobytes() + out[k] + where.astype(np.uint8).tobytes() + gap[k, where].astype("<u4").tobytes()
-        )
-    return blocks
+        low_bytes = gap[at].astype("<u4").view(np.uint8).reshape(-1, 4)[:, : (w + 7) // 8]
+        raw = np.unpackbits(low_bytes, axis=1, bitorder="little", count=w)
+        packed = np.packbits(raw.reshape(len(at), -1), axis=1, bitorder="little")
+        out[(starts[at] + packed_at)[:, None] + np.arange(spans[at[0]])] = packed
+    block, place = np.nonzero(wide)
+    nth_patch = np.arange(len(block)) - np.repeat(np.cumsum(patches) - patches, patches)
+    places_at = starts[block] + packed_at + spans[block]
+    out[places_at + nth_patch] = place
+    values = gap[block, place].astype("<u4").view(np.uint8).reshape(-1, 4)
+    out[(places_at + patches[block] + 4 * nth_patch)[:, None] + np.arange(4)] = values
+    return out.tobytes(), sizes
 
 
 def decode_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
@@ -92,10 +100,14 @@ def decode_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
             bits = np.zeros((len(at) * BLOCK, 32), np.uint8)
             bits[:, :w] = np.unpackbits(packed, axis=1, bitorder="little").reshape(-1, w)
             grid[at] = np.packbits(bits, axis=1, bitorder="little").view("<u4").reshape(len(at), BLOCK)
-    for k in np.flatnonzero(heads["patches"]).tolist():
-        n = int(heads["patches"][k])
-        at = int(starts[k]) + HEAD.itemsize + BLOCK * int(heads["width"][k]) // 8
-        grid[k, raw[at : at + n]] = np.frombuffer(data, "<u4", n, at + n)
+    patches = heads["patches"].astype(np.int64)
+    if patches.any():
+        block = np.repeat(np.arange(len(starts)), patches)
+        nth = np.arange(len(block)) - np.repeat(np.cumsum(patches) - patches, patches)
+        places_at = (starts + HEAD.itemsize + BLOCK // 8 * heads["width"].astype(np.int64))[block]
+        values_at = places_at + patches[block] + 4 * nth
+        values = raw[values_at[:, None] + np.arange(4)].copy().view("<u4").reshape(-1)
+        grid[block, raw[places_at + nth]] = values
     grid += heads["low"][:, None]
     return grid.reshape(-1)[: (len(starts) - 1) * BLOCK + int(heads["n"][-1])]
 
@@ -106,36 +118,36 @@ class TokenFileWriter:
     def __init__(self, uri: str, percentile: float = PERCENTILE):
         self.file, self.percentile = PendingFile(uri), percentile
         self.docs: list[tuple[int, int, int]] = []
-        self.starts: list[int] = []
-        self.waiting: list[bytes] = []
+        self.starts: list[np.ndarray] = []
+        self.waiting: list[np.ndarray] = []
         self.n_waiting = self.n_ids = 0
 
-    def add(self, doc_id: int | None, ids: bytes) -> None:
-        """``ids`` as little-endian unsigned 32-bit integers."""
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         self.docs.append((doc_id or 0, doc_id is not None, self.n_ids))
         self.waiting.append(ids)
-        self.n_ids += len(ids) // 4
-        self.n_waiting += len(ids) // 4
+        self.n_ids += len(ids)
+        self.n_waiting += len(ids)
         if self.n_waiting >= CHUNK:
             self._flush(last=False)
 
     def _flush(self, last: bool) -> None:
-        ids = np.frombuffer(b"".join(self.waiting), "<u4")
+        ids = np.concatenate([np.zeros(0, np.uint32), *self.waiting])
         whole = len(ids) if last else len(ids) // BLOCK * BLOCK
         for at in range(0, whole, CHUNK):
-            for block in encode_blocks(ids[at : min(at + CHUNK, whole)], self.percentile):
-                self.starts.append(self.file.size)
-                self.file.write(block)
-        self.waiting = [ids[whole:].tobytes()]
+            data, sizes = encode_blocks(ids[at : min(at + CHUNK, whole)], self.percentile)
+            self.starts.append(self.file.size + np.cumsum(sizes) - sizes)
+            self.file.write(data)
+        self.waiting = [ids[whole:]]
         self.n_waiting = len(ids) - whole
 
     def close(self) -> None:
         self._flush(last=True)
         blocks_at = self.file.size
-        self.file.write(np.array(self.starts, "<u8").tobytes())
+        starts = np.concatenate([np.zeros(0, "<u8"), *self.starts]).astype("<u8")
+        self.file.write(starts.tobytes())
         docs_at = self.file.size
         self.file.write(np.array(self.docs, DOC).tobytes())
-        self.file.write(TRAILER.pack(blocks_at, len(self.starts), docs_at, len(self.docs), self.n_ids, MAGIC))
+        self.file.write(TRAILER.pack(blocks_at, len(starts), docs_at, len(self.docs), self.n_ids, MAGIC))
         self.file.commit()
 
 
@@ -190,7 +202,7 @@ def write_token_files(
     (nulls first), rows with equal ids in the order of a hash of their text. A null text
     has the end id only. An empty table writes no file.
     """
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], np.uint32)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -199,7 +211,7 @@ def write_token_files(
         for batch in batches:
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(texts(batch.column(1)))):
                 writer = writer or TokenFileWriter(path, percentile)
-                writer.add(doc_id, ids + end)
+                writer.add(doc_id, np.append(ids, end))
         if writer:
             writer.close()
             row = [part, path, len(writer.docs), writer.n_ids, writer.file.size]

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 from millrace.llm import bpe_codec, packing, token_counts, token_files
 from millrace.llm.runtime import documents, ready
-from millrace.llm.tokens import json_encoder, tokenizer_path
+from millrace.llm.tokens import PIECE_BYTES, PieceIds, json_encoder, tokenizer_path
 from millrace.session import scratch_path
 
 JSON = tokenizer_path("byte_bpe_50k.json")
@@ -50,16 +50,73 @@ def small(spark, odd_texts):
 
 
 def test_memo_equals_library(library, odd_texts):
-    for text, data in zip(odd_texts, json_encoder(JSON)(odd_texts)):
-        assert ids(data) == library.encode(text, add_special_tokens=False).ids
-
-
-def test_memo_forgets(library):
-    from millrace.llm.tokens import Memo
-
-    memo = Memo(lambda pieces: [len(p) for p in pieces], sum, remembered=3)
-    for text in ("a b c d e", "f g", "a b c d e"):
-        assert memo([text]) == [len(text)]
+    encoder = json_encoder(JSON)
+    assert encoder.counts(odd_texts) == [len(e) for e in encoder(odd_texts)]
+    for text, data in zip(odd_texts, encoder(odd_texts)):
+        assert data.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def lengths_as_ids(pieces):
+    """One id per piece, its length."""
+    return np.array([len(p) for p in pieces], np.uint32), np.arange(len(pieces)), np.ones(len(pieces), np.int64)
+
+
+def test_memo_forgets_and_takes_over():
+    asked = []
+
+    def encode(pieces):
+        asked.extend(pieces)
+        return lengths_as_ids(pieces)
+
+    memo = PieceIds(encode, limit=2 * 3 * PIECE_BYTES, longest=5)
+    for pieces in (["a", "bb", "ccc", "dddd"], ["bb", "e"], ["a", "fff", "toolong", "g", "toolong"], ["x", "toolong"]):
+        got, length = memo(pieces)
+        assert got.tolist() == [len(p) for p in pieces] and length.tolist() == [1] * len(pieces)
+    assert asked.count("a") == asked.count("bb") == 1  # taken over from the older generation
+    assert asked.count("toolong") == 2  # once a call
+    assert "ccc" not in memo.young
+
+
+def test_memory_of_long_pieces_is_bounded():
+    import tracemalloc
+
+    memo = PieceIds(lambda ps: (np.zeros(500 * len(ps), np.uint32), 500 * np.arange(len(ps)), np.full(len(ps), 500)), limit=4 << 20)
+    rng = random.Random(1)
+    words = lambda n: ["".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(n)) for _ in range(400)]
+    memo(words(500))
+    tracemalloc.start()
+    for _ in range(20):
+        memo(words(500))  # longer than what is remembered
+        memo(words(40))
+    assert tracemalloc.get_traced_memory()[0] < 16 << 20
+    tracemalloc.stop()
+
+
+def test_packing_heap_equals_search_of_all():
+    rng = random.Random(3)
+    for _ in range(60):
+        sequence = rng.choice([8, 64, 2048])
+        lengths = [rng.randint(0, rng.choice([3, sequence, 3 * sequence])) for _ in range(rng.randint(0, 120))]
+        linear, quadratic = rng.choice([(1.0, 1 / sequence), (0.0, 1.0), (1.0, 0.0)])
+        want, n = [], 0
+        for doc, length in enumerate(lengths):
+            for k in range(length // sequence):
+                want.append((doc, k * sequence, sequence, n, 0))
+                n += 1
+        rests = [x % sequence for x in lengths]
+        room = packing.capacities(sum(rests), sequence)
+        used, cost = [0] * len(room), [0.0] * len(room)
+        for doc in sorted((d for d, r in enumerate(rests) if r), key=lambda d: (-rests[d], d)):
+            start, left = lengths[doc] - rests[doc], rests[doc]
+            while left:
+                fits = [k for k, r in enumerate(room) if r >= left] or [k for k, r in enumerate(room) if r]
+                k = min(fits, key=lambda k: (cost[k], k))
+                take = min(left, room[k])
+                want.append((doc, start, take, n + k, used[k]))
+                room[k], used[k] = room[k] - take, used[k] + take
+                cost[k] += linear * take + quadratic * take * take
+                start, left = start + take, left - take
+        assert packing.pack(lengths, sequence, linear, quadratic) == want
 
 
 def test_codec(spark, small, odd_texts):
@@ -185,9 +242,9 @@ def test_blocks(percentile):
         for top in (1, 2, 50_257, 1 << 32):
             ids_ = rng.integers(0, top, n, dtype=np.uint64).astype(np.uint32)
             ids_[::17] = 0
-            blocks = token_files.encode_blocks(ids_, percentile)
-            starts = np.cumsum([0, *map(len, blocks)])[:-1].astype(np.int64)
-            assert (token_files.decode_blocks(b"".join(blocks), starts) == ids_).all()
+            data, sizes = token_files.encode_blocks(ids_, percentile)
+            assert len(data) == sizes.sum()
+            assert (token_files.decode_blocks(data, np.cumsum(sizes) - sizes) == ids_).all()
 
 
 def test_token_files(spark, small, library, tmp_path):
@@ -210,7 +267,7 @@ def test_long_documents_span_chunks(tmp_path):
     docs = [rng.integers(0, 50_257, n).astype("<u4") for n in (3, 400_000, 1, 0, 131_072, 70_000)]
     writer = token_files.TokenFileWriter(f"{tmp_path}/x.pfor")
     for k, d in enumerate(docs):
-        writer.add(k if k != 2 else None, d.tobytes())
+        writer.add(k if k != 2 else None, d)
     writer.close()
     for (doc_id, _, n, pieces), (k, d) in zip(token_files.read_documents(f"{tmp_path}/x.pfor"), enumerate(docs)):
         data = list(pieces)
