@@ -4,16 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from millrace.operators.ranges import cut_points, range_number
 from millrace.session import staged
 
-# Chunks of a series at most, and the rows that a chunk should have at least.
-MAX_CHUNKS = 256
+# Rows that a chunk of a series should have.
 CHUNK_ROWS = 100_000
-SKETCH_ACCURACY = 5000
-# Characters of a text order that become a number, 16 bits each.
-TEXT_PLACES = 3
 
 
 def consecutive_ratio(
@@ -26,73 +22,22 @@ def consecutive_ratio(
     chunk's first row, out of a table with one row per chunk.
 
     ``chunk`` gives the cut as an expression that never decreases along ``order``
-    (a day, a month). Without it, a series is cut at quantiles of its order, at more of
-    them the longer it is. Numbers, dates and times are taken as they are, a text by the
-    characters behind what all texts of the series have in common.
+    (a day, a month). Without it, a series is cut at sampled values of its order, whatever
+    type that has, one for every ``CHUNK_ROWS`` rows. A missing order comes first.
     """
     if chunk is None:
-        df, columns = _cut(df, key, order), df.columns
+        df, columns = cut_series(df, key, order), df.columns
     else:
         df, columns = df.withColumn("_chunk", chunk), df.columns
     return _by_chunk(df, columns, key, order, value)
 
 
-def _cut(df: DataFrame, key: str, order: str) -> DataFrame:
-    """``df`` with ``_chunk``, about equal rows each."""
-    if isinstance(df.schema[order].dataType, T.StringType):
-        spans = df.groupBy(F.col(key).alias("_span_key")).agg(
-            F.min(order).alias("_from"), F.max(order).alias("_to")
-        )
-        spans = staged(spans.select("_span_key", _common("_from", "_to").alias("_common")), "spans")
-        position = _text_position(F.col(order), F.col("_common"))
-        with_spans = df.join(spans, F.col(key).eqNullSafe(F.col("_span_key")))
-    else:
-        position, with_spans = _position(df, order), df
-    shares = [k / MAX_CHUNKS for k in range(1, MAX_CHUNKS)]
-    cuts = with_spans.groupBy(F.col(key).alias("_cut_key")).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.percentile_approx(position, shares, SKETCH_ACCURACY).alias("_cuts"),
-    )
-    # every cut for a long series, fewer for a shorter one
-    wanted = F.greatest(F.lit(1), F.least(F.lit(MAX_CHUNKS), F.ceil(F.col("_rows") / CHUNK_ROWS)))
-    every = F.greatest(F.lit(1), F.floor(F.lit(MAX_CHUNKS) / wanted))
-    fewer = F.filter("_cuts", lambda c, i: (i + 1) % every == 0)
-    cuts = staged(cuts.select("_cut_key", fewer.alias("_cuts")), "cuts")
-    placed = with_spans.join(cuts, F.col(key).eqNullSafe(F.col("_cut_key")))
-    number = F.size(F.filter("_cuts", lambda c: c <= position))
-    return placed.select(*[f"`{c}`" for c in df.columns], number.alias("_chunk"))
-
-
-def _common(low: str, high: str) -> Column:
-    """How many characters two texts have in common from the start."""
-    places = F.sequence(F.lit(1), F.greatest(F.length(low), F.lit(1)))
-    same = lambda i: F.substring(low, i, F.lit(1)) == F.substring(high, i, F.lit(1))
-    return F.coalesce(
-        F.aggregate(places, F.lit(0), lambda n, i: F.when((n == i - 1) & same(i), i).otherwise(n)), F.lit(0)
-    )
-
-
-def _text_position(text: Column, common: Column) -> Column:
-    """A number that never falls along texts that share their first ``common`` characters."""
-    total = F.lit(0.0)
-    for k in range(TEXT_PLACES):
-        # beyond 16 bits a character counts as the last of them
-        code = F.least(F.ascii(F.substring(text, common + k + 1, F.lit(1))), F.lit(65535))
-        total = total * 65536 + code
-    return F.when(text.isNotNull(), total)
-
-
-def _position(df: DataFrame, order: str) -> Column:
-    """The order column as a number that grows with it."""
-    kind, column = df.schema[order].dataType, F.col(order)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(column).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        seconds = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
-        return F.unix_date(column.cast("date")).cast("double") * 86400 + seconds
-    return column.cast("double")
+def cut_series(df: DataFrame, key: str, order: str, rows: int = CHUNK_ROWS) -> DataFrame:
+    """``df`` with ``_chunk``, the piece of its series that a row belongs to, about ``rows`` rows each."""
+    cuts = cut_points(df, [key], order, rows).withColumnRenamed(key, "_cut_key")
+    placed = df.join(cuts, F.col(f"`{key}`").eqNullSafe(F.col("_cut_key")), "left")
+    number = range_number(F.col("_cuts"), F.col(f"`{order}`"))
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], number.alias("_chunk"))
 
 
 def _by_chunk(

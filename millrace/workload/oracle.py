@@ -430,6 +430,11 @@ def oracle_sql() -> dict[str, str]:
                    round(lead(p_retailprice) OVER (PARTITION BY p_size ORDER BY p_partkey)
                          / nullif(p_retailprice, 0), 8) AS ratio
             FROM part""",
+        "consecutive_ratio_by_time_text": """
+            SELECT event_type, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '#' || printf('%012d', event_id) AS at, value,
+                   round(lead(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) / nullif(value, 0), 8)
+                     AS ratio
+            FROM events""",
         "bubble_table": """
             SELECT c_name AS label, c_acctbal AS x, c_nationkey AS y,
                    CASE WHEN c_acctbal > 0 THEN 'credit' WHEN c_acctbal <= 0 THEN 'debt' END

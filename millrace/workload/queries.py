@@ -668,7 +668,7 @@ def consecutive_ratio(spark, sf_dir):
 
 @_query
 def consecutive_ratio_unchunked(spark, sf_dir):
-    """Value over value per event type, cut by the quantiles of the event number."""
+    """Value over value per event type along the event numbers."""
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     return _rounded(series.consecutive_ratio(events, "event_type", "event_id", "value"), {"ratio": 8})
 
@@ -682,6 +682,15 @@ def consecutive_ratio_by_text(spark, sf_dir):
     return _rounded(series.consecutive_ratio(parts, "p_size", "name", "p_retailprice"), {"ratio": 8})
 
 
+@_query
+def consecutive_ratio_by_time_text(spark, sf_dir):
+    """Value over value per event type along ISO time texts."""
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    at = F.concat_ws("#", iso, F.format_string("%012d", "event_id")).alias("at")
+    events = table(spark, sf_dir, "events").select("event_type", at, "value")
+    return _rounded(series.consecutive_ratio(events, "event_type", "at", "value"), {"ratio": 8})
+
+
 @_query
 def bubble_table(spark, sf_dir):
     """Customers by balance and nation, sized by their number of orders."""

@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions.values import two_sided_t_95
-from millrace.operators import distribution, quantiles, regression, series
+from millrace.operators import distribution, quantiles, ranges, regression, series
 
 PROBS = [0.25, 0.5, 0.75]
 
@@ -243,13 +243,55 @@ def test_long_series_are_cut_by_themselves(spark, monkeypatch, kind):
         assert rows(series.consecutive_ratio(df, "k", "t", "v")) == plain
 
 
-def test_texts_are_cut_behind_what_they_share(spark, monkeypatch):
+def test_texts_of_any_kind_are_cut(spark, monkeypatch):
     monkeypatch.setattr(series, "CHUNK_ROWS", 1)
     names = ["", "a", "ab", "abc", "abcd é", "abcd 中", "abcd 𝒳", "abcd 𝒳x", None, "zz"]
     data = [("k", n, float(i + 1)) for i, n in enumerate(names)] + [("same", f"prefix {i:05d}", 1.0) for i in range(200)]
     df = spark.createDataFrame(data, "k string, t string, v double")
-    cut = series._cut(df, "k", "t").groupBy("k").agg(F.countDistinct("_chunk").alias("n")).collect()
-    assert {r.k: r.n > 5 for r in cut} == {"k": True, "same": True}
+    cut = series.cut_series(df, "k", "t", 2).groupBy("k").agg(F.countDistinct("_chunk").alias("n")).collect()
+    assert {r.k: r.n > 4 for r in cut} == {"k": True, "same": True}
     following = F.lead("v").over(Window.partitionBy("k").orderBy("t"))
     plain = rows(df.withColumn("ratio", F.try_divide(following, F.col("v"))))
     assert rows(series.consecutive_ratio(df, "k", "t", "v")) == plain
+
+
+def test_two_million_rows_by_time_texts(spark):
+    """One series holds nearly all rows; its texts differ only far behind what they share."""
+    n = 2_000_000
+    text = "date_format(timestamp_seconds(1700000000 + id * 3), \"yyyy-MM-dd'T'HH:mm:ss\")"
+    df = spark.range(n).selectExpr("IF(id % 50 = 0, 'small', 'hot') AS k", f"{text} AS t", "double(id % 7 + 1) AS v")
+    sizes = series.cut_series(df, "k", "t").groupBy("k", "_chunk").count().collect()
+    hot = [r["count"] for r in sizes if r.k == "hot"]
+    assert sum(r["count"] for r in sizes) == n
+    assert max(hot) <= 2 * series.CHUNK_ROWS and 15 <= len(hot) <= 26
+    got = series.consecutive_ratio(df, "k", "t", "v")
+    following = F.lead("v").over(Window.partitionBy("k").orderBy("t"))
+    want = df.withColumn("ratio", F.try_divide(following, F.col("v")))
+    digest = F.sum(F.xxhash64("k", "t", "v", "ratio").cast("decimal(38,0)"))
+    assert got.agg(digest).first() == want.agg(digest).first()
+
+
+@pytest.mark.parametrize("kind", ["binary", "decimal(20,3)", "struct<a:int,b:string>", "boolean"])
+def test_cut_points_of_other_types(spark, kind):
+    made = {
+        "binary": "cast(format_string('%05d', id) AS binary)",
+        "decimal(20,3)": "cast(id / 8 AS decimal(20,3))",
+        "struct<a:int,b:string>": "named_struct('a', int(id % 10), 'b', string(id))",
+        "boolean": "id % 2 = 0",
+    }[kind]
+    df = spark.range(4000).selectExpr("id % 2 AS k", f"{made} AS o")
+    cuts = {r.k: r._cuts for r in ranges.cut_points(df, ["k"], "o", 200).collect()}
+    placed = df.join(ranges.cut_points(df, ["k"], "o", 200), "k")
+    placed = placed.withColumn("n", ranges.range_number(F.col("_cuts"), F.col("o")))
+    plain = placed.withColumn("want", F.size(F.filter("_cuts", lambda c: c <= F.col("o"))))
+    assert plain.where("n <> want").count() == 0
+    if kind != "boolean":
+        assert all(8 <= len(c) <= 13 and c == sorted(c) for c in cuts.values())
+        assert max(r["count"] for r in placed.groupBy("k", "n").count().collect()) <= 400
+
+
+def test_range_number(spark):
+    df = spark.sql("SELECT v, cuts FROM VALUES (array(1, 3, 3, 7)), (array()), (CAST(NULL AS array<int>)) AS c(cuts), "
+                   "(VALUES (0), (1), (3), (6), (7), (9), (CAST(NULL AS int))) AS x(v)")
+    for r in df.select("v", "cuts", ranges.range_number(F.col("cuts"), F.col("v")).alias("n")).collect():
+        assert r.n == (0 if r.v is None else sum(c <= r.v for c in r.cuts or []))
