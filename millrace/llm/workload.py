@@ -11,9 +11,11 @@ from millrace.llm import (
     fingerprint,
     jaccard,
     language,
+    merge_rounds,
     packing,
     quality,
     secret_scan,
+    target_resampling,
     token_counts,
     token_files,
     warc,
@@ -105,7 +107,58 @@ def op10_secrets(spark, sf_dir):
     return secret_scan.secret_report(docs, secret_scan.fit_models(docs))
 
 
+@_query
+def op12_resampling(spark, sf_dir):
+    """All documents scored by their likeness to the benchmark, the best tenth ranked."""
+    return target_resampling.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@_query
+def op13_sentencepiece(spark, sf_dir):
+    """Sentencepiece ids and decoded text of every document, as digests."""
+    return merge_rounds.piece_round_trip(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
+
+
 ORACLE_SQL = {
+    "op12_resampling": r"""
+        WITH crc_table AS (
+            SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, step:
+                   CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+        ), words AS (
+            SELECT 'd' AS side, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+            UNION ALL
+            SELECT 'b', item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+        ), counts AS (
+            SELECT side, id, word, count(*) AS n FROM (SELECT side, id, unnest(w) AS word FROM words) GROUP BY ALL
+        ), buckets AS (
+            SELECT word, xor(list_reduce(
+                   [4294967295] || list_transform(range(strlen(word)), lambda i: ('0x' || substr(hex(word), 2 * i + 1, 2))::BIGINT),
+                   lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) % 10000 AS bucket
+            FROM (SELECT DISTINCT word FROM counts), crc_table
+        ), histogram AS (
+            SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0) AS s, coalesce(sum(n) FILTER (side = 'b'), 0) AS t
+            FROM counts JOIN buckets USING (word) GROUP BY bucket
+        ), gains AS (
+            SELECT bucket, floor(1000 * ln(((t + 1) * (total_s + 10000))::DOUBLE / ((s + 1) * (total_t + 10000))::DOUBLE))::BIGINT AS gain
+            FROM histogram, (SELECT sum(s) AS total_s, sum(t) AS total_t FROM histogram)
+        ), weights AS (
+            SELECT id, sum(n * gain) AS weight FROM counts JOIN buckets USING (word) JOIN gains USING (bucket)
+            WHERE side = 'd' GROUP BY id
+        ), scores AS (
+            SELECT id AS doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                   (coalesce(weight, 0) + floor(-1000 * ln(-ln(
+                   (('0x' || substr(sha256('2024:' || id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+            FROM words LEFT JOIN weights USING (id) WHERE side = 'd'
+        ), places AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+            FROM scores WHERE n_features >= 20
+        )
+        SELECT doc_id, n_features, weight, score,
+               CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+        FROM scores LEFT JOIN places USING (doc_id)
+    """,
     "op4_jaccard": r"""
         WITH RECURSIVE words AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
