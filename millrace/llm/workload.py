@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import (
     bpe_codec,
+    conversations,
     fingerprint,
     jaccard,
     language,
@@ -107,6 +108,12 @@ def op10_secrets(spark, sf_dir):
     return secret_scan.secret_report(docs, secret_scan.fit_models(docs))
 
 
+@_query
+def op11_conversations(spark, sf_dir):
+    """Every conversation, damaged by a fixed rule and repaired."""
+    return conversations.damaged_and_repaired(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 @_query
 def op12_resampling(spark, sf_dir):
     """All documents scored by their likeness to the benchmark, the best tenth ranked."""
