@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.values import locale_number
-from millrace.session import scratch_path
+from millrace.session import scratch_path, staged
 
 # Rare in text: lets the CSV reader hand over raw lines. A line that does hold it comes whole
 # as a corrupt record.
@@ -78,8 +79,15 @@ def read_wordlist(spark: SparkSession, path: str, name: str = "term") -> DataFra
 def read_csv_quoted(
     spark: SparkSession, path: str | list[str], schema: str | T.StructType, header: bool = True
 ) -> DataFrame:
-    """Quoted CSV with a header line, read with a declared schema."""
-    return spark.read.schema(_schema(schema)).csv(path, header=header, quote='"', escape='"')
+    """Quoted CSV with declared columns.
+
+    With ``header`` the columns are found by their names in each file's own header, so files may
+    order them differently and have others besides. A file without a declared column gives NULL for
+    it; a column that no file has is an error. Without ``header`` columns go by position.
+    """
+    if not header:
+        return spark.read.schema(_schema(schema)).csv(path, header=False, quote='"', escape='"')
+    return _by_header(spark, path, [(f.name, f.name, f.dataType) for f in _schema(schema).fields], raw_names)
 
 
 def sanitized_names(header: list[str]) -> list[str]:
@@ -101,20 +109,84 @@ def sanitized_names(header: list[str]) -> list[str]:
     return names
 
 
-def read_csv_header(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    """Comma CSV whose columns are found by their sanitized header names.
+def read_csv_header(spark: SparkSession, path: str | list[str], columns: dict[str, str]) -> DataFrame:
+    """Comma CSV whose columns are found by their sanitized header names, in each file's own header.
 
-    ``columns`` maps such a name to ``"new_name type"``; others are not read. Only
-    the header line is looked at ahead of time, types are declared and not inferred.
+    ``columns`` maps such a name to ``"new_name type"``; others are not read. Types are declared and not
+    inferred, a value that does not fit is NULL. A file without a wanted column gives NULL for it;
+    a column that no file has is an error.
     """
-    raw = spark.read.csv(path, header=True, quote='"', escape='"')
-    position = {name: i for i, name in enumerate(sanitized_names(raw.columns))}
-    out: list[Column] = []
+    wanted = []
     for source, target in columns.items():
         name, kind = target.split(None, 1)
-        found = raw.columns[position[source]]
-        out.append(F.col(f"`{found}`").try_cast(kind).alias(name))
-    return raw.select(*out)
+        wanted.append((source, name, kind))
+    return _by_header(spark, path, wanted, identifier_names)
+
+
+def raw_names(names: Column) -> Column:
+    """Header names as they stand."""
+    return names
+
+
+def identifier_names(names: Column) -> Column:
+    """:func:`sanitized_names` as an expression over an array of names."""
+    plain = F.transform(names, lambda n: F.regexp_replace(n, r"(?U)[^\w.]", "."))
+    led = F.transform(
+        plain, lambda n: F.when(F.rlike(n, F.lit(r"(?U)\A([^\W\d_]|\.(?!\d))")), n).otherwise(F.concat(F.lit("X"), n))
+    )
+
+    def numbered(name: Column, at: Column) -> Column:
+        before = F.size(F.filter(F.slice(led, F.lit(1), at), lambda other: other == name))
+        return F.when(before > 0, F.concat_ws(".", name, before.cast("string"))).otherwise(name)
+
+    return F.transform(led, numbered)
+
+
+def _header_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(_file, line)``: the first line of each file that is not blank, which lies in its first part."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")
+    )
+    first = lines.where((F.col("_start") == 0) & ~F.rlike("value", F.lit(_BLANK)))
+    return first.groupBy("_file").agg(F.regexp_replace(F.first("value"), "\\A\ufeff", "").alias("line"))
+
+
+def _by_header(
+    spark: SparkSession,
+    path: str | list[str],
+    wanted: list[tuple[str, str, T.DataType | str]],
+    names: Callable[[Column], Column],
+) -> DataFrame:
+    """Columns ``(header name, new name, type)``, each at its place in the header of the row's file.
+
+    The headers become a small table of files and places. A column that has the same place in all
+    files is taken from there; where places differ, rows meet that table by their file.
+    """
+    headers = staged(_header_lines(spark, path), "headers")
+    width = headers.agg(F.max(F.size(F.split("line", ",")))).first()[0] or 1
+    fields = ", ".join(f"c{i} string" for i in range(width))
+    row = F.from_csv("line", fields, {"quote": '"', "escape": '"'})
+    parsed = headers.select("_file", row.alias("row"))
+    parsed = parsed.select("_file", names(F.array(*[F.col(f"row.c{i}") for i in range(width)])).alias("names"))
+    place = [F.coalesce(F.array_position("names", F.lit(source)), F.lit(0)) - 1 for source, _, _ in wanted]
+    places = staged(parsed.select("_file", *[p.alias(f"p{i}") for i, p in enumerate(place)]), "places")
+    # as many different places as there are columns at most
+    found = places.agg(*[F.collect_set(f"p{i}").alias(f"p{i}") for i in range(len(wanted))]).first()
+    for i, (source, _, _) in enumerate(wanted):
+        if found[f"p{i}"] == [-1]:
+            raise ValueError(f"no file has a column {source!r}")
+    rows = spark.read.schema(fields).csv(path, header=True, quote='"', escape='"')
+    if any(len(found[f"p{i}"]) > 1 for i in range(len(wanted))):
+        rows = rows.select("*", F.col("_metadata.file_path").alias("_file")).join(places, "_file")
+    out = []
+    for i, (_, name, kind) in enumerate(wanted):
+        known = sorted(p for p in found[f"p{i}"] if p >= 0)
+        value = F.lit(None).cast("string")
+        for p in known:
+            value = F.col(f"c{p}") if len(found[f"p{i}"]) == 1 else F.when(F.col(f"p{i}") == p, F.col(f"c{p}")).otherwise(value)
+        text = kind == "string" or isinstance(kind, T.StringType)
+        out.append((value if text else value.try_cast(kind)).alias(name))
+    return rows.select(*out)
 
 
 def read_delimited_text(

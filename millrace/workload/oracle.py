@@ -184,6 +184,10 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN doc_id % 5 <> 0 THEN doc_id END AS doc_id
             FROM documents""",
         "scan_csv_quoted": "SELECT * FROM customer",
+        "csv_mixed_headers": """
+            SELECT c_custkey AS id, c_name AS name, CASE WHEN c_custkey % 3 < 2 THEN c_acctbal END AS balance,
+                   CASE WHEN c_custkey % 3 < 2 THEN c_nationkey END::INTEGER AS nation
+            FROM customer""",
         "scan_delimited_text": """
             SELECT o_orderkey, o_custkey, o_orderstatus,
                    CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice,

@@ -115,6 +115,23 @@ def scan_csv_quoted(spark, sf_dir):
     return readers.read_csv_quoted(spark, path, SCHEMAS["customer"])
 
 
+@_query
+def csv_mixed_headers(spark, sf_dir):
+    """Customers in files whose headers order the columns differently and leave one out."""
+    people = table(spark, sf_dir, "customer").withColumnRenamed("c_acctbal", "Account Balance")
+    path = scratch_path(spark, "csv-mixed")
+    orders = [
+        ["c_custkey", "c_name", "Account Balance", "c_nationkey"],
+        ["Account Balance", "c_nationkey", "c_custkey", "c_name"],
+        ["c_name", "c_custkey"],
+    ]
+    for rest, names in enumerate(orders):
+        part = people.where(F.col("c_custkey") % len(orders) == rest).select(*names)
+        part.write.mode("append").csv(path, header=True, escape='"')
+    columns = {"c_custkey": "id bigint", "c_name": "name string", "Account.Balance": "balance double"}
+    return readers.read_csv_header(spark, path, columns | {"c_nationkey": "nation int"})
+
+
 @_query
 def scan_delimited_text(spark, sf_dir):
     """Rows with quotes and control characters as data, bad numbers, missing and surplus fields.

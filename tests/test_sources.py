@@ -67,6 +67,58 @@ def test_csv_by_header_name(spark, tmp_path):
     assert rows(got) == [("AAA", 2), ("BBB", None)]
 
 
+def test_every_file_has_its_own_header(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    write(folder / "a.csv", "Name,2020", "x,1")
+    write(folder / "b.csv", "2020,Name", "2,y", '"3","z, w"')
+    write(folder / "c.csv", "", "\ufeffother,Name", "7,only a name")
+    write(folder / "d.csv", "2020")
+    write(folder / "e.csv", "Name,2020,Name,extra", "first,4,second,e", "short")
+    got = readers.read_csv_header(spark, str(folder), {"Name": "name string", "X2020": "n bigint"})
+    assert rows(got) == sorted(
+        [("x", 1), ("y", 2), ("z, w", 3), ("only a name", None), ("first", 4), ("short", None)],
+        key=lambda t: tuple((v is None, str(v)) for v in t),
+    )
+    second = readers.read_csv_header(spark, str(folder), {"Name.1": "again string"})
+    assert [r.again for r in second.where("again IS NOT NULL").collect()] == ["second"]
+    with pytest.raises(ValueError, match="no file has a column 'absent'"):
+        readers.read_csv_header(spark, str(folder), {"absent": "a string"})
+
+
+def test_quoted_csv_goes_by_names(spark, tmp_path):
+    folder = tmp_path / "named"
+    folder.mkdir()
+    write(folder / "a.csv", "b,a", "2,1")
+    write(folder / "b.csv", "a,c,b", "3,9,4", "x,9,5")
+    got = readers.read_csv_quoted(spark, str(folder), "a bigint, b bigint")
+    assert got.columns == ["a", "b"] and rows(got) == [(1, 2), (3, 4), (None, 5)]
+    one = readers.read_csv_quoted(spark, str(folder / "a.csv"), "a bigint, b bigint")
+    assert rows(one) == [(1, 2)] and "Join" not in one._jdf.queryExecution().toString()
+    with pytest.raises(ValueError, match="no file has"):
+        readers.read_csv_quoted(spark, str(folder), "A bigint")
+
+
+def test_a_large_file_keeps_its_header_in_all_parts(spark, tmp_path):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        write(tmp_path / "l1.csv", "k,v", *[f"{i},{i * 2}" for i in range(20_000)])
+        write(tmp_path / "l2.csv", "v,k", *[f"{i * 2},{i}" for i in range(20_000, 40_000)])
+        both = [str(tmp_path / "l1.csv"), str(tmp_path / "l2.csv")]
+        got = readers.read_csv_header(spark, both, {"k": "k bigint", "v": "v bigint"})
+        assert got.rdd.getNumPartitions() > 5
+        assert got.where("v = 2 * k").selectExpr("count(*)", "sum(k)").first()[:] == (40_000, sum(range(40_000)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_names_agree_with_the_expression(spark):
+    header = ["Country Code", "2020", "ok", "ok", "_x", ".5", "a-b", "été", "ok", "X2020", "2020", ".a", "a.b"]
+    df = spark.createDataFrame([(header,)], "names array<string>")
+    assert df.select(readers.identifier_names(df.names)).first()[0] == readers.sanitized_names(header)
+
+
 def test_header_names_become_identifiers():
     header = ["Country Code", "2020", "ok", "ok", "_x", ".5", "a-b"]
     assert readers.sanitized_names(header) == [
