@@ -36,11 +36,18 @@ def min_count_check(df: DataFrame, column: str, steps: list[tuple[float, int]])
     return df.agg(*reached).select(F.inline(F.array(*report)))
 
 
-def require_min_counts(df: DataFrame, column: str, steps: list[tuple[float, int]]) -> None:
-    """Stop with a message at the first step that has too few observations."""
-    failed = min_count_check(df, column, steps).where(~F.col("passed")).orderBy("step").first()
-    if failed is not None:
-        raise ValueError(GUARD_MESSAGE.format(**failed.asDict()))
+def require_min_counts(df: DataFrame, column: str, steps: list[tuple[float, int]]) -> DataFrame:
+    """``df``, whose execution stops with a message at the first step that has too few observations.
+
+    The counts are one aggregate that enters the plan as a scalar; nothing runs before ``df`` does.
+    """
+    reached = [F.count_if(F.col(f"`{column}`") >= F.lit(threshold)) for threshold, _ in steps]
+    verdict = F.lit(True)
+    for i in reversed(range(len(steps))):
+        threshold, required = steps[i]
+        message = GUARD_MESSAGE.format(step=i + 1, required=required, threshold=threshold)
+        verdict = F.when(reached[i] >= required, verdict).otherwise(F.raise_error(message))
+    return df.where(df.agg(verdict.alias("enough")).scalar())
 
 
 def columns_all_equal(

@@ -1,7 +1,8 @@
 """Semi-joins, star joins and enrichment.
 
 No join is hinted. The planner broadcasts a side whose size is below its
-threshold and shuffles otherwise, with hot keys split at run time. Where a count
+threshold and shuffles otherwise; hot keys are split at run time, or ahead of an outer join,
+which cannot split both sides. Where a count
 follows, rows are counted per key before the join that key takes part in, so a
 key that owns a third of the rows arrives as one row.
 """
@@ -11,6 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import staged
+
+# Rows of a key on one side of an outer join from which on it is dealt out, in parts of this size.
+HOT_ROWS = 500_000
+# Keys of a side that are dealt out at most, and keys that the sketch follows: it finds every key with
+# more than about four rows in the number of followed keys.
+HOT_KEYS = 1_000
+TRACKED_KEYS = 50_000
+
 
 def semi_join_count(
     transactions: DataFrame,
@@ -64,37 +74,81 @@ def first_rows(df: DataFrame, order: list[Column], rows: int = 20) -> DataFrame:
     return df.orderBy(*order).limit(rows)
 
 
-def left_join_enrich(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    repeated_right: bool = False,
-) -> DataFrame:
+def left_join_enrich(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Left outer join on differently named keys.
 
     Every left row stays, repeated keys included; without a partner the right
     columns are NULL. The right key is dropped; another right column whose name the
     left side has too gets ``_right`` behind it.
 
-    A hot key on the left is split at run time, one on the right of an outer join
-    cannot be. Set ``repeated_right`` where right keys repeat heavily: matches then
-    come from an inner join, which splits on both sides, and the other left rows
-    from an anti-join with the distinct right keys.
+    Keys with ``HOT_ROWS`` rows or more on a side, missing ones on the left among them, are found by a
+    sketch of each side first. A hot key is dealt out over a grid: its left rows over as many
+    lines, its right rows over as many columns as its rows ask for, and each row goes to all cells of its
+    line or column. Other keys have a grid of one cell, so one join serves all.
     """
     taken = {c.lower() for c in left.columns}
-    own = "_right_key"
-    while own in taken:
-        own += "_"
+    own = free_name("right_key", taken)
     renamed = {
         f.name: own if f.name == right_key else f"{f.name}_right" if f.name.lower() in taken else f.name
         for f in right.schema
     }
     right = right.select(*[F.col(f"`{old}`").alias(new) for old, new in renamed.items()])
+    right = right.where(F.col(own).isNotNull())
+    # both keys in the type that they are compared in
+    kind = left.select(F.col(f"`{left_key}`")).unionAll(right.select(own)).schema[0].dataType
+    left_hash, right_hash = (F.xxhash64(F.col(f"`{c}`").cast(kind)) for c in (left_key, own))
+    grids = staged(_hot_grids(left, left_hash, right, right_hash), "hot-keys")
     same = F.col(f"`{left_key}`") == F.col(own)
-    if not repeated_right:
+    if grids.isEmpty():
         return left.join(right, same, "left").drop(own)
-    matched = left.join(right, same).drop(own)
-    alone = left.join(right.select(own).distinct(), same, "left_anti")
-    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != own]
-    return matched.unionAll(alone.select("*", *missing))
+
+    # 2 * HOT_KEYS rows at most
+    line, column, cells, found = (free_name(n, taken | set(right.columns)) for n in ("line", "column", "cells", "found"))
+    none = F.array(F.lit(0))
+    dealt_left = (
+        left.join(F.broadcast(grids), left_hash == F.col("_hot"), "left")
+        .withColumn(line, F.coalesce(F.pmod(_row_hash(left), F.col("_lines")), F.lit(0)).cast("int"))
+        .withColumn(cells, F.coalesce("_columns", F.lit(1)))
+        .withColumn(column, F.explode(F.coalesce(F.sequence(F.lit(0), F.col("_columns") - 1), none)))
+        .drop("_hot", "_lines", "_columns")
+    )
+    own_line, own_column = f"{line}_right", f"{column}_right"
+    dealt_right = (
+        right.join(F.broadcast(grids), right_hash == F.col("_hot"), "left")
+        .withColumn(own_column, F.coalesce(F.pmod(_row_hash(right), F.col("_columns")), F.lit(0)).cast("int"))
+        .withColumn(own_line, F.explode(F.coalesce(F.sequence(F.lit(0), F.col("_lines") - 1), none)))
+        .withColumn(found, F.lit(True))
+        .drop("_hot", "_lines", "_columns")
+    )
+    cell = same & (F.col(line) == F.col(own_line)) & (F.col(column) == F.col(own_column))
+    joined = dealt_left.join(dealt_right, cell, "left")
+    # a key with several columns has right rows, though maybe none in this cell
+    kept = joined.where(F.col(found) | (F.col(cells) == 1))
+    return kept.drop(own, line, column, cells, found, own_line, own_column)
+
+
+def free_name(name: str, taken: set[str]) -> str:
+    """``name`` between underscores, with more of them while it is taken."""
+    name = f"_{name}_"
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """A hash over all columns that have one, the same whenever a task runs again."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    return F.xxhash64(*[F.col(f"`{n}`") for n, k in kinds.items() if "map<" not in k and "variant" not in k])
+
+
+def _hot_grids(left: DataFrame, left_hash: Column, right: DataFrame, right_hash: Column) -> DataFrame:
+    """``(_hot, _lines, _columns)`` per hot key hash, ``HOT_KEYS`` a side at most."""
+
+    def hot(df: DataFrame, key: Column, name: str) -> DataFrame:
+        hashed = df.select(key.alias("_hot"))
+        top = hashed.agg(F.expr(f"approx_top_k(_hot, {HOT_KEYS}, {TRACKED_KEYS})").alias("top"))
+        listed = top.select(F.inline("top")).toDF("_hot", "n").where(F.col("n") >= HOT_ROWS)
+        return listed.select("_hot", F.ceil(F.col("n") / HOT_ROWS).cast("int").alias(name))
+
+    both = hot(left, left_hash, "_lines").join(hot(right, right_hash, "_columns"), "_hot", "full")
+    return both.select("_hot", *[F.coalesce(c, F.lit(1)).alias(c) for c in ("_lines", "_columns")])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.values import two_sided_t_95
 from millrace.operators.checks import GUARD_MESSAGE
+from millrace.operators.joins import free_name
 
 # Fixed value: number of x positions of a drawn fit.
 BAND_POINTS = 80
@@ -94,23 +95,21 @@ def residual_chain(
 ) -> DataFrame:
     """Repeatedly replace x by ``i * sin(residual of x ~ z) + 0.01 * i``, i = 1 .. steps.
 
-    Step i needs at least i values of i / 1000 or more and stops with a message
-    otherwise. Guard and fit of a step share one aggregate; its single row of
-    numbers is all that reaches the driver, and no intermediate rows are stored.
+    Step i needs at least i values of i / 1000 or more; the query stops with a message
+    otherwise. Guard and fit of a step are one aggregate whose row enters the next step as a scalar:
+    nothing runs before the result is asked for, and no intermediate rows are stored.
     """
     rows = _complete(df, x, z)
-    regressor = F.col(z)
-    current = F.col(x).cast("double")
+    own, found = free_name("current", set(df.columns)), free_name("fit", set(df.columns))
+    chained = rows.withColumn(own, F.col(f"`{x}`").cast("double"))
     for i in range(1, steps + 1):
         threshold = i * 0.001
-        intercept, slope = _fit(current, regressor)
-        found = rows.agg(
-            F.count_if(current >= threshold).alias("reached"),
-            intercept.alias("intercept"),
-            slope.alias("slope"),
-        ).first()
-        if found["reached"] < i:
-            raise ValueError(GUARD_MESSAGE.format(step=i, required=i, threshold=threshold))
-        residual = current - (F.lit(found["intercept"]) + F.lit(found["slope"]) * regressor)
-        current = i * F.sin(residual) + 0.01 * i
-    return rows.withColumn(name, current)
+        intercept, slope = _fit(F.col(own), F.col(f"`{z}`"))
+        fit = F.struct(intercept.alias("intercept"), slope.alias("slope"))
+        enough = F.count_if(F.col(own) >= threshold) >= i
+        message = GUARD_MESSAGE.format(step=i, required=i, threshold=threshold)
+        guarded = chained.agg(F.when(enough, fit).otherwise(F.raise_error(message)).alias("fit")).scalar()
+        # the scalar stands in one column, as every mention of it would repeat the steps before
+        residual = F.col(own) - (F.col(f"{found}.intercept") + F.col(f"{found}.slope") * F.col(f"`{z}`"))
+        chained = chained.withColumn(found, guarded).withColumn(own, i * F.sin(residual) + 0.01 * i).drop(found)
+    return chained.select(*[F.col(f"`{c}`") for c in df.columns], F.col(own).alias(name))

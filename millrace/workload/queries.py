@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -267,7 +266,7 @@ def sink_single_file(spark, sf_dir):
     try:
         writers.write_single_text(counts, path, mode="errorifexists")
         refused = False
-    except AnalysisException:
+    except FileExistsError:
         refused = True
     lines = spark.read.text(path)
     n_files = lines.select(F.input_file_name().alias("file")).distinct().count()
@@ -384,7 +383,7 @@ def left_join_enrich_repeated(spark, sf_dir):
     )
     people = table(spark, sf_dir, "customer").where("c_nationkey % 3 <> 0")
     people = people.selectExpr("c_nationkey AS c_nation", "c_name AS name")
-    return joins.left_join_enrich(suppliers, people, "nation", "c_nation", repeated_right=True)
+    return joins.left_join_enrich(suppliers, people, "nation", "c_nation")
 
 
 # --- shop queries

@@ -16,9 +16,10 @@ def test_guard_passes_and_fails_by_step(spark):
         (1, 0.001, 1, 1, True),
         (2, 0.002, 2, 0, False),
     ]
-    checks.require_min_counts(df, "v", steps[:1])
-    with pytest.raises(ValueError, match=r"step 2 requires 2 observation\(s\) with value >= 0.002"):
-        checks.require_min_counts(df, "v", steps)
+    assert checks.require_min_counts(df, "v", steps[:1]).count() == 3
+    guarded = checks.require_min_counts(df, "v", steps)
+    with pytest.raises(Exception, match=r"step 2 requires 2 observation\(s\) with value >= 0.002"):
+        guarded.collect()
 
 
 @pytest.mark.parametrize(

@@ -3,7 +3,8 @@
 from collections import Counter
 
 import pytest
-from conftest import plan_of, rows
+from conftest import rows
+from pyspark.sql import functions as F
 
 from millrace.operators import joins, ranking
 from millrace.plans import retail
@@ -60,20 +61,66 @@ def test_counts_with_a_hot_article_and_a_hot_customer(shuffled, shop, job):
     assert [(c, n) for c, n in got] == expected()
 
 
-def test_a_hot_left_key_is_split_at_run_time(shuffled, shop):
+@pytest.fixture
+def few_rows_are_hot(monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 2000)
+
+
+def spread(df, hot):
+    """Tasks that make rows of the hot key, and the largest number of them in one task."""
+    counts = df.where(hot).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    return len(counts), max(r["count"] for r in counts)
+
+
+@pytest.fixture
+def unsplit(shuffled):
+    """Without the split at run time."""
+    shuffled.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    shuffled.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield shuffled
+    shuffled.conf.unset("spark.sql.adaptive.skewJoin.enabled")
+    shuffled.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_hot_left_key_is_dealt_out(unsplit, shop, few_rows_are_hot):
     _, sales, _ = shop
-    right = shuffled.range(4999).selectExpr("id AS a", "id * 2 AS p")
+    right = unsplit.range(4999).selectExpr("id AS a", "id * 2 AS p")
     joined = joins.left_join_enrich(sales, right, "article_id", "a")
-    assert len(joined.collect()) == N
-    assert "skew=true" in plan_of(joined)
+    assert joined.columns == ["t_dat", "article_id", "customer_id", "p"]
+    want = sales.join(right, sales.article_id == right.a, "left").drop("a")
+    assert rows(joined) == rows(want)
+    tasks, most = spread(joined, "article_id = 1")
+    assert tasks > 10 and most < 12_000
 
 
-def test_a_hot_right_key_is_split_at_run_time(shuffled, shop):
+def test_a_hot_right_key_is_dealt_out(unsplit, shop, few_rows_are_hot):
     _, sales, _ = shop
-    left = shuffled.range(6000).selectExpr("id AS a", "id * 2 AS p")
-    joined = joins.left_join_enrich(left, sales, "a", "article_id", repeated_right=True)
-    assert len(joined.collect()) == N + 6000 - 4999
-    assert "skew=true" in plan_of(joined)
+    left = unsplit.range(6000).selectExpr("id AS a", "id * 2 AS p")
+    joined = joins.left_join_enrich(left, sales, "a", "article_id")
+    want = left.join(sales, left.a == sales.article_id, "left").drop("article_id")
+    assert rows(joined) == rows(want)
+    tasks, most = spread(joined, "a = 1")
+    assert tasks > 10 and most < 12_000
+
+
+def test_a_key_hot_on_both_sides_and_missing_keys(unsplit, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 100)
+    left = unsplit.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN NULL ELSE id END AS k", "id AS v", "map('a', id) AS _line_")
+    right = unsplit.range(900).selectExpr("IF(id % 3 = 0, 7L, id) AS k", "id AS v", "CAST(NULL AS string) AS _found_")
+    joined = joins.left_join_enrich(left, right, "k", "k").drop("_line_")
+    renamed = right.selectExpr("k AS rk", "v AS v_right", "_found_")
+    want = left.drop("_line_").join(renamed, F.expr("k = rk"), "left").drop("rk")
+    assert joined.columns == ["k", "v", "v_right", "_found_"]
+    assert rows(joined) == rows(want)
+    tasks, most = spread(joined, "k IS NULL")
+    assert tasks > 5 and most < 500
+
+
+def test_a_right_side_without_the_hot_key(unsplit, few_rows_are_hot):
+    left = unsplit.range(30_000).selectExpr("IF(id % 2 = 0, 'hot', string(id)) AS k", "id AS v")
+    right = unsplit.createDataFrame([("1", "one")], "k2 string, name string")
+    joined = joins.left_join_enrich(left, right, "k", "k2")
+    assert joined.count() == 30_000 and rows(joined.where("name IS NOT NULL")) == [("1", 1, "one")]
 
 
 def test_most_frequent_values_of_a_hot_group(shuffled):

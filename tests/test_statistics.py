@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions.values import two_sided_t_95
-from millrace.operators import distribution, quantiles, ranges, regression, series
+from millrace.operators import checks, distribution, quantiles, ranges, regression, series
 
 PROBS = [0.25, 0.5, 0.75]
 
@@ -201,11 +201,20 @@ def test_residual_chain_equals_the_unrolled_steps(sample):
 
 def test_residual_chain_stops_at_the_failing_step(spark):
     df = spark.createDataFrame([(-1.0, 1.0), (-2.0, 2.0)], "x double, z double")
-    with pytest.raises(ValueError, match=r"step 1 requires 1 observation\(s\) with value >= 0.001"):
-        regression.residual_chain(df, "x", "z")
+    with pytest.raises(Exception, match=r"step 1 requires 1 observation\(s\) with value >= 0.001"):
+        regression.residual_chain(df, "x", "z").collect()
     df = spark.createDataFrame([(1.0, 1.0), (-2.0, 2.0)], "x double, z double")
-    with pytest.raises(ValueError, match=r"step 3 requires 3 observation\(s\) with value >= 0.003"):
-        regression.residual_chain(df, "x", "z")
+    with pytest.raises(Exception, match=r"step 3 requires 3 observation\(s\) with value >= 0.003"):
+        regression.residual_chain(df, "x", "z").collect()
+
+
+def test_guards_run_nothing_while_they_are_built(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, 4.0), (3.0, 5.0)], "x double, z double")
+    context = spark.sparkContext
+    context.setJobGroup("building", "guards")
+    checks.require_min_counts(regression.residual_chain(df, "x", "z", steps=6), "x", [(0.5, 2)])
+    assert list(context.statusTracker().getJobIdsForGroup("building")) == []
+    context.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_consecutive_ratio(spark):
