@@ -1,8 +1,10 @@
 """Deterministic sharded WARC archives, written and read by tasks.
 
-Records are sorted by ranges of the page id, one shuffle of the pages. A task writes its
-range into archives that it rolls when their compressed size is reached, each record a
-gzip member of its own with regenerated headers and digests. Archives get their name when
+Records are sorted by ranges of the page id, one shuffle of the pages. A range is written
+into archives that are rolled when their compressed size is reached, each record a
+gzip member of its own with regenerated headers and digests. Number and bounds of the ranges follow
+from the pages alone, by counts and by a sample that a hash of the page chooses, so
+the same pages give the same archives whichever tasks write them. Archives get their name when
 they are complete; a manifest lists them, and readers go by the manifest.
 
 Pages with equal payloads of at least ``min_bytes``: the one with the smallest page id is
@@ -19,17 +21,21 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.files import PendingFile, open_input
+from millrace.operators.ranges import range_number
 from millrace.session import scratch_path, staged
 
 MANIFEST = "part bigint, number bigint, path string, n_records bigint, n_bytes bigint"
 RESULT = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 ROLL_BYTES = 256 << 20
 MIN_BYTES = 100
+#: Payload bytes of a range: at most about the first; less of them while there are fewer than so many ranges.
+RANGE_BYTES, SMALL_RANGE_BYTES, FEW_RANGES = 256 << 20, 8 << 20, 200
+#: Sampled pages per range.
+SAMPLED = 100
 #: All records carry this date, so that equal pages give equal archives.
 DATE = "1970-01-01T00:00:00Z"
 LEVEL = 6
@@ -105,12 +111,18 @@ class ArchiveWriter:
     def __init__(self, folder: str, part: int, roll_bytes: int, level: int):
         self.folder, self.part, self.roll_bytes, self.level = folder, part, roll_bytes, level
         self.file: PendingFile | None = None
-        self.n_records = 0
+        self.n_records = self.number = 0
         self.done: list[tuple[int, int, str, int, int]] = []
 
+    def move_to(self, part: int) -> None:
+        """Go on with another range, in an archive of its own."""
+        if part != self.part:
+            self.roll()
+            self.part, self.number = part, 0
+
     def add(self, record: bytes) -> None:
         if self.file is None:
-            name = f"pages-{self.part:08d}-{len(self.done):05d}.warc.gz"
+            name = f"pages-{self.part:08d}-{self.number:05d}.warc.gz"
             self.file = PendingFile(f"{self.folder}/{name}")
             self.file.write(info_record(name, self.level))
         self.file.write(record)
@@ -121,8 +133,8 @@ class ArchiveWriter:
     def roll(self) -> None:
         if self.file is not None:
             self.file.commit()
-            self.done.append((self.part, len(self.done), self.file.uri, self.n_records, self.file.size))
-            self.file, self.n_records = None, 0
+            self.done.append((self.part, self.number, self.file.uri, self.n_records, self.file.size))
+            self.file, self.n_records, self.number = None, 0, self.number + 1
 
 
 def revisits(digests: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
@@ -141,6 +153,24 @@ def revisits(digests: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     return joined.where(~F.col("page_id").eqNullSafe(F.col("first_id"))).distinct()
 
 
+def range_bounds(digests: DataFrame) -> DataFrame:
+    """``(_one, _cuts)``: one row with the ascending ``(page_id, digest)`` at which ranges begin.
+
+    Depends on the set of pages only: which pages are sampled is settled by their hash, and
+    the sample, about ``SAMPLED`` pages per range, is numbered in one order.
+    """
+    totals = digests.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    rows, size = totals
+    ranges = max(1, min(FEW_RANGES, size // SMALL_RANGE_BYTES), size // RANGE_BYTES)
+    one_in = max(1, rows // (SAMPLED * ranges))
+    every = max(1, rows // (one_in * ranges))
+    chosen = digests.where(F.pmod(F.xxhash64("page_id", "digest"), F.lit(one_in)) == 0)
+    nth = F.row_number().over(Window.orderBy("page_id", "digest"))
+    cut = chosen.select("page_id", "digest", nth.alias("nth")).where(F.col("nth") % every == 0)
+    cuts = F.array_sort(F.collect_list(F.struct("page_id", "digest")))
+    return staged(cut.agg(cuts.alias("_cuts")).select(F.lit(0).alias("_one"), "_cuts"), "range-bounds")
+
+
 def write_warc(
     pages: DataFrame,
     folder: str,
@@ -173,11 +203,12 @@ def write_warc(
     rows = rows.withColumns({"first_id": F.lit(None).cast("bigint"), "kind": F.lit(1)}).unionByName(ahead)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer = ArchiveWriter(folder, TaskContext.get().partitionId(), roll_bytes, level)
+        writer = ArchiveWriter(folder, -1, roll_bytes, level)
         known: tuple = ()
+        fields = ("part", "page_id", "url", "payload", "digest", "first_id", "kind")
         for batch in batches:
-            columns = [batch.column(n).to_pylist() for n in ("page_id", "url", "payload", "digest", "first_id", "kind")]
-            for page_id, url, payload, digest, first_id, kind in zip(*columns):
+            for part, page_id, url, payload, digest, first_id, kind in zip(*(batch.column(n).to_pylist() for n in fields)):
+                writer.move_to(part)
                 if kind == 0:
                     known = (page_id, digest, first_id)
                     continue
@@ -188,8 +219,13 @@ def write_warc(
             names = ("part", "number", "path", "n_records", "n_bytes")
             yield pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*writer.done)))))
 
-    order = ["page_id", "digest"]
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order, "kind", "url")
+    # an equi-join with the one row of bounds: a key that is always 0, though the planner does not see it
+    bounds = range_bounds(digests)
+    n_ranges = bounds.select(F.size("_cuts")).first()[0] + 1
+    rows = rows.withColumn("_one", F.pmod(F.hash("page_id"), F.lit(1))).join(bounds, "_one")
+    part = range_number(F.col("_cuts"), F.struct("page_id", "digest"))
+    rows = rows.withColumn("part", part).drop("_one", "_cuts")
+    dealt = rows.repartitionByRange(n_ranges, "part").sortWithinPartitions("part", "page_id", "digest", "kind", "url")
     dealt.mapInArrow(write, MANIFEST).write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 

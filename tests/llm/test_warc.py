@@ -81,3 +81,22 @@ def test_record_ids():
 
 def test_empty(spark):
     assert warc.warc_round_trip(spark.createDataFrame([], "page_id bigint, url string, html string")).collect() == []
+
+
+def test_equal_archives_from_other_partitions(spark, monkeypatch):
+    """More pages than Spark samples for its own ranges, dealt out differently each time."""
+    monkeypatch.setattr(warc, "SMALL_RANGE_BYTES", 40_000)
+    n = 60_000
+    base = ready(spark).range(n).selectExpr(
+        "id * 37 % 60000 AS page_id", "concat('http://h/', id) AS url", "repeat(concat('page ', id % 50000, ' '), 3) AS html"
+    )
+    contents = []
+    for tasks in (3, 16):
+        folder = scratch_path(spark, "warc")
+        manifest = warc.write_warc(base.repartition(tasks), folder, level=1)
+        assert manifest.selectExpr("sum(n_records)").first()[0] == n
+        files = sorted(glob.glob(f"{folder.removeprefix('file://')}/*.warc.gz"))
+        contents.append({f.rpartition("/")[2]: hashlib.sha256(open(f, "rb").read()).hexdigest() for f in files})
+    assert contents[0] == contents[1] and 20 < len(contents[0]) < 80
+    sizes = [r.n_records for r in manifest.collect()]
+    assert max(sizes) < 2 * n / len(sizes)
