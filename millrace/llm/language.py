@@ -39,6 +39,9 @@ LEAST_OWN, LEAST_ALL = 100, 20
 SIZES = 48
 #: Characters that are profiled together, and the longest stretch taken at once.
 GROUP_CHARS = 300_000
+#: Up to so many distinct n-grams, and counts of them in all texts, a matrix of counts is multiplied; beyond
+#: that, as in scripts with many letters, the n-grams that occur are added up so many at a time.
+DENSE_GRAMS, DENSE_COUNTS, SPARSE_GRAMS = 16_384, 1 << 23, 4_096
 
 
 def letter_vector(code: int, size: int = SIZE) -> np.ndarray:
@@ -89,6 +92,13 @@ def measured(batch: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarr
     distinct = np.zeros(len(batch), np.int64)
     group: list[tuple[int, np.ndarray]] = []
 
+    def gram_vectors(grams: np.ndarray, base: int) -> np.ndarray:
+        """The first two letters' vectors permuted, and all three bound."""
+        vectors = alphabet.vectors[grams % base]
+        for shift, letters in ((1, grams // base % base), (2, grams // (base * base))):
+            vectors *= np.roll(alphabet.vectors[letters], shift, axis=1)
+        return vectors.astype(np.float32)
+
     def flush() -> None:
         if not group:
             return
@@ -103,15 +113,23 @@ def measured(batch: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarr
         else:
             grams, place = np.unique(every, return_inverse=True)
         row = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
-        counts = np.bincount(row * len(grams) + place, minlength=len(codes) * len(grams))
-        first, second, third = grams // (base * base), grams // base % base, grams % base
-        vectors = np.roll(alphabet.vectors, 2, axis=1)[first] * np.roll(alphabet.vectors, 1, axis=1)[second]
-        vectors = (vectors * alphabet.vectors[third]).astype(np.float32)
-        counts = counts.reshape(len(codes), len(grams))
-        sums = counts.astype(np.float32) @ vectors
-        for (k, _), own, n in zip(group, sums, np.count_nonzero(counts, axis=1)):
-            out[k] += own
-            distinct[k] = max(distinct[k], n)
+        if len(grams) <= DENSE_GRAMS and len(codes) * len(grams) <= DENSE_COUNTS:
+            counts = np.bincount(row * len(grams) + place, minlength=len(codes) * len(grams))
+            counts = counts.reshape(len(codes), len(grams)).astype(np.float32)
+            sums = counts @ gram_vectors(grams, base)
+            for (k, _), own, n in zip(group, sums, np.count_nonzero(counts, axis=1)):
+                out[k] += own
+                distinct[k] = max(distinct[k], n)
+        else:
+            pairs, counts = np.unique(row * len(grams) + place, return_counts=True)
+            row, place = pairs // len(grams), pairs % len(grams)
+            text = np.array([k for k, _ in group])
+            np.maximum.at(distinct, text, np.bincount(row, minlength=len(codes)))
+            for at in range(0, len(pairs), SPARSE_GRAMS):
+                part = slice(at, at + SPARSE_GRAMS)
+                vectors = gram_vectors(grams[place[part]], base) * counts[part, None].astype(np.float32)
+                starts = np.flatnonzero(np.append(True, np.diff(row[part]) != 0))
+                np.add.at(out, text[row[part][starts]], np.add.reduceat(vectors, starts, axis=0))
         group.clear()
 
     held = 0

@@ -131,3 +131,28 @@ def test_least_scores(spark):
     one, other = (language.least_scores(docs.repartition(n), profiles) for n in (1, 5))
     assert (one == other).all() and one.min() >= 0 and one[:, 10].min() > 0.2
     assert language.size_class(np.array([0, 1, 2, 3, 4, 1023, 1024])).tolist() == [0, 1, 2, 2, 3, 10, 11]
+
+
+def test_scripts_with_many_letters_take_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    batch = ["".join(map(chr, rng.integers(0x4E00, 0x9FFF, 300))) for _ in range(1000)]
+    alphabet = language.Alphabet()
+    tracemalloc.start()
+    sums, distinct = language.measured(batch, alphabet)
+    assert tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
+    for k in (0, 501, 999):
+        alone, n = language.measured([batch[k]], alphabet)  # a single text goes the dense way
+        assert (alone[0] == sums[k]).all() and n[0] == distinct[k]
+
+
+def test_sparse_and_dense_sums_agree(monkeypatch):
+    rng = np.random.default_rng(4)
+    batch = ["".join(rng.choice(list("abc é中文d "), 200)) for _ in range(50)] + ["", "1 2", "x"]
+    dense = language.measured(batch, language.Alphabet())
+    monkeypatch.setattr(language, "DENSE_GRAMS", 0)
+    monkeypatch.setattr(language, "SPARSE_GRAMS", 7)
+    sparse = language.measured(batch, language.Alphabet())
+    assert (dense[0] == sparse[0]).all() and (dense[1] == sparse[1]).all()
