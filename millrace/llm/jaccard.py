@@ -23,12 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
 from millrace.llm.runtime import id_and_text, utf8
 from millrace.llm.words import WINDOW, mix, shingle_sets
+from millrace.operators.joins import free_name
 from millrace.session import staged
 
 #: Hash buckets whose use orders the shingles.
@@ -520,12 +521,17 @@ def keep_first(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_
     """
     found = jaccard_components(docs, percent, id_col=id_col, text_col=text_col)
     goes = ~F.col("doc_id").eqNullSafe(F.col("component_id"))
-    per_id = found.groupBy("doc_id").agg(F.bool_and(goes).alias("__gone"), F.count(F.lit(1)).alias("__n"))
-    per_id = staged(
-        per_id.where("__gone or __n > 1").select(F.col("doc_id").alias("__listed_id"), "__gone"), "listed-ids"
-    )
+    listed, gone, nth = (free_name(n, set(docs.columns)) for n in ("listed_id", "gone", "nth"))
+    per_id = found.groupBy("doc_id").agg(F.bool_and(goes).alias(gone), F.count(F.lit(1)).alias("n"))
+    per_id = per_id.where(F.col(gone) | (F.col("n") > 1))
+    per_id = staged(per_id.select(F.col("doc_id").alias(listed), gone), "listed-ids")
     if per_id.count() <= BROADCAST_NODES:
         per_id = F.broadcast(per_id)
-    same = F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("__listed_id"))
+    same = F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col(listed))
     single = docs.join(per_id, same, "left_anti")
-    return single.unionAll(docs.join(per_id.where("not __gone"), same, "left_semi").dropDuplicates())
+    repeated = docs.join(per_id.where(~F.col(gone)), same, "left_semi")
+    # equal rows are numbered by their JSON, which maps have too
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    equal = Window.partitionBy(F.sha2(whole, 256)).orderBy(F.lit(0))
+    first = repeated.withColumn(nth, F.row_number().over(equal)).where(F.col(nth) == 1).drop(nth)
+    return single.unionAll(first)

@@ -162,3 +162,17 @@ def test_table_by_sql(spark, sf_dir):
     for name, sql in workload.oracle_sql().items():
         rows, problems = compare.compare(workload.queries()[name](spark, sf_dir), compare.duck(sf_dir), sql)
         assert rows and not problems, (name, problems)
+
+
+def test_keep_first_with_clashing_names_and_maps(spark):
+    words = " ".join(f"w{k}" for k in range(40))
+    rows = [
+        (1, words, {"a": 1}, True, 7), (2, words + " x", {"a": 1}, True, 7), (3, "other words here", None, False, 1),
+        (3, "other words here", None, False, 1), (3, "other words here", {"b": 2}, False, 1), (None, None, None, None, None),
+    ]
+    schema = "doc_id bigint, text string, __listed_id map<string,int>, _gone_ boolean, _nth_ int"
+    kept = jaccard.keep_first(ready(spark).createDataFrame(rows, schema))
+    assert kept.columns == ["doc_id", "text", "__listed_id", "_gone_", "_nth_"]
+    assert sorted(((r.doc_id, r["__listed_id"]) for r in kept.collect()), key=str) == [
+        (1, {"a": 1}), (3, None), (3, {"b": 2}), (None, None),
+    ]
