@@ -439,6 +439,11 @@ def oracle_sql() -> dict[str, str]:
                    round(lead(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) / nullif(value, 0), 8)
                      AS ratio
             FROM events""",
+        "json_fields": """
+            SELECT event_id, CASE WHEN event_id % 7 <> 0 AND event_id % 5 <> 0 THEN value END AS size,
+                   CASE WHEN event_id % 7 <> 0 THEN user_id END AS user,
+                   CASE WHEN event_id % 7 <> 0 THEN event_type END AS tag, NULL::VARCHAR AS absent
+            FROM events""",
         "bubble_table": """
             SELECT c_name AS label, c_acctbal AS x, c_nationkey AS y,
                    CASE WHEN c_acctbal > 0 THEN 'credit' WHEN c_acctbal <= 0 THEN 'debt' END

@@ -18,6 +18,7 @@ from millrace.operators import (
     checks,
     counting,
     distribution,
+    documents,
     filters,
     joins,
     ranking,
@@ -770,3 +771,20 @@ def json_field_count(spark, sf_dir):
 
 for _name in ("label_if_else", "parse_flag"):
     _QUERIES[_name] = _QUERIES.pop(f"{_name}_query")
+
+
+@_query
+def json_fields(spark, sf_dir):
+    """Typed fields of nested event records, some of them broken or of another type."""
+    size = F.when(F.col("event_id") % 5 == 0, F.lit("many")).otherwise(F.col("value").cast("string"))
+    user = F.struct(F.col("user_id").alias("id"), F.array("event_type", F.lit("all")).alias("tags"))
+    whole = F.to_json(F.struct("event_id", size.alias("size"), user.alias("user")))
+    whole = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("{"), whole)).otherwise(whole)
+    records = table(spark, sf_dir, "events").select("event_id", whole.alias("record"))
+    fields = {
+        "size": ("$.size", "double"),
+        "user": ("$.user.id", "bigint"),
+        "tag": ("$.user.tags[0]", "string"),
+        "absent": ("$.user.name", "string"),
+    }
+    return documents.json_fields(records, "record", fields).drop("record")

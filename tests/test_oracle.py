@@ -18,7 +18,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLE.keys()
-    assert len(QUERIES) == 63
+    assert len(QUERIES) == 64
     assert QUERIES.keys() <= contract.queries().keys()
     assert ORACLE.items() <= contract.oracle_sql().items()
 

@@ -90,3 +90,8 @@ def test_counts_are_combined_ahead_of_the_customer_join(plans):
 @pytest.mark.parametrize("name", ["label_if_else", "normalize_category", "filter_guarded_numeric"])
 def test_row_wise_queries_do_not_shuffle(plans, name):
     assert "Exchange" not in plans(name)
+
+
+def test_json_is_parsed_once_for_all_fields(plans):
+    assert plans("json_fields").count("parseJson(") == 1
+    assert plans("json_fields").count("try_variant_get(") == 4
