@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from millrace.llm.runtime import id_and_text, texts
-from millrace.llm.tokens import json_encoder
+from millrace.llm.tokens import REMEMBERED_BYTES, json_encoder
 
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -119,6 +119,7 @@ def pack_documents(
     linear: float = 1.0,
     quadratic: float = 1 / SEQUENCE,
     window_tokens: int = WINDOW_TOKENS,
+    remembered: int = REMEMBERED_BYTES,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -127,12 +128,13 @@ def pack_documents(
     A document's tokens are the ids of its text, special tokens not added, and ``end_id``;
     a null text has the end id only. Each token lies in exactly one piece, offsets in a
     sequence run gapless from 0. Repeated rows are packed as documents of their own; an
-    empty table gives no rows. The same split of the input gives the same result.
+    empty table gives no rows. The same split of the input gives the same result. A worker
+    remembers the ids of pieces of text in ``remembered`` bytes, also beyond the end of a task.
     """
     end = np.array([end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = json_encoder(tokenizer)
+        encoder = json_encoder(tokenizer, remembered=remembered)
         first = TaskContext.get().partitionId() << WINDOW_BITS
         ids, held, tokens = [], [], 0
 

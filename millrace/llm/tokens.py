@@ -344,9 +344,11 @@ class WholeTexts:
 _loaded: dict[tuple, Any] = {}
 
 
-def json_encoder(path: str, lengths_only: bool = False) -> TextIds | WholeTexts:
-    """Texts to ids by the ``tokenizers`` library, one memo per worker process."""
-    key = ("ids", path, lengths_only)
+def json_encoder(
+    path: str, lengths_only: bool = False, remembered: int = REMEMBERED_BYTES
+) -> TextIds | WholeTexts:
+    """Texts to ids by the ``tokenizers`` library, one memo of ``remembered`` bytes per worker process."""
+    key = ("ids", path, lengths_only, remembered)
     if key not in _loaded:
         from tokenizers import Tokenizer
 
@@ -356,7 +358,7 @@ def json_encoder(path: str, lengths_only: bool = False) -> TextIds | WholeTexts:
         split = layout.get("pre_tokenizer") or {}
         usual = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
         if usual and layout["model"]["type"] == "BPE" and not layout.get("normalizer"):
-            _loaded[key] = TextIds(PieceIds(ByteLevel(library), lengths_only=lengths_only))
+            _loaded[key] = TextIds(PieceIds(ByteLevel(library), remembered, lengths_only=lengths_only))
         else:
             _loaded[key] = WholeTexts(library)
     return _loaded[key]
