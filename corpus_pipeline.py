@@ -15,6 +15,9 @@ from millrace.llm.runtime import documents, ready
 from millrace.llm.tokens import tokenizer_path
 from millrace.session import staged
 
+#: Workers serve all stages one after the other, so packing remembers less than it would by itself.
+REMEMBERED_BYTES = 96 << 20
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; others go, and texts without a letter."""
@@ -43,7 +46,7 @@ def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The remaining documents in sequences of 2048 tokens."""
     ready(spark)
-    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), remembered=REMEMBERED_BYTES)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
