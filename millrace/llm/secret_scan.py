@@ -49,45 +49,64 @@ REDACTED = "[SECRET]"
 
 _SPANS = "array<struct<start:bigint,rank:int,end:bigint>>"
 _BLOCK = 256
+_PIECE = 1024
 
 
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0).cast("bigint"), lambda a, x: a + x)
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` computed once however often it occurs there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _running_short(values: Column, base: Column) -> Column:
-    """What precedes each value, ``base`` included."""
+def _running_short(values: Column, base: Column, add) -> Column:
+    """What precedes each value, added up from ``base`` on."""
     start = F.struct(base.cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("out"))
-    step = lambda a, x: F.struct((a["at"] + x).alias("at"), F.array_append(a["out"], a["at"]).alias("out"))
+    step = lambda a, x: F.struct(add(a["at"], x).alias("at"), F.array_append(a["out"], a["at"]).alias("out"))
     return F.aggregate(values, start, step, lambda a: a["out"])
 
 
-def _running(values: Column) -> Column:
-    """The sum of what precedes each value, in blocks, as appending copies an array."""
-    size = F.size(values)
-    blocks = F.when(size == 0, F.array().cast("array<array<bigint>>")).otherwise(
-        F.transform(
-            F.sequence(F.lit(0), F.floor((F.greatest(size, F.lit(1)) - 1) / _BLOCK).cast("int")),
-            lambda b: F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK)),
-        )
+def _running(values: Column, add=lambda a, x: a + x) -> Column:
+    """The sum (or ``add``) of what precedes each value, from 0 on; in blocks, as appending copies an array."""
+    zero = F.lit(0).cast("bigint")
+
+    def in_blocks(values: Column) -> Column:
+        last = F.floor((F.size(values) - 1) / _BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK)))
+
+    def joined(blocks: Column) -> Column:
+        bases = _running_short(F.transform(blocks, lambda b: F.aggregate(b, zero, add)), zero, add)
+        return F.flatten(F.zip_with(blocks, bases, lambda b, base: _running_short(b, base, add)))
+
+    return _let(
+        values,
+        lambda v: F.when(F.size(v) <= _BLOCK, _running_short(v, zero, add)).otherwise(_let(in_blocks(v), joined)),
     )
-    bases = _running_short(F.transform(blocks, _sum), F.lit(0))
-    return F.flatten(F.zip_with(blocks, bases, _running_short))
 
 
 def _located(text: Column, pattern: str, rank: int) -> Column:
     """Spans of all matches, leftmost and non-overlapping, in code points."""
     matches = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.length(m).cast("bigint"))
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g).cast("bigint"))
+
     # gap, match, gap, match, ...: a match starts after the gaps and matches ahead of it
-    starts = F.zip_with(
-        F.slice(gaps, F.lit(1), F.size(matches)),
-        _running(F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches, lambda g, m: g + m)),
-        lambda g, ahead: g + ahead,
-    )
-    return F.zip_with(
-        starts, matches, lambda s, m: F.struct(s.alias("start"), F.lit(rank).alias("rank"), (s + m).alias("end"))
-    )
+    def spans(x: Column) -> Column:
+        both = F.zip_with(F.slice(x["gaps"], F.lit(1), F.size(x["matches"])), x["matches"], _gap_and_match)
+        ahead = _running(F.transform(both, lambda y: y["gap"] + y["match"]))
+        return F.zip_with(both, ahead, lambda y, ahead: _span(ahead + y["gap"], rank, ahead + y["gap"] + y["match"]))
+
+    return _let(F.struct(matches.alias("matches"), gaps.alias("gaps")), spans)
+
+
+def _gap_and_match(gap: Column, match: Column) -> Column:
+    return F.struct(gap.alias("gap"), match.alias("match"))
+
+
+def _span(start: Column, rank: int, end: Column) -> Column:
+    return F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"))
+
+
+def _ends_before(spans: Column, end) -> Column:
+    """The greatest end of what precedes each of the sorted ``spans``, 0 without any."""
+    return _running(F.transform(spans, end), lambda a, x: F.greatest(a, x))
 
 
 def _base(text: Column, kind: str) -> Column:
@@ -197,16 +216,24 @@ def find_secrets(
     table = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<double>")
     found = docs.withColumn(base, F.array_sort(F.concat(*(_base(text, k) for k in PATTERNS))))
     pattern = f"{STRING}{{{LENGTH},}}"
-    strings = F.arrays_zip(
-        _located(text, pattern, len(PATTERNS)).alias("span"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value"),
+    strings = F.zip_with(
+        _located(text, pattern, len(PATTERNS)),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda s, value: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), value.alias("value")),
     )
-
-    def open_ended(x: Column) -> Column:
-        return ~F.exists(base, lambda b: (b["start"] <= x["span"]["start"]) & (x["span"]["end"] <= b["end"]))
-
-    likely = F.filter(F.filter(strings, open_ended), lambda x: _ratio(x["value"], table) >= least_ratio)
-    more = F.when(F.rlike(text, F.lit(pattern)), F.transform(likely, lambda x: x["span"]))
+    # fixed spans and strings in one order, a span ahead of a string that starts with it: a
+    # string is covered if the furthest of the fixed spans ahead of it reaches its end
+    known = F.transform(F.col(base), lambda b: F.struct(b["start"], b["rank"], b["end"], F.lit("").alias("value")))
+    judged = F.lit(len(PATTERNS))
+
+    def likely(merged: Column) -> Column:
+        furthest = _ends_before(merged, lambda x: F.when(x["rank"] < judged, x["end"]).otherwise(F.lit(0)))
+        both = F.zip_with(merged, furthest, lambda x, reach: F.struct(x.alias("x"), reach.alias("reach")))
+        free = F.filter(both, lambda y: (y["x"]["rank"] == judged) & (y["reach"] < y["x"]["end"]))
+        found = F.filter(free, lambda y: _ratio(y["x"]["value"], table) >= least_ratio)
+        return F.transform(found, lambda y: _span(y["x"]["start"], len(PATTERNS), y["x"]["end"]))
+
+    more = F.when(F.rlike(text, F.lit(pattern)), _let(F.array_sort(F.concat(known, strings)), likely))
     more = more.otherwise(F.array().cast(_SPANS)).cast(_SPANS)
     return found.withColumn(spans, F.array_sort(F.concat(F.col(base), more))), base, spans
 
@@ -240,6 +267,32 @@ def secret_report(
     )
 
 
+def _without(text: Column, spans: Column) -> Column:
+    """``text`` with the sorted ``spans`` replaced, in time linear in both.
+
+    What lies between spans is cut from pieces of the text of ``_PIECE`` code points each, as
+    taking a part of a text counts its characters from the start.
+    """
+
+    def gap(start: Column, end: Column) -> Column:
+        return F.struct(start.cast("bigint").alias("start"), end.cast("bigint").alias("end"))
+
+    kept = F.zip_with(spans, _ends_before(spans, lambda s: s["end"]), lambda s, reach: gap(reach, s["start"]))
+    rest = gap(F.array_max(F.transform(spans, lambda s: s["end"])), F.length(text))
+    gaps = F.concat(F.filter(kept, lambda g: g["start"] <= g["end"]), F.array(rest))
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))
+
+    def cut(pieces: Column, g: Column) -> Column:
+        first, last = F.floor(g["start"] / _PIECE).cast("int"), F.floor(g["end"] / _PIECE).cast("int")
+        skip, upto = (g["start"] % _PIECE).cast("int"), (g["end"] % _PIECE).cast("int")
+        piece = lambda k: F.coalesce(F.get(pieces, k), F.lit(""))
+        between = F.transform(F.sequence(first, last), lambda k: F.when(k == first, F.substring(piece(k), skip + 1, F.lit(_PIECE)))
+            .when(k == last, F.substring(piece(k), F.lit(1), upto)).otherwise(piece(k)))
+        return F.when(first == last, F.substring(piece(first), skip + 1, upto - skip)).otherwise(F.array_join(between, ""))
+
+    return _let(pieces, lambda p: F.array_join(F.transform(gaps, lambda g: cut(p, g)), REDACTED))
+
+
 def redact(docs: DataFrame, ratios: list[float], least_ratio: float = RATIO, text_col: str = "text") -> DataFrame:
     """``docs`` with every secret of the texts replaced; overlapping spans become one.
 
@@ -248,20 +301,9 @@ def redact(docs: DataFrame, ratios: list[float], least_ratio: float = RATIO, tex
     """
     columns = docs.columns
     text = F.col(f"`{text_col}`")
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def step(a: Column, s: Column) -> Column:
-        fresh = s["start"] >= a["at"]
-        gap = F.substring(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int"))
-        return F.struct(
-            F.greatest(a["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(a["out"], gap, F.lit(REDACTED))).otherwise(a["out"]).alias("out"),
-        )
-
-    end = lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.lit(2**31 - 1)))
     found, _, spans = find_secrets(docs, ratios, least_ratio, text_col)
     hit = F.size(spans) > 0
-    found = found.withColumn(text_col, F.when(hit, F.aggregate(spans, start, step, end)).otherwise(text))
+    found = found.withColumn(text_col, F.when(hit, _without(text, F.col(spans))).otherwise(text))
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
         found = found.withColumn("n_chars", F.when(hit, F.length(text).cast(kind)).otherwise(F.col("n_chars")))

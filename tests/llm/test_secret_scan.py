@@ -119,3 +119,74 @@ def test_keys_around_a_fixed_span(spark, ratios):
     assert (found[2], found[3]) == ("hex:4:24", "assign:0:26,hex:6:26")
     got = {r.doc_id: r.text for r in secret_scan.redact(df, ratios).collect()}
     assert got == {1: "see [SECRET] there", 2: "see [SECRET] there", 3: "[SECRET] x"}
+
+
+def judged_by_hand(text: str, ratios: list[float]) -> list[tuple[int, int, int]]:
+    base = by_hand(text)
+    spans = list(base)
+    size = len(secret_scan.ALPHABET)
+    for m in re.finditer(f"{secret_scan.STRING}{{{secret_scan.LENGTH},}}", text):
+        if any(a <= m.start() and m.end() <= b for a, _, b in base):
+            continue
+        digits = [secret_scan.ALPHABET.index(c) for c in m[0]]
+        mean = sum(ratios[a * size + b] for a, b in zip(digits, digits[1:])) / (len(digits) - 1)
+        if mean >= secret_scan.RATIO:
+            spans.append((m.start(), 3, m.end()))
+    return sorted(spans)
+
+
+def cut_by_hand(text: str, spans) -> str:
+    out, at = "", 0
+    for start, _, end in spans:
+        if start >= at:
+            out += text[at:start] + secret_scan.REDACTED
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_all_spans_and_redaction_by_hand(spark, ratios):
+    rng = random.Random(8)
+    mixed = string.ascii_letters + string.digits + "+/_=-"
+    some = PARTS + ["x" * 30, "0123456789abcdef" * 3, "é𝒳 " * 400, "plain words " * 60]
+    texts = []
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randint(0, 60)):
+            parts.append(rng.choice(some) if rng.random() < 0.7 else "".join(rng.choices(mixed, k=rng.randint(5, 50))))
+        texts.append("".join(parts))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    spans = {r.doc_id: r.spans for r in secret_scan.secret_report(df, ratios).collect()}
+    cleaned = {r.doc_id: r.text for r in secret_scan.redact(df, ratios).collect()}
+    assert any("markov" in s for s in spans.values())
+    for k, text in enumerate(texts):
+        want = judged_by_hand(text, ratios)
+        assert spans[k] == listed(want)
+        assert cleaned[k] == cut_by_hand(text, want)
+
+
+def test_cutting_at_every_place(spark):
+    """Spans that overlap, touch, are empty or lie on the bounds of the pieces that a text is cut into."""
+    rng = random.Random(9)
+    piece = secret_scan._PIECE
+    rows = []
+    for n in (1, piece - 1, piece, piece + 1, 3 * piece, 3 * piece + 7):
+        text = "".join(rng.choices("ab\né𝒳", k=n))
+        for _ in range(6):
+            places = [p for p in (0, 1, piece - 1, piece, piece + 1, 2 * piece, n - 1, n) if 0 <= p <= n]
+            bounds = [sorted((rng.choice(places), rng.choice(places))) for _ in range(rng.randint(1, 4))]
+            rows.append((text, sorted((a, rng.randint(0, 3), b) for a, b in bounds)))
+    df = spark.createDataFrame(rows, f"text string, spans {secret_scan._SPANS}")
+    got = df.select("text", "spans", secret_scan._without(F.col("text"), F.col("spans")).alias("cut")).collect()
+    for r in got:
+        assert r.cut == cut_by_hand(r.text, [tuple(s) for s in r.spans])
+
+
+def test_a_text_full_of_secrets(spark, ratios):
+    rng = random.Random(10)
+    n = 30_000
+    text = "\n".join("%040x" % rng.getrandbits(160) for _ in range(n))
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    r = secret_scan.secret_report(df, ratios).first()
+    want = [(41 * k, 2, 41 * k + 40) for k in range(n)]
+    assert (r.n_hex, r.spans) == (n, listed(want))
+    assert secret_scan.redact(df, ratios).first().text == "\n".join([secret_scan.REDACTED] * n)
