@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.values import is_finite
+from millrace.operators import histogram
 from millrace.operators.quantiles import exact_quantiles, finite_values, group_sketch
+from millrace.session import staged
 
 QUARTILES = [0.25, 0.5, 0.75]
 # How far a whisker may reach, in quartile ranges, and the number
@@ -17,13 +19,15 @@ WHISKER_REACH = 1.5
 DENSITY_POINTS = 512
 
 
-def _fences(df: DataFrame, group: str, value: str) -> DataFrame:
-    """(grp, n, q1, median, q3, low_fence, high_fence), one row per group."""
+def _parts(df: DataFrame, group: str, value: str) -> DataFrame:
     rows = finite_values(df, group, value)
-    sketch = group_sketch(rows, QUARTILES)
-    quartiles = exact_quantiles(rows, sketch, QUARTILES).withColumnRenamed("grp", "g")
+    return histogram.group_parts(rows, group_sketch(rows, QUARTILES), QUARTILES, WHISKER_REACH)
+
+
+def _fences(cells: DataFrame) -> DataFrame:
+    """(grp, n, q1, median, q3, low_fence, high_fence), one row per group."""
     reach = WHISKER_REACH * (F.col("q2") - F.col("q0"))
-    return sketch.join(quartiles, F.col("grp").eqNullSafe(F.col("g"))).select(
+    fences = histogram.quartiles_of(cells, QUARTILES).select(
         "grp",
         "n",
         F.col("q0").alias("q1"),
@@ -32,26 +36,29 @@ def _fences(df: DataFrame, group: str, value: str) -> DataFrame:
         (F.col("q0") - reach).alias("low_fence"),
         (F.col("q2") + reach).alias("high_fence"),
     )
+    return staged(fences, "fences")
 
 
 def boxplot_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Quartiles, whiskers (extreme values within the fences) and outlier count per group.
 
-    Extremes and counts are partial aggregates over a second read of the values.
+    Three reads of the values; whiskers and counts come from the histogram of the last two.
     """
-    fences = _fences(df, group, value)
-    inside = F.col("v").between(F.col("low_fence"), F.col("high_fence"))
-    bounds = fences.select(F.col("grp").alias("g"), "low_fence", "high_fence")
+    parts = _parts(df, group, value)
+    rows = histogram.in_parts(finite_values(df, group, value), F.col("grp"), F.col("v"), parts.where("again"))
+    cells = histogram.count_again(rows.drop("grp"), parts)
+    fences = _fences(cells)
+    inside = (F.col("least") >= F.col("low_fence")) & (F.col("greatest") <= F.col("high_fence"))
+    bounds = fences.select("grp", "low_fence", "high_fence")
     whiskers = (
-        finite_values(df, group, value)
+        histogram.pieces(cells, parts)
         .join(bounds, F.col("grp").eqNullSafe(F.col("g")))
-        .groupBy("grp")
+        .groupBy("g")
         .agg(
-            F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
-            F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
-            F.count_if(~inside).alias("outliers"),
+            F.min(F.when(inside, F.col("least"))).alias("whisker_low"),
+            F.max(F.when(inside, F.col("greatest"))).alias("whisker_high"),
+            F.sum(F.when(inside, 0).otherwise(F.col("n_piece"))).alias("outliers"),
         )
-        .withColumnRenamed("grp", "g")
     )
     return fences.join(whiskers, F.col("grp").eqNullSafe(F.col("g"))).select(
         F.col("grp").alias(group),
@@ -66,12 +73,23 @@ def boxplot_stats(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def boxplot_outliers(df: DataFrame, group: str, value: str) -> DataFrame:
-    """The rows whose value lies beyond the whiskers of its group."""
-    fences = _fences(df, group, value).select(F.col("grp").alias("_g"), "low_fence", "high_fence")
-    number = F.col(value).cast("double")
-    outside = (number < F.col("low_fence")) | (number > F.col("high_fence"))
-    same = F.col(group).eqNullSafe(F.col("_g"))
-    return df.join(fences, same & is_finite(number) & outside).select(*df.columns)
+    """The rows whose value lies beyond the whiskers of its group.
+
+    Three reads of the values: the last one writes the rows that may be outliers, and those
+    among which a quartile lies, to the scratch folder; both results come from there.
+    """
+    parts = _parts(df, group, value)
+    named = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+        F.col(f"`{group}`").alias("grp"),
+        F.col(f"`{value}`").cast("double").alias("v"),
+    ).where(is_finite(F.col("v")))
+    near = histogram.in_parts(named, F.col("grp"), F.col("v"), parts.where("again OR outside"))
+    near = staged(near.drop("cuts", "grp"), "near")
+    fences = _fences(histogram.count_again(near.where("again"), parts))
+    outside = (F.col("v") < F.col("low_fence")) | (F.col("v") > F.col("high_fence"))
+    bounds = fences.select("grp", "low_fence", "high_fence")
+    return near.where("outside").join(bounds, F.col("g").eqNullSafe(F.col("grp")) & outside).select("row.*")
 
 
 def grouped_density(

@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -304,3 +304,71 @@ def test_range_number(spark):
                    "(VALUES (0), (1), (3), (6), (7), (9), (CAST(NULL AS int))) AS x(v)")
     for r in df.select("v", "cuts", ranges.range_number(F.col("cuts"), F.col("v")).alias("n")).collect():
         assert r.n == (0 if r.v is None else sum(c <= r.v for c in r.cuts or []))
+
+
+def boxes(frame):
+    """Boxplots and outliers by numpy."""
+    found = {}
+    for g, part in frame.groupby("g", dropna=False):
+        q1, median, q3 = np.quantile(part.v, [0.25, 0.5, 0.75])
+        low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        inside = part.v[(part.v >= low) & (part.v <= high)]
+        found[g] = (len(part), q1, median, q3, inside.min(), inside.max(), len(part) - len(inside))
+    return found
+
+
+def odd_values():
+    rng = np.random.default_rng(12)
+    parts = {
+        "normal": rng.normal(0, 1, 4000),
+        "heavy": rng.standard_cauchy(3000),
+        "ties": rng.integers(0, 4, 3000).astype(float),
+        "one": np.full(500, 7.0),
+        "mostly one": np.concatenate([np.zeros(900), rng.normal(0, 5, 100)]),
+        "big": rng.normal(0, 1, 300) * 1e300,
+        "few": np.array([1.0, 2.0, 100.0]),
+        "single": np.array([3.5]),
+    }
+    return pd.DataFrame([(g, v) for g, values in parts.items() for v in values], columns=["g", "v"])
+
+
+def assert_boxes(got, frame):
+    want = boxes(frame)
+    assert {r.g for r in got} == set(want)
+    for r in got:
+        assert tuple(r)[1:] == pytest.approx(want[r.g], rel=1e-12)
+
+
+def test_boxplots_of_odd_groups(spark):
+    frame = odd_values()
+    df = spark.createDataFrame(frame).repartition(4)
+    assert_boxes(distribution.boxplot_stats(df, "g", "v").collect(), frame)
+    counts = {r.g: r["count"] for r in distribution.boxplot_outliers(df, "g", "v").groupBy("g").count().collect()}
+    assert counts == {g: box[-1] for g, box in boxes(frame).items() if box[-1]}
+
+
+def test_boxplots_survive_a_useless_sketch(spark, monkeypatch):
+    """The cuts decide how much is read again, never the result."""
+    frame = odd_values()
+    honest = quantiles.group_sketch
+    wrong = F.array(*[F.lit(float(x)) for x in (-3, -2, 0, 0, 1, 400)])
+    monkeypatch.setattr(distribution, "group_sketch", lambda *a: honest(*a).withColumn("ends", wrong))
+    assert_boxes(distribution.boxplot_stats(spark.createDataFrame(frame), "g", "v").collect(), frame)
+
+
+@pytest.mark.parametrize("operator", [distribution.boxplot_stats, distribution.boxplot_outliers])
+def test_boxplots_read_their_values_three_times(spark, monkeypatch, tmp_path, operator):
+    from millrace.operators import histogram
+
+    path = str(tmp_path / "values")
+    spark.createDataFrame(odd_values()).write.parquet(path)
+    reads = []
+
+    def watched(df, name, staged=histogram.staged):
+        reads.append(plan_of(df).count(path))
+        return staged(df, name)
+
+    for module in (histogram, distribution, quantiles):
+        monkeypatch.setattr(module, "staged", watched)
+    reads.append(plan_of(operator(spark.read.parquet(path), "g", "v")).count(path))
+    assert sum(map(bool, reads)) <= 3 and sum(reads) <= 3 * max(reads)
