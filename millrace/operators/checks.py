@@ -85,16 +85,13 @@ def columns_all_equal(
 
 @dataclass
 class MapSide:
-    """One input table of a step's map side, and what comes out of each of its rows.
+    """One input table of a step's map side, and the rows that the step's own operator makes of it.
 
-    ``emitted`` is the number of records that a row turns into, ``emitted_bytes`` their
-    bytes, both as expressions over the row; ``read`` names the columns that the step reads.
+    ``read`` holds the columns that the step reads, ``emitted`` what goes to the shuffle.
     """
 
-    df: DataFrame
-    emitted: Column
-    emitted_bytes: Column
-    read: list[str] | None = None
+    read: DataFrame
+    emitted: DataFrame
 
 
 def text_bytes(*columns: Column | str) -> Column:
@@ -110,29 +107,30 @@ def _column(c: Column | str) -> Column:
 def replication_rate(steps: list[tuple[str, list[MapSide]]]) -> DataFrame:
     """Records and bytes that go into and come out of the map side of each step.
 
-    A map side may read several tables; each is read once, and both of its sides are summed
-    in that one pass. ``rate`` is output over input records; ``communication`` is the bytes
-    read plus the bytes handed to the shuffle. Counts are aggregates and not accumulators, so
-    a repeated task changes nothing.
+    The operators of a step run as they do in their job and their output rows are counted, so
+    the report follows what they really emit. ``rate`` is output over input records;
+    ``communication`` is the bytes read plus the bytes handed to the shuffle. Counts are
+    aggregates and not accumulators, so a repeated task changes nothing.
     """
+
+    def measured(df: DataFrame, number: int, name: str, side: str) -> DataFrame:
+        size = F.coalesce(F.sum(text_bytes(*df.columns)), F.lit(0))
+        return df.agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).select(
+            F.lit(number).alias("step"), F.lit(name).alias("name"), F.lit(side).alias("side"), "*"
+        )
+
     sides = [
-        side.df.agg(
-            F.count(F.lit(1)).alias("records_in"),
-            F.coalesce(F.sum(side.emitted.cast("long")), F.lit(0)).alias("records_out"),
-            F.coalesce(
-                F.sum(text_bytes(*(side.read or side.df.columns)) + F.coalesce(side.emitted_bytes, F.lit(0))),
-                F.lit(0),
-            ).alias("bytes"),
-        ).select(F.lit(number).alias("step"), F.lit(name).alias("name"), "*")
+        measured(df, number, name, side)
         for number, (name, listed) in enumerate(steps, start=1)
-        for side in listed
+        for part in listed
+        for df, side in ((part.read, "in"), (part.emitted, "out"))
     ]
     totals = (
         reduce(DataFrame.unionAll, sides)
         .groupBy("step", "name")
         .agg(
-            F.sum("records_in").alias("records_in"),
-            F.sum("records_out").alias("records_out"),
+            F.sum(F.when(F.col("side") == "in", F.col("n"))).alias("records_in"),
+            F.sum(F.when(F.col("side") == "out", F.col("n"))).alias("records_out"),
             F.sum("bytes").alias("communication"),
         )
     )

@@ -725,38 +725,23 @@ def bubble_table(spark, sf_dir):
 @_query
 def replication_rate(spark, sf_dir):
     """Map-side growth of the modes job, the purchase count and the term count."""
-    fields = ["prod_name", "section_name", "department_name"]
-    listed, size = articles(spark, sf_dir), checks.text_bytes
+    listed = articles(spark, sf_dir)
     described = listed.drop("article_id")
-    per_field = [size("garment_group_name", F.lit(f), f) for f in fields]
-
-    wanted = F.coalesce(F.col("department_name").isin(DEPARTMENTS), F.lit(False)).cast("int")
-    older = F.coalesce(number_above(F.col("age"), OLDER_THAN, "double"), F.lit(False)).cast("int")
+    fields = ["prod_name", "section_name", "department_name"]
     bought = transactions(spark, sf_dir).select("customer_id", "article_id")
     people = customers(spark, sf_dir).select("customer_id", "postal_code", "age")
-
+    wanted = filters.member_of(listed, "department_name", DEPARTMENTS).select("article_id")
+    older = filters.filter_guarded_numeric(people, "age", OLDER_THAN, "double").select("customer_id")
     docs = _documents(spark, sf_dir, "lang", "text")
-    tokens = words.distinct_tokens(F.col("text"))
-    emitted = F.coalesce(F.size(tokens), F.lit(0))
-    token_bytes = F.aggregate(tokens, F.lit(0), lambda n, t: n + F.octet_length(t))
+
+    per_field = ranking.unpivot_values(described, "garment_group_name", fields)
+    per_term = terms.tokenize(docs, "text", distinct=True, keep=["lang"])
+    sides = checks.MapSide
     rates = checks.replication_rate(
         [
-            (
-                "modes: one row per field",
-                [checks.MapSide(described, F.lit(len(fields)), per_field[0] + per_field[1] + per_field[2])],
-            ),
-            (
-                "purchases: filter and tag",
-                [
-                    checks.MapSide(listed, wanted, wanted * size("article_id")),
-                    checks.MapSide(bought, F.lit(1), size("customer_id", "article_id")),
-                    checks.MapSide(people, older, older * size("customer_id")),
-                ],
-            ),
-            (
-                "terms: one row per term",
-                [checks.MapSide(docs, emitted, emitted * size("lang") + token_bytes)],
-            ),
+            ("modes: one row per field", [sides(described, per_field)]),
+            ("purchases: filter and tag", [sides(listed, wanted), sides(bought, bought), sides(people, older)]),
+            ("terms: one row per term", [sides(docs, per_term)]),
         ]
     )
     return _rounded(rates, {"rate": 8})

@@ -41,12 +41,12 @@ def test_exact_and_tolerant_equality(spark, pairs, identical, equal):
 
 def test_replication_rate(spark):
     one = spark.createDataFrame([("ab", 1), (None, 22)], "a string, b int")
-    size = checks.text_bytes
-    keep = (F.col("b") > 9).cast("int")
+    thrice = one.select("a", F.explode(F.array(*[F.lit(i) for i in range(3)])).alias("copy")).select("a")
+    none = one.where("b > 99")
     steps = [
-        ("expand", [checks.MapSide(one, F.lit(3), 3 * size("a"))]),
-        ("nothing read", [checks.MapSide(one.where("b > 99"), F.lit(1), size("a"))]),
-        ("two tables", [checks.MapSide(one, keep, keep * size("b")), checks.MapSide(one, F.lit(1), size("b"), ["b"])]),
+        ("expand", [checks.MapSide(one, thrice)]),
+        ("nothing read", [checks.MapSide(none, none.select("a"))]),
+        ("two tables", [checks.MapSide(one, one.where("b > 9").select("b")), checks.MapSide(one.select("b"), one.select("b"))]),
     ]
     assert rows(checks.replication_rate(steps)) == [
         (1, "expand", 2, 6, 3.0, 5 + 6),
