@@ -13,10 +13,11 @@ from millrace.operators.quantiles import exact_quantiles, finite_values, group_s
 from millrace.session import staged
 
 QUARTILES = [0.25, 0.5, 0.75]
-# How far a whisker may reach, in quartile ranges, and the number
-# of points of a density curve.
+# How far a whisker may reach, in quartile ranges, the number of points of a
+# density curve, and how far its grid goes beyond the range, in bandwidths.
 WHISKER_REACH = 1.5
 DENSITY_POINTS = 512
+GRID_MARGIN = 4
 
 
 def _parts(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -95,14 +96,18 @@ def boxplot_outliers(df: DataFrame, group: str, value: str) -> DataFrame:
 def grouped_density(
     df: DataFrame, group: str, value: str, points: int = DENSITY_POINTS
 ) -> DataFrame:
-    """Gaussian kernel density per group on one grid over the range of the whole column.
+    """Gaussian kernel density per group, at ``points`` places over the range of the whole column.
 
     The bandwidth is ``0.9 * min(sd, IQR / 1.34) * n^-0.2``. Where that minimum is zero or
     missing, the standard deviation takes its place, then the size of the smallest value,
-    then 1, so that a group without spread has a curve too. Each value is shared
-    linearly between its two grid points by one partial aggregate; what is left is
-    at most ``points`` weights per group. Each grid point adds them up inside its
-    row, with the kernel looked up by distance.
+    then 1, so that a group without spread has a curve too.
+
+    Each group has a grid of its own, wider than the range by four bandwidths at both ends, of
+    at least 512 cells and a power of two if more. A value is shared linearly between
+    its two grid points by one partial aggregate, so at most a grid of weights is left per
+    group. The weights are convolved with the kernel, whose places are those of a circle of twice
+    the cells, ``2 / (2 * cells - 1)`` of the grid's length apart; half of that circle is
+    empty, so nothing wraps around. The curve is interpolated linearly between grid points.
     """
     rows = finite_values(df, group, value)
     sketch = group_sketch(rows, QUARTILES, [F.stddev_samp("v").alias("sd")])
@@ -111,51 +116,52 @@ def grouped_density(
     spread = F.coalesce(
         *[F.nullif(s, F.lit(0.0)) for s in (F.least("sd", reach), F.col("sd"), F.abs("lo"))], F.lit(1.0)
     )
-    groups = sketch.join(quartiles, F.col("grp").eqNullSafe(F.col("g"))).select(
-        "grp", "n", (0.9 * spread * F.pow(F.col("n"), F.lit(-0.2))).alias("bandwidth")
+    bandwidth = 0.9 * spread * F.pow(F.col("n"), F.lit(-0.2))
+    span = sketch.agg(F.struct(F.min("lo").alias("first"), F.max("hi").alias("last")).alias("span")).scalar()
+    cells = max(DENSITY_POINTS, 1 << math.ceil(math.log2(points)))
+    length = F.col("span.last") - F.col("span.first") + 2 * GRID_MARGIN * F.col("bandwidth")
+    groups = (
+        sketch.join(quartiles, F.col("grp").eqNullSafe(F.col("g")))
+        .select("grp", "n", bandwidth.alias("bandwidth"), span.alias("span"))
+        .withColumn("start", F.col("span.first") - GRID_MARGIN * F.col("bandwidth"))
+        .withColumn("step", length / (cells - 1))
+        .withColumn("apart", 2 * length / (2 * cells - 1))
     )
-
-    grid = sketch.agg(
-        F.struct(
-            F.min("lo").alias("start"), ((F.max("hi") - F.min("lo")) / (points - 1)).alias("step")
-        ).alias("grid")
-    ).scalar()
-    weights = _grid_weights(rows, grid, points)
-
-    numbers = F.sequence(F.lit(0), F.lit(points - 1))
+    groups = staged(groups, "curves")
+    weights = _grid_weights(rows, groups.select(F.col("grp").alias("g"), "start", "step"), cells)
 
     def kernel_at(distance: Column) -> Column:
-        scaled = F.try_divide(distance * F.col("grid.step"), F.col("bandwidth"))
+        scaled = distance * F.col("apart") / F.col("bandwidth")
         return F.exp(-0.5 * scaled * scaled)
 
+    x = F.col("span.first") + F.col("point") * (F.col("span.last") - F.col("span.first")) / (points - 1)
     curve = (
         weights.join(groups, F.col("g").eqNullSafe(F.col("grp")))
-        .select("grp", "n", "bandwidth", "weights", grid.alias("grid"))
-        .withColumn("kernel", F.transform(numbers, kernel_at))
-        .withColumn("point", F.explode(numbers))
+        .withColumn("kernel", F.transform(F.sequence(F.lit(0), F.lit(cells - 1)), kernel_at))
+        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+        .withColumn("x", x)
+        .withColumn("place", (F.col("x") - F.col("start")) / F.col("step"))
+        .withColumn("left", F.floor("place").cast("int"))
+        .withColumn("share", F.col("place") - F.col("left"))
     )
 
     def add(total: Column, w: Column) -> Column:
-        return total + w["weight"] * F.get("kernel", F.abs(F.col("point") - w["bin"]))
+        away = F.col("left") - w["bin"]
+        here, next_one = F.get("kernel", F.abs(away)), F.get("kernel", F.abs(away + 1))
+        return total + w["weight"] * (here + F.col("share") * (next_one - here))
 
     mass = F.aggregate("weights", F.lit(0.0), add)
     scale = F.col("n") * F.col("bandwidth") * math.sqrt(2 * math.pi)
-    return curve.select(
-        F.col("grp").alias(group),
-        "point",
-        (F.col("grid.start") + F.col("point") * F.col("grid.step")).alias("x"),
-        "bandwidth",
-        F.try_divide(mass, scale).alias("density"),
-    )
+    return curve.select(F.col("grp").alias(group), "point", "x", "bandwidth", (mass / scale).alias("density"))
 
 
-def _grid_weights(rows: DataFrame, grid: Column, points: int) -> DataFrame:
-    """(g, weights): per group the non-empty grid points with their weight."""
-    position = F.coalesce(F.try_divide(F.col("v") - grid["start"], grid["step"]), F.lit(0.0))
-    left = F.least(F.floor("position"), F.lit(points - 2)).cast("int")
+def _grid_weights(rows: DataFrame, grids: DataFrame, cells: int) -> DataFrame:
+    """(g, weights): per group the non-empty points of its grid with their weight."""
+    position = (F.col("v") - F.col("start")) / F.col("step")
     binned = (
-        rows.withColumn("position", position)
-        .withColumn("bin", left)
+        rows.join(grids, F.col("grp").eqNullSafe(F.col("g")))
+        .select("grp", position.alias("position"))
+        .withColumn("bin", F.least(F.floor("position"), F.lit(cells - 2)).cast("int"))
         .groupBy("grp", "bin")
         .agg(
             F.count(F.lit(1)).alias("n_bin"),

@@ -348,9 +348,8 @@ def oracle_sql() -> dict[str, str]:
               SELECT c_mktsegment, c_acctbal FROM customer
               UNION ALL SELECT 'level', 500 FROM customer WHERE c_custkey % 10 = 0
               UNION ALL SELECT 'alone', c_acctbal FROM customer WHERE c_custkey = 7),
-            r AS (SELECT min(c_acctbal) AS lo, (max(c_acctbal) - min(c_acctbal)) / 511 AS step
-                  FROM src WHERE isfinite(c_acctbal)),
-            g AS (
+            r AS (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi FROM src WHERE isfinite(c_acctbal)),
+            b AS (
               SELECT c_mktsegment, count(*) AS n,
                      0.9::DOUBLE * coalesce(
                        nullif(least(stddev_samp(c_acctbal),
@@ -358,20 +357,32 @@ def oracle_sql() -> dict[str, str]:
                        nullif(stddev_samp(c_acctbal), 0), nullif(abs(min(c_acctbal)), 0), 1)
                      * pow(count(*), -0.2) AS bandwidth
               FROM src WHERE isfinite(c_acctbal) GROUP BY c_mktsegment),
-            p AS (SELECT c_mktsegment, (c_acctbal - lo) / step AS position,
-                         least(floor((c_acctbal - lo) / step), 510) AS bin
-                  FROM src, r WHERE isfinite(c_acctbal)),
+            g AS (SELECT *, lo - 4 * bandwidth AS start, (hi - lo + 8 * bandwidth) / 511 AS step,
+                         2 * (hi - lo + 8 * bandwidth) / 1023 AS apart
+                  FROM b, r),
+            p AS (SELECT c_mktsegment, (c_acctbal - start) / step AS position,
+                         least(floor((c_acctbal - start) / step), 510) AS bin
+                  FROM src JOIN g USING (c_mktsegment) WHERE isfinite(c_acctbal)),
             w AS (
               SELECT c_mktsegment, bin, sum(weight) AS weight FROM (
                 SELECT c_mktsegment, bin, 1 - (position - bin) AS weight FROM p
                 UNION ALL SELECT c_mktsegment, bin + 1, position - bin FROM p)
-              GROUP BY ALL)
-            SELECT c_mktsegment, point::INTEGER AS point, round(lo + point * step, 6) AS x,
-                   round(bandwidth, 6) AS bandwidth,
-                   round(sum(weight * exp(-0.5 * pow((point - bin) * step / bandwidth, 2)))
-                         / (n * bandwidth * sqrt(2 * pi())), 12) AS density
-            FROM w JOIN g USING (c_mktsegment), r, range(512) AS grid(point)
-            GROUP BY c_mktsegment, point, lo, step, bandwidth, n""",
+              GROUP BY ALL),
+            smooth AS (
+              SELECT c_mktsegment, cell,
+                     sum(weight * exp(-0.5 * pow((cell - bin) * apart / bandwidth, 2)))
+                     / any_value(n * bandwidth * sqrt(2 * pi())) AS y
+              FROM w JOIN g USING (c_mktsegment), range(512) AS cells(cell) GROUP BY ALL),
+            places AS (
+              SELECT c_mktsegment, point, lo + point * (hi - lo) / 511 AS x, bandwidth,
+                     (lo + point * (hi - lo) / 511 - start) / step AS place
+              FROM g, range(512) AS grid(point))
+            SELECT c_mktsegment, point::INTEGER AS point, round(x, 6) AS x, round(bandwidth, 6) AS bandwidth,
+                   round(l.y + (place - floor(place)) * (h.y - l.y), 12) AS density
+            FROM places
+            JOIN smooth l USING (c_mktsegment)
+            JOIN smooth h USING (c_mktsegment)
+            WHERE l.cell = floor(place) AND h.cell = floor(place) + 1""",
         "boxplot_stats": "WITH "
         + _FENCES.format(g="l_returnflag", v="l_extendedprice", t="lineitem")
         + """
