@@ -1,11 +1,14 @@
 """Document fingerprints from improbable features, kept in chained Bloom filters.
 
-A feature is a window of 32 bytes. Windows are ranked by the entropy of their bytes: a
-fixed table gives common entropies a high rank and rare ones a low rank. In every run of
-32 windows (8 in a short text) the lowest rank wins a point, leftmost first; windows that
-win a quarter of the runs they can are the features. They go in order into Bloom filters of
-2048 bits, the next filter being opened when one has taken its share. Two fingerprints are compared filter by filter by the bits
-they have in common, normalised between the overlap that chance gives and the largest one.
+A feature is a window of 32 bytes. Windows are ranked by the entropy of their bytes: how
+often each entropy occurs is counted over all texts of the table, and the rarer it is, the
+lower its rank. In every run of 32 windows the lowest rank wins a point, leftmost first; windows
+that win a quarter of the runs they can are the features. As a short text has few of them,
+windows of 8 bytes are features as well, all of them in texts of up to 200 bytes and a share
+that falls with the square of the size in larger ones, chosen by hash, so that texts of nearly
+one size keep nearly the same. Features go in order into Bloom filters of 2048 bits, the next
+filter being opened when one has taken its share. Two fingerprints are compared filter by filter by the
+bits they have in common, normalised between the overlap that chance gives and the largest one.
 """
 
 from __future__ import annotations
@@ -16,11 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.runtime import id_and_text
+from millrace.llm.runtime import id_and_text, utf8
 from millrace.llm.words import mix
+from millrace.operators.ranges import cut_points, range_number
+from millrace.session import staged
 
 SCHEMA = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -28,11 +33,8 @@ SCHEMA = (
 )
 WINDOW = 32
 RUN = 32
-#: In a text of fewer bytes than this, every window of 8 bytes is a feature as well.
+#: All windows of 8 bytes are features in texts of up to so many bytes.
 SMALL_TEXT, SMALL_WINDOW = 200, 8
-#: The run in texts of few windows; what a long run picks, a short run picks as well.
-SHORT_RUN = 8
-FEW_WINDOWS = 4 * RUN
 BITS = 2048
 HASHES = 5
 PER_FILTER = 160
@@ -40,36 +42,28 @@ PER_FILTER = 160
 MARGIN = 0.05
 #: Entropies are told apart in this many steps from 0 to the largest one, log2 of the window.
 STEPS = 1000
+#: Entropies below this share of the largest one, runs of the same byte, say nothing about a text and rank last.
+DULL = 0.15
 #: Bytes that are ranked at once.
 STRETCH = 1 << 16
+#: Bytes of text that one task takes.
+PART_BYTES = 32 << 20
 
-
-def rarity_table() -> np.ndarray:
-    """Rank of each entropy step: the closer to what prose has most often, the higher.
-
-    Windows of prose have about 0.72 of the largest entropy; a bell around that stands for
-    how often a step occurs. Steps near 0, runs of the same byte, say nothing about a text
-    and rank last.
-    """
-    step = np.arange(STEPS + 1) / STEPS
-    rank = np.round(np.exp(-0.5 * ((step - 0.72) / 0.08) ** 2) * 60_000).astype(np.int64)
-    rank[step < 0.15] = 65_535
-    return rank
-
-
-_RARITY = rarity_table()
 _count = np.arange(WINDOW + 1)
-#: count * log2(count), and what one more of a byte adds to it
-_WEIGHT = np.where(_count > 0, _count * np.log2(np.maximum(_count, 1)), 0.0)
-_GAIN = np.diff(_WEIGHT, prepend=0.0)
+#: count * log2(count) in whole numbers, so that sums do not depend on where they start, and what one more of a byte adds
+_WEIGHT = np.round(np.where(_count > 0, _count * np.log2(np.maximum(_count, 1)), 0.0) * (1 << 16)).astype(np.int32)
+_GAIN = np.diff(_WEIGHT, prepend=0).astype(np.int32)
 _COEFFICIENTS = mix(np.arange(1, WINDOW + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def window_ranks(data: np.ndarray) -> np.ndarray:
-    """The rank of every window of ``data``."""
+def window_steps(data: np.ndarray) -> np.ndarray:
+    """The entropy of every window of ``data``, in steps."""
+    pieces = [_stretch_steps(data[at : at + STRETCH + WINDOW - 1]) for at in range(0, len(data) - WINDOW + 1, STRETCH)]
+    return np.concatenate([np.zeros(0, np.uint16), *pieces])
+
+
+def _stretch_steps(data: np.ndarray) -> np.ndarray:
     n = len(data)
-    if n < WINDOW:
-        return np.zeros(0, np.int64)
     # how often a byte occurs among the 31 before it, and among the 31 behind it, itself included
     before, behind = np.ones(n, np.uint8), np.ones(n, np.uint8)
     for d in range(1, WINDOW):
@@ -77,53 +71,95 @@ def window_ranks(data: np.ndarray) -> np.ndarray:
         before[d:] += same
         behind[:-d] += same
     added = _GAIN[before]
-    change = added[WINDOW:] - _GAIN[behind[:-WINDOW]]
-    weight = np.empty(n - WINDOW + 1)
+    weight = np.empty(n - WINDOW + 1, np.int32)
     weight[0] = added[:WINDOW].sum()
-    np.cumsum(change, out=weight[1:])
+    np.cumsum(added[WINDOW:] - _GAIN[behind[:-WINDOW]], out=weight[1:])
     weight[1:] += weight[0]
-    entropy = (np.log2(WINDOW) - weight / WINDOW) / np.log2(WINDOW)
-    return _RARITY[np.clip(np.round(entropy * STEPS), 0, STEPS).astype(np.int64)]
+    most = _WEIGHT[WINDOW]
+    return np.rint((most - weight) * (STEPS / most)).astype(np.uint16)
+
+
+def step_counts(docs: DataFrame) -> tuple[np.ndarray, int, int]:
+    """How many windows of all texts have each entropy, the texts' number and their bytes."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(STEPS + 1, np.int64)
+        rows = size = 0
+        for batch in batches:
+            data, offsets = utf8(batch.column("text"))
+            rows, size = rows + batch.num_rows, size + len(data)
+            steps = window_steps(data)
+            whole = np.ones(len(steps) + 1, bool)
+            for back in range(1, WINDOW):  # windows that reach from one text into the next
+                ends = offsets[1:] - back
+                whole[np.clip(np.where(ends >= offsets[:-1], ends, len(steps)), 0, len(steps))] = False
+            counts += np.bincount(steps[whole[: len(steps)]], minlength=STEPS + 1)
+        seen = np.append(counts, [rows, size])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(seen))), pa.array(seen)], names=["step", "n"])
+
+    found = docs.select("text").mapInArrow(count, "step bigint, n bigint").groupBy("step").agg(F.sum("n").alias("n"))
+    counts = np.zeros(STEPS + 3, np.int64)
+    for row in found.collect():  # a row a step
+        counts[row.step] = row.n
+    return counts[: STEPS + 1], int(counts[STEPS + 1]), int(counts[STEPS + 2])
+
+
+def rarity_table(counts: np.ndarray) -> np.ndarray:
+    """Rank of each entropy step: the rarer, the lower; of equals the smaller step. Dull ones come last."""
+    step = np.arange(STEPS + 1)
+    dull = step < DULL * STEPS
+    ranks = np.empty(STEPS + 1, np.uint16)
+    ranks[np.lexsort((step, counts, dull))] = step
+    return ranks
 
 
 def chosen(ranks: np.ndarray) -> np.ndarray:
     """Starts of the windows that win a quarter of the runs they lie in, one at least."""
     n = len(ranks)
-    run = RUN if n > FEW_WINDOWS else SHORT_RUN
-    if n <= run:
+    if n <= RUN:
         return np.array([int(np.argmin(ranks))]) if n else np.zeros(0, np.int64)
-    best = ranks * (1 << 40) + np.arange(n)
+    best = ranks.astype(np.int64) * (1 << 40) + np.arange(n)
     span = 1
-    while span < run:  # the least of 2, 4, ... windows from each start
+    while span < RUN:  # the least of 2, 4, ... windows from each start
         best = np.minimum(best[: len(best) - span], best[span:])
         span *= 2
     points = np.bincount(best & ((1 << 40) - 1), minlength=n)
-    picked = np.flatnonzero(points >= run // 4)
+    picked = np.flatnonzero(points >= RUN // 4)
     return picked if len(picked) else np.array([int(np.argmax(points))])
 
 
-def _hashed(data: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
+def _hashed(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     out = [np.zeros(0, np.uint64)]
     for at in range(0, len(starts), 4096):
-        rows = data[starts[at : at + 4096, None] + np.arange(window)].astype(np.uint64)
-        out.append(mix((rows * _COEFFICIENTS[:window]).sum(axis=1, dtype=np.uint64) + np.uint64(window)))
+        rows = data[starts[at : at + 4096, None] + np.arange(WINDOW)].astype(np.uint64)
+        out.append(mix((rows * _COEFFICIENTS).sum(axis=1, dtype=np.uint64) + np.uint64(WINDOW)))
     return np.concatenate(out)
 
 
-def features(data: np.ndarray) -> np.ndarray:
-    """Hashes of the chosen windows in order, then those of a small text's short windows.
+def _short_windows(data: np.ndarray) -> np.ndarray:
+    """Hashes of the short windows that a text of this size keeps, in order."""
+    share = min(1.0, (SMALL_TEXT / len(data)) ** 2)
+    limit = np.uint64(min(int(share * 2**64), 2**64 - 1))
+    out = [np.zeros(0, np.uint64)]
+    for at in range(0, len(data) - SMALL_WINDOW + 1, STRETCH):
+        piece = data[at : at + STRETCH + SMALL_WINDOW - 1]
+        values = np.lib.stride_tricks.sliding_window_view(piece, SMALL_WINDOW).copy().view("<u8")[:, 0]
+        hashes = mix(values + np.uint64(SMALL_WINDOW))
+        out.append(hashes[hashes <= limit])
+    return np.concatenate(out)
+
+
+def features(data: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """Hashes of the chosen windows in order, then those of the short windows.
 
-    A text below the short window is one feature, an empty one has none.
+    ``ranks`` has the rank of every window. A text below the short window is one feature, an
+    empty one has none.
     """
     if not len(data):
         return np.zeros(0, np.uint64)
     if len(data) < SMALL_WINDOW:
         return np.frombuffer(hashlib.sha256(data.tobytes()).digest()[:8], "<u8").astype(np.uint64)
-    ranks = [window_ranks(data[at : at + STRETCH + WINDOW - 1]) for at in range(0, len(data) - WINDOW + 1, STRETCH)]
-    found = _hashed(data, chosen(np.concatenate([np.zeros(0, np.int64), *ranks])), WINDOW)
-    if len(data) >= SMALL_TEXT:
-        return found
-    return np.concatenate([found, _hashed(data, np.arange(len(data) - SMALL_WINDOW + 1), SMALL_WINDOW)])
+    return np.concatenate([_hashed(data, chosen(ranks)), _short_windows(data)])
 
 
 class Fingerprint:
@@ -174,8 +210,19 @@ def _one_way(a: Fingerprint, b: Fingerprint) -> float:
     return total / float(a.taken.sum())
 
 
-def fingerprint(text: str) -> Fingerprint:
-    return Fingerprint(features(np.frombuffer(text.encode(), np.uint8)))
+class Ranked:
+    """A text, its bytes and the ranks of their windows."""
+
+    def __init__(self, text: str, data: np.ndarray, ranks: np.ndarray):
+        self.text, self.data, self.ranks = text, data, ranks
+
+    def fingerprint(self) -> Fingerprint:
+        return Fingerprint(features(self.data, self.ranks))
+
+
+def ranked(text: str, table: np.ndarray) -> Ranked:
+    data = np.frombuffer(text.encode(), np.uint8)
+    return Ranked(text, data, table[window_steps(data)])
 
 
 def edited(text: str, following: str) -> str:
@@ -184,49 +231,51 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _with_neighbours(docs: DataFrame, n_parts: int) -> DataFrame:
-    """Rows dealt by ranges of ``doc_id``, sorted; the row after a range closes it as ``ahead``.
+def ranked_edited(own: Ranked, following: Ranked, table: np.ndarray) -> Ranked:
+    """The edited text; only windows across its seam are ranked anew."""
+    changed = edited(own.text, following.text)
+    data = np.frombuffer(changed.encode(), np.uint8)
+    seam = len(own.text[: len(own.text) - len(own.text) // 2].encode())
+    across = data[max(0, seam - WINDOW + 1) : seam + WINDOW - 1]
+    parts = [
+        own.ranks[: max(0, seam - WINDOW + 1)],
+        table[window_steps(across)],
+        following.ranks[: max(0, len(data) - seam - WINDOW + 1)],
+    ]
+    return Ranked(changed, data, np.concatenate(parts))
+
+
+def _with_neighbours(docs: DataFrame, rows: int) -> DataFrame:
+    """Rows dealt by ranges of id and text hash, sorted; the row after a range closes it as ``ahead``.
 
-    Bounds come from the ids alone. The first document of every range is sent to the range
-    before it as well, the first of all to the last, so no text travels twice but these.
+    Ranges are of about ``rows`` rows; an id that many rows share, or rows without one, fill
+    several, only copies of one row do not. The first document of every range is sent to the
+    range before it as well, the first of all to the last, so no text travels twice but these.
     """
-    spark = docs.sparkSession
-    keyed = docs.withColumn("tie", F.xxhash64("text"))
-    cuts: list[int] = []
-    if n_parts > 1:
-        shares = [k / n_parts for k in range(1, n_parts)]
-        quantiles = keyed.agg(F.percentile_approx("doc_id", shares, 10_000).alias("cuts")).first()["cuts"]
-        cuts = sorted(set(quantiles or []))
-    part = F.lit(0)
-    if cuts:
-        bounds = F.array(*[F.lit(c) for c in cuts])
-        part = F.coalesce(F.size(F.filter(bounds, lambda c: c <= F.col("doc_id"))), F.lit(0))
-    keyed = keyed.withColumn("part", part)
-    least = F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id", "tie")).alias("first")
-    firsts = keyed.groupBy("part").agg(least).collect()
-    order = sorted((r.part, r.first[1], r.first[2]) for r in firsts)
-    ahead = {p: order[k - 1][0] for k, (p, _, _) in enumerate(order)}
-    whose = spark.createDataFrame(
-        [(p, d, t, ahead[p]) for p, d, t in order], "part int, doc_id bigint, tie bigint, before int"
-    )
-    same = (
-        (F.col("k.part") == F.col("w.part"))
-        & F.col("k.doc_id").eqNullSafe(F.col("w.doc_id"))
-        & (F.col("k.tie") == F.col("w.tie"))
+    place = F.struct(F.col("doc_id").isNotNull(), F.coalesce("doc_id", F.lit(0)), F.xxhash64("text"))
+    keyed = docs.withColumn("place", place)
+    cuts = cut_points(keyed.select("place"), [], "place", rows)
+    n_parts = 1 + max(0, cuts.select(F.size("_cuts")).first()[0])
+    keyed = keyed.withColumn("cuts", cuts.scalar())
+    keyed = keyed.withColumn("part", range_number(F.col("cuts"), F.col("place"))).drop("cuts")
+    by_part = Window.orderBy("part")  # a row a range
+    firsts = staged(keyed.groupBy("part").agg(F.min("place").alias("first")), "first-rows")
+    last = F.max("part").over(by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ahead = staged(
+        firsts.select("first", F.coalesce(F.lag("part").over(by_part), last).alias("before")), "rows-ahead"
     )
     copies = (
-        keyed.alias("k")
-        .join(F.broadcast(whose).alias("w"), same)  # a row per range
-        .select("k.doc_id", "k.text", "k.tie", F.col("w.before").alias("part"), F.lit(True).alias("ahead"))
+        keyed.join(ahead, F.col("place") == F.col("first"))
+        .select("doc_id", "text", "place", F.col("before").alias("part"), F.lit(True).alias("ahead"))
         .dropDuplicates(["part"])
     )
-    rows = keyed.withColumn("ahead", F.lit(False)).unionByName(copies)
-    dealt = rows.repartitionById(len(cuts) + 1, "part")
-    return dealt.sortWithinPartitions("part", "ahead", "doc_id", "tie").select("part", "ahead", "doc_id", "text")
+    rows_once = keyed.withColumn("ahead", F.lit(False))
+    dealt = rows_once.unionByName(copies).repartitionById(n_parts, "part")
+    return dealt.sortWithinPartitions("part", "ahead", "place").select("part", "ahead", "doc_id", "text")
 
 
 def fingerprints(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_parts: int | None = None
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES
 ) -> DataFrame:
     """Fingerprints of every text and of its edited text, and what they have in common.
 
@@ -234,30 +283,39 @@ def fingerprints(
     edited_fingerprint, near_edited, near_next``. The next document goes by ascending id,
     nulls first, equal ids by a hash of the text; the last one is followed by the first, a
     single one by itself. A null text counts as empty. An empty table gives no rows.
+
+    Ranks come from the texts of ``docs``, so fingerprints of different tables compare only where
+    their entropies are spread alike.
     """
-    spark = docs.sparkSession
-    n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = id_and_text(docs, id_col, text_col)
+    counts, n_rows, size = step_counts(docs)
+    table = rarity_table(counts)
+    rows = max(1, n_rows * part_bytes // max(1, size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None
         for batch in batches:
-            rows = []
+            out = []
+            data, offsets = utf8(batch.column("text"))
+            ranks = table[window_steps(data)]
             columns = [batch.column(n).to_pylist() for n in ("part", "ahead", "doc_id", "text")]
-            for part, ahead, doc_id, text in zip(*columns):
-                text = text or ""
-                own = fingerprint(text)
+            for k, (part, ahead, doc_id, text) in enumerate(zip(*columns)):
+                start, end = offsets[k], offsets[k + 1]
+                text = Ranked(text or "", data[start:end], ranks[start : max(start, end - WINDOW + 1)])
+                own = text.fingerprint()
                 if held is not None and held[0] == part:
                     _, old_id, old_text, old = held
-                    changed = edited(old_text, text)
-                    other = fingerprint(changed)
-                    rows.append(
-                        (old_id, len(old_text), hashlib.sha256(changed.encode()).hexdigest(), old.text(),
-                         other.text(), likeness(old, other), likeness(old, own))
+                    changed = ranked_edited(old_text, text, table)
+                    other = changed.fingerprint()
+                    digest = hashlib.sha256(changed.data.tobytes()).hexdigest()
+                    out.append(
+                        (old_id, len(old_text.text), digest, old.text(), other.text(),
+                         likeness(old, other), likeness(old, own))
                     )
                 held = None if ahead else (part, doc_id, text, own)
-            if rows:
+            if out:
                 kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
                 names = [f.split()[0] for f in SCHEMA.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
-    return _with_neighbours(id_and_text(docs, id_col, text_col), n_parts).mapInArrow(run, SCHEMA)
+    return _with_neighbours(docs, rows).mapInArrow(run, SCHEMA)
