@@ -47,7 +47,7 @@ DULL = 0.15
 #: Bytes that are ranked at once.
 STRETCH = 1 << 16
 #: Bytes of text that one task takes.
-PART_BYTES = 32 << 20
+PART_BYTES = 16 << 20
 
 _count = np.arange(WINDOW + 1)
 #: count * log2(count) in whole numbers, so that sums do not depend on where they start, and what one more of a byte adds
