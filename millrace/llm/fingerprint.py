@@ -46,8 +46,9 @@ STEPS = 1000
 DULL = 0.15
 #: Bytes that are ranked at once.
 STRETCH = 1 << 16
-#: Bytes of text that one task takes.
+#: Bytes of text that one task takes, and rows where texts are short.
 PART_BYTES = 16 << 20
+PART_ROWS = 10_000
 
 _count = np.arange(WINDOW + 1)
 #: count * log2(count) in whole numbers, so that sums do not depend on where they start, and what one more of a byte adds
@@ -290,7 +291,7 @@ def fingerprints(
     docs = id_and_text(docs, id_col, text_col)
     counts, n_rows, size = step_counts(docs)
     table = rarity_table(counts)
-    rows = max(1, n_rows * part_bytes // max(1, size))
+    rows = min(PART_ROWS, max(1, n_rows * part_bytes // max(1, size)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None
