@@ -123,6 +123,32 @@ def test_a_right_side_without_the_hot_key(unsplit, few_rows_are_hot):
     assert joined.count() == 30_000 and rows(joined.where("name IS NOT NULL")) == [("1", 1, "one")]
 
 
+def test_few_rows_with_many_pairs_are_dealt_out(spark):
+    left = spark.range(0, 12_000, 1, 1).selectExpr("CAST(id % 3 AS int) AS k", "id AS v")
+    right = spark.range(0, 10_000, 1, 1).selectExpr("id % 2 AS k", "id AS w")
+    joined = joins.left_join_enrich(left, right, "k", "k")
+    assert joined.columns == ["k", "v", "w"]
+    tasks, most = spread(joined, "true")
+    assert tasks > 5 and most < 15_000_000
+    sums = joined.groupBy("k").agg(F.count("v"), F.count("w"), F.sum("v"), F.sum("w"))
+    n, even, odd = 4000 * 5000, sum(range(0, 10_000, 2)), sum(range(1, 10_000, 2))
+    lefts = [sum(range(k, 12_000, 3)) for k in range(3)]
+    assert rows(sums) == [
+        (0, n, n, lefts[0] * 5000, even * 4000),
+        (1, n, n, lefts[1] * 5000, odd * 4000),
+        (2, 4000, 0, lefts[2], None),
+    ]
+
+
+@pytest.mark.parametrize("lefts, rights", [(600, 300), (20, 2000), (2000, 20)])
+def test_pairs_of_every_shape_come_out_once(spark, monkeypatch, lefts, rights):
+    monkeypatch.setattr(joins, "HOT_PAIRS", 50, raising=False)
+    left = spark.range(lefts).selectExpr("IF(id % 5 = 0, NULL, CAST(id % 5 AS int)) AS k", "id % 7 AS v")
+    right = spark.range(rights).selectExpr("IF(id % 4 = 3, NULL, id % 4) AS k2", "id % 50 AS w")
+    joined = joins.left_join_enrich(left, right, "k", "k2")
+    assert rows(joined) == rows(left.join(right, F.expr("k = k2"), "left").drop("k2"))
+
+
 def test_most_frequent_values_of_a_hot_group(shuffled):
     df = shuffled.range(N).selectExpr(
         "IF(id % 3 = 0, 'hot', string(id % 97)) AS g", "string(id % 1000 * (id % 7)) AS v"
