@@ -3,7 +3,7 @@
 from collections import Counter
 
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from millrace.operators import joins, ranking
@@ -149,6 +149,19 @@ def test_pairs_of_every_shape_come_out_once(spark, monkeypatch, lefts, rights):
     assert rows(joined) == rows(left.join(right, F.expr("k = k2"), "left").drop("k2"))
 
 
+def test_a_small_table_is_spread_before_it_is_copied(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_PAIRS", 50)
+    few = spark.range(0, 20, 1, 1).selectExpr("CAST(id % 2 AS int) AS k", "id AS v")
+    many = spark.range(0, 2000, 1, 1).selectExpr("id % 4 AS k2", "id AS w")
+    for left, right, a, b in ((few, many, "k", "k2"), (many, few, "k2", "k")):
+        joined = joins.left_join_enrich(left, right, a, b)
+        # only the side whose rows go to many cells, from below its copies on
+        sides = plan_of(joined).split("Exchange hashpartitioning")[1:]
+        assert [side.count("RoundRobinPartitioning") for side in sides] == [left is few, right is few]
+        assert all("Generate explode" in side.split("RoundRobinPartitioning")[0] for side in sides)
+        assert rows(joined) == rows(left.join(right, F.expr("k = k2"), "left").drop(b))
+
+
 def test_most_frequent_values_of_a_hot_group(shuffled):
     df = shuffled.range(N).selectExpr(
         "IF(id % 3 = 0, 'hot', string(id % 97)) AS g", "string(id % 1000 * (id % 7)) AS v"
