@@ -151,6 +151,7 @@ def test_pairs_of_every_shape_come_out_once(spark, monkeypatch, lefts, rights):
 
 def test_a_small_table_is_spread_before_it_is_copied(spark, monkeypatch):
     monkeypatch.setattr(joins, "HOT_PAIRS", 50)
+    monkeypatch.setattr(joins, "COPIED_ROWS", 600, raising=False)
     few = spark.range(0, 20, 1, 1).selectExpr("CAST(id % 2 AS int) AS k", "id AS v")
     many = spark.range(0, 2000, 1, 1).selectExpr("id % 4 AS k2", "id AS w")
     for left, right, a, b in ((few, many, "k", "k2"), (many, few, "k2", "k")):
